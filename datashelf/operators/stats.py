@@ -139,27 +139,40 @@ def prune_files(stats: DataFrame, column: str, op: str, value, data_type: str) -
 
 
 def sample_distinct(df: DataFrame, n: int = 3) -> DataFrame:
-    """Per column the ``n`` smallest distinct non-null values as text: column_name, example_1 ... example_n.
+    """Examples of one table's columns: column_name, example_1 ... example_n (see :func:`samples_of`)."""
+    return samples_of({"": df}, n).drop("table_name")
 
-    Each step is one scan with a single aggregate row: the minimum above the previous one. No value set is
-    shuffled or held, however many distinct values a column has. Nested and binary columns have no examples.
+
+def samples_of(tables: dict[str, DataFrame], n: int = 3) -> DataFrame:
+    """Per table and column the ``n`` smallest distinct non-null values as text.
+
+    Each of the ``n`` steps is one job over all tables with a single aggregate row per table: the minimum above the
+    previous one. No value set is shuffled or held, however many distinct values a column has. Nested and binary
+    columns have no examples.
     """
-    fields = df.schema.fields
-    texts = df.select(*[plain_text(F.col(f"`{f.name}`"), f.dataType).alias(f"c{i}") for i, f in enumerate(fields)])
-    found: list[list] = [[] for _ in fields]
-    open_columns = [i for i, f in enumerate(fields) if not isinstance(f.dataType, NESTED)]
+    first = next(iter(tables.values()))
+    found: dict[tuple[str, str], list] = {}
+    open_columns = {t: [f for f in df.schema.fields if not isinstance(f.dataType, NESTED)] for t, df in tables.items()}
     for _ in range(n):
-        if not open_columns:
+        frames = []
+        for table, fields in open_columns.items():
+            if not fields:
+                continue
+            texts = tables[table].select(*[plain_text(F.col(f"`{f.name}`"), f.dataType).alias(f"c{i}") for i, f in enumerate(fields)])
+            lows = []
+            for i, f in enumerate(fields):
+                value, seen = F.col(f"c{i}"), found.get((table, f.name))
+                lows.append(F.min(F.when(value > F.lit(seen[-1]), value) if seen else value).alias(f"c{i}"))
+            items = [F.struct(F.lit(table).alias("t"), F.lit(f.name).alias("c"), F.col(f"c{i}").alias("v")) for i, f in enumerate(fields)]
+            frames.append(texts.agg(*lows).select(F.inline(F.array(*items))))
+        if not frames:
             break
-        parts = []
-        for i in open_columns:
-            c = F.col(f"c{i}")
-            parts.append(F.min(F.when(c > F.lit(found[i][-1]), c) if found[i] else c).alias(f"c{i}"))
-        row = texts.agg(*parts).first()
-        for i in open_columns:
-            if row[f"c{i}"] is not None:
-                found[i].append(row[f"c{i}"])
-        open_columns = [i for i in open_columns if row[f"c{i}"] is not None]
-    schema = "column_name string, " + ", ".join(f"example_{k + 1} string" for k in range(n))
-    rows = [(f.name, *(found[i] + [None] * n)[:n]) for i, f in enumerate(fields)]
-    return df.sparkSession.createDataFrame(rows, schema)
+        row_of = {(r["t"], r["c"]): r["v"] for r in reduce(DataFrame.unionAll, frames).collect() if r["v"] is not None}
+        for key, value in row_of.items():
+            found.setdefault(key, []).append(value)
+        open_columns = {t: [f for f in fields if (t, f.name) in row_of] for t, fields in open_columns.items()}
+    schema = "table_name string, column_name string, " + ", ".join(f"example_{k + 1} string" for k in range(n))
+    rows = [
+        (t, f.name, *(found.get((t, f.name), []) + [None] * n)[:n]) for t, df in tables.items() for f in df.schema.fields
+    ]
+    return first.sparkSession.createDataFrame(rows, schema)

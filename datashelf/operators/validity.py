@@ -226,8 +226,19 @@ def _large_clashes(large: DataFrame, ids: Sequence[str]) -> DataFrame:
     return pairs.select(*[F.col(f"p.{c}").alias(c) for c in ids]).distinct()
 
 
-def flag_valid(df: DataFrame, shape: str, ids: Sequence[str], flag: str = "geom_valid", in_row: int = IN_ROW_SEGMENTS) -> DataFrame:
-    """Add a boolean validity column; NULL for a NULL geometry. ``ids`` identify a row (non-null, unique)."""
+def flag_valid(
+    df: DataFrame,
+    shape: str,
+    ids: Sequence[str],
+    flag: str = "geom_valid",
+    in_row: int = IN_ROW_SEGMENTS,
+    may_be_large: Column | None = None,
+) -> DataFrame:
+    """Add a boolean validity column; NULL for a NULL geometry. ``ids`` identify a row (non-null, unique).
+
+    ``may_be_large`` is a cheap condition that holds for every geometry of more than ``in_row`` segments. Rows that
+    fail it are not decoded again for the large-geometry branch.
+    """
     geometry = F.col(shape)
     kind, parts = geometry["type"], geometry["parts"]
     all_vertices = F.flatten(F.flatten(parts))
@@ -250,7 +261,8 @@ def flag_valid(df: DataFrame, shape: str, ids: Sequence[str], flag: str = "geom_
         numbered, lambda p: F.exists(numbered, lambda q: (p["i"] < q["i"]) & _clash(p["s"], q["s"]))
     )
     is_large = F.coalesce(F.size("__segments") > in_row, F.lit(False))
-    clashing = _large_clashes(staged.filter(is_large), ids).withColumn("__bad", F.lit(True))
+    candidates = staged if may_be_large is None else staged.filter(may_be_large)
+    clashing = _large_clashes(candidates.filter(is_large), ids).withColumn("__bad", F.lit(True))
     result = (
         F.when(~F.col("__local") | F.col("__local").isNull(), F.col("__local"))
         .when(F.col("__bad"), F.lit(False))
@@ -277,5 +289,11 @@ def normalise_geometry(df: DataFrame, wkb: str, rule: str, ids: Sequence[str] =
     if rule == "multi":
         decoded = to_multi(decoded)
     metadata = df.schema[wkb].metadata or {}
-    out = df.select(*[c for c in df.columns if c != wkb], decoded.alias(wkb, metadata=metadata))
-    return flag_valid(out, wkb, ids) if rule == "decode+flag" else out
+    others = [c for c in df.columns if c != wkb]
+    shaped = decoded.alias(wkb, metadata=metadata)
+    if rule != "decode+flag":
+        return df.select(*others, shaped)
+    # A segment takes at least 16 bytes of WKB.
+    sized = df.select(*others, F.octet_length(wkb).alias("__bytes"), shaped)
+    flagged = flag_valid(sized, wkb, ids, may_be_large=F.col("__bytes") > 16 * IN_ROW_SEGMENTS)
+    return flagged.drop("__bytes")

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from datashelf.functions.geometry import bbox
 from datashelf.functions.scalars import is_spatial_type, not_blank, text_or_empty
-from datashelf.operators.stats import row_counts, sample_distinct
+from datashelf.operators.stats import row_counts, samples_of
 
 SPATIAL_META = "table_name string, geometry_column string, geometry_type string, crs string"
 
@@ -136,10 +136,7 @@ def columns_catalogue(
             (t, c, kind, text, width[t] + i) for t, items in derived.items() for i, (c, kind, text) in enumerate(items)
         ]
         columns = columns.unionByName(spark.createDataFrame(extra, columns.schema))
-    samples = reduce(
-        DataFrame.unionByName,
-        [sample_distinct(df).select(F.lit(name).alias("table_name"), "*") for name, df in tables.items()],
-    )
+    samples = samples_of(tables)
     found = columns.join(samples, ["table_name", "column_name"], "left")
     if spatial is not None:
         marks = spatial.select("table_name", F.col("geometry_column").alias("column_name"), F.lit(True).alias("__geo"))

@@ -5,10 +5,10 @@ from __future__ import annotations
 import math
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from datashelf.sources.files import list_files, path_exists, remove_path
+from datashelf.sources.files import list_files, path_exists, qualified, remove_path
 from datashelf.sources.shelf import LOG_FOLDER, Shelf
 
 # Retention and target file size.
@@ -59,16 +59,16 @@ def tracked_folders(shelf: Shelf) -> DataFrame:
 
 def orphan_files(shelf: Shelf, older_than: datetime | None = None) -> DataFrame:
     """Files below the root that no version refers to, optionally only those last written before a time."""
-    found = list_files(shelf.spark, shelf.root).filter(~F.col("path").contains(f"/{LOG_FOLDER}/"))
-    # <root>/<name>/<version>/...: the folder a file belongs to is fixed by the depth of the root.
-    depth = len(shelf.root.rstrip("/").split("://")[-1].removeprefix("file:").strip("/").split("/"))
-    plain = F.regexp_replace("path", "^[A-Za-z0-9]+:/+", "/")
-    relative = F.slice(F.split(plain, "/"), depth + 2, 2)
-    placed = found.withColumn("__owner", F.concat_ws("/", relative))
-    tracked = tracked_folders(shelf).select(
-        F.concat_ws("/", F.slice(F.split(F.regexp_replace("folder", "^[A-Za-z0-9]+:/+", "/"), "/"), depth + 2, 2)).alias("__owner")
-    )
-    orphans = placed.join(tracked.distinct(), "__owner", "left_anti").select("path", "length", "modificationTime")
+    root = qualified(shelf.spark, shelf.root).rstrip("/")
+
+    def owner(path: str) -> Column:
+        """``<name>/<version folder>`` of a path below the root."""
+        return F.substring_index(F.substring(path, len(root) + 2, 1 << 20), "/", 2)
+
+    found = list_files(shelf.spark, shelf.root).withColumn("__owner", owner("path"))
+    found = found.filter(~F.col("__owner").startswith(f"{LOG_FOLDER}/"))
+    tracked = tracked_folders(shelf).select(owner("folder").alias("__owner")).distinct()
+    orphans = found.join(tracked, "__owner", "left_anti").select("path", "length", "modificationTime")
     return orphans if older_than is None else orphans.filter(F.col("modificationTime") < F.lit(older_than))
 
 

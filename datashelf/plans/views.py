@@ -93,12 +93,10 @@ def certificates_at_points(
 ) -> DataFrame:
     """Certificates of some areas with the text position of their address."""
     wanted = region_filter(certificates, code_column, codes).select(*columns)
-    located = points.select(key, shape)
-    joined = wanted.join(located, key, "inner")
-    placed = with_point_xy(joined, shape, "__east", "__north")
-    return to_wgs84(placed, "__east", "__north", "__lat", "__lon").select(
-        *columns, point_text("__lat", "__lon").alias("geo_point_2d")
-    )
+    # Positions are worked out once per address, not once per certificate.
+    placed = to_wgs84(with_point_xy(points.select(key, shape), shape, "__east", "__north"), "__east", "__north", "__lat", "__lon")
+    located = placed.select(key, point_text("__lat", "__lon").alias("geo_point_2d"))
+    return wanted.join(located, key, "inner").select(*columns, "geo_point_2d")
 
 
 # Certificate columns of the point view.

@@ -253,6 +253,9 @@ class Shelf(ShelfReader):
             source, parts = date_parts
             df = df.withColumns({p: calendar_part(F.col(source), p) for p in parts})
             keys += list(parts)
+        if keys:
+            # Rows of a partition meet in few files; adaptive execution splits a partition that is too large.
+            df = df.hint("rebalance", *keys)
         writer = df.write.option("compression", compression).options(**(options or {}))
         if rows_per_file:
             writer = writer.option("maxRecordsPerFile", rows_per_file)
@@ -266,9 +269,8 @@ class Shelf(ShelfReader):
         staged = self.spark.read.schema(schema).parquet(path)
         row_count = staged.count()  # answered from footers
         check_not_null(staged, not_null)
-        previous = self.log().filter((F.col("name") == name) & (F.col("kind") != "expire"))
         if changes is None:
-            changes = "inserted" if previous.limit(1).count() else "created"
+            changes = "created" if version == 1 else "inserted"
         self._append_log(
             [
                 dict(
