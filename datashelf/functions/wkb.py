@@ -194,34 +194,41 @@ def _header(code: int) -> bytes:
     return b"\x01" + int(code).to_bytes(4, "little")
 
 
-def _part_bytes(kind: str, rings: list) -> bytes:
-    def run(ring) -> bytes:
-        xy = np.array([(v["x"], v["y"]) for v in ring], "<f8")
-        return len(ring).to_bytes(4, "little") + xy.tobytes()
-
-    if kind == "POINT":
-        xy = [(v["x"], v["y"]) for v in rings[0]] if rings else [(np.nan, np.nan)]
-        return _header(1) + np.array(xy, "<f8").tobytes()
-    if kind == "LINESTRING":
-        return _header(2) + run(rings[0] if rings else [])
-    return _header(3) + len(rings).to_bytes(4, "little") + b"".join(run(r) for r in rings)
-
-
 @F.arrow_udf(T.BinaryType())
 def _encode(shapes: pa.Array) -> pa.Array:
+    kinds, parts = shapes.flatten()
+    part_at, ring_at = parts.offsets.to_pylist(), parts.values.offsets.to_pylist()
+    vertex_at = parts.values.values.offsets.to_pylist()
+    x, y = (c.to_numpy(zero_copy_only=False) for c in parts.values.values.values.flatten())
+    flat = memoryview(np.column_stack([x, y]).astype("<f8").tobytes())  # 16 bytes per vertex
+    empty_point = np.array([np.nan, np.nan], "<f8").tobytes()
+
+    def size(n: int) -> bytes:
+        return n.to_bytes(4, "little")
+
+    def run(r: int) -> bytes:
+        first, end = vertex_at[r], vertex_at[r + 1]
+        return size(end - first) + flat[16 * first : 16 * end]
+
+    def part(kind: str, p: int | None) -> bytes:
+        rings = range(ring_at[p], ring_at[p + 1]) if p is not None else range(0)
+        if kind == "POINT":
+            return _header(1) + (bytes(flat[16 * vertex_at[rings[0]] :][:16]) if rings else empty_point)
+        if kind == "LINESTRING":
+            return _header(2) + (run(rings[0]) if rings else size(0))
+        return _header(3) + size(len(rings)) + b"".join(map(run, rings))
+
     out = []
-    for shape in shapes.to_pylist():
-        if shape is None:
+    for i, kind in enumerate(kinds.to_pylist()):
+        own = range(part_at[i], part_at[i + 1])
+        if kind is None:
             out.append(None)
-            continue
-        kind, parts = shape["type"], shape["parts"]
-        if kind == "GEOMETRYCOLLECTION":
+        elif kind == "GEOMETRYCOLLECTION":
             raise ValueError("a geometry collection has no working form to write back from")
-        if kind.startswith("MULTI"):
-            body = b"".join(_part_bytes(kind[5:], p) for p in parts)
-            out.append(_header(TYPE_CODES[kind]) + len(parts).to_bytes(4, "little") + body)
+        elif kind.startswith("MULTI"):
+            out.append(_header(TYPE_CODES[kind]) + size(len(own)) + b"".join(part(kind[5:], p) for p in own))
         else:
-            out.append(_part_bytes(kind, parts[0] if parts else []))
+            out.append(part(kind, own[0] if own else None))
     return pa.array(out, pa.binary())
 
 

@@ -4,7 +4,7 @@ Valid means: finite coordinates; lines with two distinct vertices; rings closed,
 self-contact; no two rings of a geometry crossing or sharing a stretch; holes inside their shell and not inside each
 other; parts not inside each other. (Not checked: whether holes that touch in several points cut the interior apart.)
 
-Geometries with few segments are tested inside their row. Larger ones are cut into segments, which meet only within
+Geometries with few segments are tested inside their row, whole batches at a time. Larger ones are cut into segments, which meet only within
 cells of a grid laid over their own geometry, so that no task sees a whole large geometry and no pair list is kept.
 """
 
@@ -12,13 +12,16 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from datashelf.functions.geometry import edges, to_multi
+from datashelf.functions.ringcheck import INVALID, LARGE, row_status
 from datashelf.functions.wkb import decode_wkb
 
-IN_ROW_SEGMENTS = 32
+IN_ROW_SEGMENTS = 128
 RULES = ("decode", "multi", "decode+flag")
 
 
@@ -79,17 +82,16 @@ def _clash(s: Column, t: Column) -> Column:
     return _boxes_meet(s, t) & F.exists(F.array(turns), judge)
 
 
-def _finite(p: Column) -> Column:
-    return ~F.isnan(p["x"]) & ~F.isnan(p["y"]) & (F.abs(p["x"]) < float("inf")) & (F.abs(p["y"]) < float("inf"))
-
-
 def _without_repeats(ring: Column) -> Column:
     return F.filter(ring, lambda v, i: (i == 0) | ~_same(v, F.get(ring, i - 1)))
 
 
-def _ring_ok(ring: Column) -> Column:
-    closed = _same(F.get(ring, F.lit(0)), F.get(ring, F.size(ring) - 1))
-    return F.when(F.size(ring) < 4, F.lit(False)).otherwise(closed & (F.size(_without_repeats(ring)) >= 4))
+def _row_status(in_row: int):
+    @F.arrow_udf(T.ByteType())
+    def status(shapes: pa.Array) -> pa.Array:
+        return row_status(shapes, in_row)
+
+    return status
 
 
 def _segments(parts: Column) -> Column:
@@ -240,42 +242,20 @@ def flag_valid(
     fail it are not decoded again for the large-geometry branch.
     """
     geometry = F.col(shape)
-    kind, parts = geometry["type"], geometry["parts"]
-    all_vertices = F.flatten(F.flatten(parts))
-    finite = F.forall(all_vertices, _finite)
-    lines_ok = F.forall(parts, lambda part: F.forall(part, lambda line: F.size(_without_repeats(line)) != 1))
-    rings_ok = F.forall(parts, lambda part: F.forall(part, _ring_ok))
-    polygonal = kind.isin("POLYGON", "MULTIPOLYGON")
-    local_ok = (
-        F.when(geometry.isNull(), F.lit(None))
-        .when(~finite, F.lit(False))
-        .when(kind.isin("LINESTRING", "MULTILINESTRING"), lines_ok)
-        .when(polygonal, rings_ok)
-        .otherwise(F.lit(True))
-    )
-    staged = df.withColumn("__local", local_ok).withColumn(
-        "__segments", F.when(polygonal & F.col("__local"), _segments(parts))
-    )
-    numbered = F.transform("__segments", lambda s, i: F.struct(s.alias("s"), i.alias("i")))
-    small_clash = F.exists(
-        numbered, lambda p: F.exists(numbered, lambda q: (p["i"] < q["i"]) & _clash(p["s"], q["s"]))
-    )
-    is_large = F.coalesce(F.size("__segments") > in_row, F.lit(False))
+    parts = geometry["parts"]
+    staged = df.withColumn("__status", _row_status(in_row)(geometry))
     candidates = staged if may_be_large is None else staged.filter(may_be_large)
-    clashing = _large_clashes(candidates.filter(is_large), ids).withColumn("__bad", F.lit(True))
+    large = candidates.filter(F.col("__status") == LARGE).withColumn("__segments", _segments(parts))
+    clashing = _large_clashes(large, ids).withColumn("__bad", F.lit(True))
+    polygonal = geometry["type"].isin("POLYGON", "MULTIPOLYGON")
+    several_rings = F.size(F.flatten(parts)) > 1
     result = (
-        F.when(~F.col("__local") | F.col("__local").isNull(), F.col("__local"))
-        .when(F.col("__bad"), F.lit(False))
-        .when(F.col("__segments").isNotNull() & ~F.col("__large") & small_clash, F.lit(False))
-        .when(F.col("__segments").isNotNull(), _nesting_ok(parts))
+        F.when(F.col("__status").isNull(), F.lit(None))
+        .when((F.col("__status") == INVALID) | F.col("__bad"), F.lit(False))
+        .when(polygonal & several_rings, _nesting_ok(parts))
         .otherwise(F.lit(True))
     )
-    return (
-        staged.withColumn("__large", is_large)
-        .join(clashing, list(ids), "left")
-        .withColumn(flag, result)
-        .select(*df.columns, flag)
-    )
+    return staged.join(clashing, list(ids), "left").withColumn(flag, result).select(*df.columns, flag)
 
 
 def normalise_geometry(df: DataFrame, wkb: str, rule: str, ids: Sequence[str] = ()) -> DataFrame:

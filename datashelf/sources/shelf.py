@@ -115,14 +115,16 @@ class ShelfReader:
 
     def _entry(self, name: str, version: int | None = None, ts: datetime | None = None):
         if version is None and ts is None:
-            found = self.latest().filter(F.col("name") == name)
+            # The newest entry decides; a drop means that nothing is on the shelf.
+            newest = self.log().filter((F.col("name") == name) & (F.col("kind") != "expire"))
+            row = [r for r in newest.orderBy(F.desc("version")).limit(1).collect() if r["kind"] != "drop"]
         else:
             found = self.versions(name)
             if version is not None:
                 found = found.filter(F.col("version") == version)
             if ts is not None:
                 found = found.filter(F.col("published_at") <= F.lit(ts))
-        row = found.orderBy(F.desc("version")).limit(1).collect()
+            row = found.orderBy(F.desc("version")).limit(1).collect()
         if not row:
             raise NotPublished(f"{name} has no version matching version={version}, ts={ts}")
         return row[0]

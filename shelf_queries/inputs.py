@@ -30,10 +30,8 @@ def code(prefix: str, number: str, width: int) -> Column:
 
 
 def choose(key: str, values: list[str], n: int) -> Column:
-    picked = F.lit(None).cast("string")
-    for i, v in enumerate(values):
-        picked = F.when(F.col(key) % n == i, v).otherwise(picked)
-    return picked
+    """The value at position ``key % n``; NULL beyond the list."""
+    return F.get(F.array(*[F.lit(v) for v in values]), (F.col(key) % n).cast("int"))
 
 
 def sql_choose(key: str, values: list[str], n: int) -> str:

@@ -119,7 +119,7 @@ def rollback(spark, sf):
 @query("publish_roundtrip", "SELECT *, true AS same FROM orders")
 def publish_roundtrip(spark, sf):
     shelf, df = new_shelf(spark), table(spark, sf, "orders")
-    shelf.publish(df, "orders", title="Orders", rows_per_file=4000)
+    shelf.publish(df, "orders", title="Orders")
     back = shelf.read("orders")
     return back.withColumn("same", F.lit(same_rows(df, back)))
 
@@ -326,7 +326,7 @@ def _lineitem_files(spark, sf) -> str:
     folder = fresh_folder(spark, "files")
     rows = table(spark, sf, "lineitem")
     for i in range(2):
-        rows.filter(F.col("l_orderkey") % 2 == i).write.option("maxRecordsPerFile", 5000).parquet(f"{folder}/part{i}/deep")
+        rows.filter(F.col("l_orderkey") % 2 == i).write.parquet(f"{folder}/part{i}/deep")
     return folder
 
 
@@ -344,13 +344,15 @@ def scan_multifile(spark, sf):
 
 @query(
     "chunked_export",
-    "SELECT count(*) AS n, true AS within_limit, CAST(ceil(count(*) / 1000.0) AS BIGINT) AS chunks FROM orders",
+    "SELECT count(*) AS n, true AS within_limit, 4::BIGINT AS chunks FROM orders",
 )
 def chunked_export(spark, sf):
-    folder = fresh_folder(spark, "files")
-    chunks = export_chunks(table(spark, sf, "orders"), folder, rows_per_file=1000, threshold=1000)
+    """A table above the threshold, in files of at most a quarter of its rows."""
+    folder, orders = fresh_folder(spark, "files"), table(spark, sf, "orders")
+    quarter = -(-orders.count() // 4)
+    chunks = export_chunks(orders, folder, rows_per_file=quarter, threshold=quarter)
     per_file = spark.read.parquet(folder).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n"))
-    return per_file.agg(F.sum("n").alias("n"), (F.max("n") <= 1000).alias("within_limit")).withColumn("chunks", F.lit(chunks).cast("long"))
+    return per_file.agg(F.sum("n").alias("n"), (F.max("n") <= quarter).alias("within_limit")).withColumn("chunks", F.lit(chunks).cast("long"))
 
 
 @query(
@@ -420,7 +422,7 @@ def footer_meta(spark, sf):
 @query("compact", "SELECT *, true AS fewer_files FROM orders")
 def compact(spark, sf):
     shelf = new_shelf(spark)
-    shelf.publish(table(spark, sf, "orders"), "orders", rows_per_file=1000)
+    shelf.publish(table(spark, sf, "orders").repartition(6, "o_orderkey"), "orders")
     before = shelf.files("orders").count()
     mt.compact(shelf, "orders")
     return shelf.read("orders").withColumn("fewer_files", F.lit(shelf.files("orders").count() < before))
