@@ -22,13 +22,14 @@ TENURE_LABELS = {
 
 
 def _year(band: Column, pattern: str, group: int = 1) -> Column:
-    return F.regexp_extract(band, pattern, group).try_cast("int")
+    # NULL, not '', where the pattern is absent; what it finds is four digits, so the cast cannot fail.
+    return F.nullif(F.regexp_extract(band, pattern, group), F.lit("")).cast("int")
 
 
 def age_band_year(band: Column) -> Column:
     """Nominal construction year of a period text, or NULL."""
     middle = F.round((_year(band, YEAR_RANGE, 1) + _year(band, YEAR_RANGE, 2)) / F.lit(2.0)).cast("int")
-    # An unmatched pattern extracts '' and so gives NULL: the first hit in this order is the answer.
+    # The first hit in this order is the answer.
     return F.coalesce(middle, _year(band, BEFORE_YEAR) - 1, _year(band, FROM_YEAR), _year(band, ANY_YEAR))
 
 
