@@ -132,3 +132,22 @@ def qualified(spark: SparkSession, path: str) -> str:
     """Path with its scheme, in the spelling that file listings use."""
     fs, target = _hadoop_path(spark, path)
     return fs.makeQualified(target).toString()
+
+
+def put_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small text file that appears under its name only once it is complete."""
+    fs, target = _hadoop_path(spark, path)
+    if fs.exists(target):
+        raise FileExistsError(path)
+    draft = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(target.getParent(), f".{target.getName()}.tmp")
+    out = fs.create(draft, True)
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    if not fs.rename(draft, target):
+        raise FileExistsError(path)
+
+
+def child_names(spark: SparkSession, folder: str) -> list[str]:
+    """Names directly below a folder of few entries; empty when there is no such folder."""
+    fs, target = _hadoop_path(spark, folder)
+    return [status.getPath().getName() for status in fs.listStatus(target)] if fs.exists(target) else []

@@ -3,11 +3,11 @@
 Layout below one root::
 
     <root>/<name>/v00000001-<UTC time>-<hash>/part-*.parquet
-    <root>/shelf-log/name=<name>/*.json          one row per log entry
+    <root>/shelf-log/name=<name>/v00000001.json   one log entry per version
 
-A version is visible once its log row exists. Rows are only ever added, so a failed publish
-leaves an unreferenced folder (see ``plans.maintain``) and never a half-visible version. One writer per dataset
-at a time is assumed.
+A version is visible once its log entry exists. Entries are only ever added, so a failed publish leaves an
+unreferenced folder (see ``plans.maintain``) and never a half-visible version. Of two writers that publish the same
+version of a dataset at a time, the second is refused.
 """
 
 from __future__ import annotations
@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 from datashelf.functions.scalars import calendar_part
 from datashelf.operators import changes as change_ops
 from datashelf.operators.evolve import align
-from datashelf.sources.files import list_files, path_exists, qualified
+from datashelf.sources.files import child_names, list_files, path_exists, put_text, qualified
 
 LOG_FOLDER = "shelf-log"
 TEXT_MAP = T.MapType(T.StringType(), T.StringType())
@@ -204,17 +204,22 @@ class Shelf(ShelfReader):
         self.require_message = require_message
         self.last_committed: dict[str, int] = {}
 
-    def _append_log(self, rows: list[dict]) -> None:
-        full = [{field: row.get(field) for field in LOG_SCHEMA.names} for row in rows]
-        entries = self.spark.createDataFrame(full, LOG_SCHEMA).coalesce(1)
-        entries.write.mode("append").partitionBy("name").json(f"{self.root}/{LOG_FOLDER}")
-        for row in rows:
-            if row["kind"] != "expire":
-                self.last_committed[row["name"]] = row["version"]
+    def _append_log(self, name: str, entries: list[dict]) -> None:
+        """Add entries of one dataset as one small file of JSON lines."""
+        lines = []
+        for entry in entries:
+            full = {field: entry.get(field) for field in LOG_SCHEMA.names if field != "name"}
+            full["published_at"] = full["published_at"].astimezone(timezone.utc).isoformat()
+            lines.append(json.dumps({k: v for k, v in full.items() if v is not None}))
+        first = entries[0]
+        label = f"expire-{uuid.uuid4().hex}" if first["kind"] == "expire" else f"v{first['version']:08d}"
+        put_text(self.spark, f"{self.root}/{LOG_FOLDER}/name={name}/{label}.json", "\n".join(lines) + "\n")
+        if first["kind"] != "expire":
+            self.last_committed[name] = first["version"]
 
     def _next_version(self, name: str) -> int:
-        top = self.log().filter((F.col("name") == name) & (F.col("kind") != "expire")).agg(F.max("version")).first()[0]
-        return (top or 0) + 1
+        entries = child_names(self.spark, f"{self.root}/{LOG_FOLDER}/name={name}")
+        return max((int(e[1:9]) for e in entries if e.startswith("v")), default=0) + 1
 
     def publish(
         self,
@@ -274,9 +279,9 @@ class Shelf(ShelfReader):
         if changes is None:
             changes = "created" if version == 1 else "inserted"
         self._append_log(
+            name,
             [
                 dict(
-                    name=name,
                     version=version,
                     kind=kind,
                     published_at=now,
@@ -318,7 +323,7 @@ class Shelf(ShelfReader):
             version=new, kind="rollback", target_version=version, changes=f"rolled back to {version}",
             published_at=now or datetime.now(timezone.utc),
         )
-        self._append_log([row])
+        self._append_log(name, [row])
         return new
 
     def drop(self, name: str, now: datetime | None = None) -> bool:
@@ -326,18 +331,18 @@ class Shelf(ShelfReader):
         if not self.latest().filter(F.col("name") == name).limit(1).count():
             return False
         self._append_log(
-            [dict(name=name, version=self._next_version(name), kind="drop", changes="dropped",
-                  published_at=now or datetime.now(timezone.utc))]
+            name,
+            [dict(version=self._next_version(name), kind="drop", changes="dropped", published_at=now or datetime.now(timezone.utc))],
         )
         return True
 
     def mark_expired(self, rows: Sequence[tuple[str, int]], now: datetime | None = None) -> None:
         """Hide versions; their folders are removed by ``plans.maintain``."""
         stamp = now or datetime.now(timezone.utc)
-        if rows:
+        for name in sorted({n for n, _ in rows}):
             self._append_log(
-                [dict(name=n, version=v, kind="expire", target_version=v, published_at=stamp, changes="expired")
-                 for n, v in rows]
+                name,
+                [dict(version=v, kind="expire", target_version=v, published_at=stamp, changes="expired") for n, v in rows if n == name],
             )
 
 
