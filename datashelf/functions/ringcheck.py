@@ -1,4 +1,4 @@
-"""Row-local geometry checks on Arrow batches: finite, closed, long enough, and no clash between few segments."""
+"""Row-local geometry checks on Arrow batches: finite, closed, long enough, nested well, no clash between few segments."""
 
 from __future__ import annotations
 
@@ -39,8 +39,73 @@ def clashing_pairs(a, b, ring, k, n, p, q) -> np.ndarray:
     return result
 
 
+def _ray(xy, start, n_edges, points) -> np.ndarray:
+    """1 inside, 0 on, -1 outside, per point and ring, by counting crossings of a ray to the right."""
+    out = np.empty(len(points), "int8")
+    edges = np.concatenate([[0], np.cumsum(n_edges)])
+    begin = 0
+    while begin < len(points):
+        end = max(begin + 1, int(np.searchsorted(edges, edges[begin] + PAIRS_PER_STEP, "right")) - 1)
+        n, first = n_edges[begin:end], edges[begin:end] - edges[begin]
+        e = np.repeat(start[begin:end] - first, n) + np.arange(n.sum())
+        a, b, p = xy[e], xy[e + 1], np.repeat(points[begin:end], n, axis=0)
+        turn = _turn(*a.T, *b.T, *p.T)
+        on = (turn == 0) & ((p >= np.minimum(a, b)) & (p <= np.maximum(a, b))).all(axis=1)
+        crossed = ((a[:, 1] > p[:, 1]) != (b[:, 1] > p[:, 1])) & ((turn > 0) == (b[:, 1] > a[:, 1]))
+        inside = np.add.reduceat(crossed.astype("i8"), first) % 2 == 1
+        out[begin:end] = np.where(np.logical_or.reduceat(on, first), 0, np.where(inside, 1, -1))
+        begin = end
+    return out
+
+
+def _places(xy, first, length, inner, outer) -> np.ndarray:
+    """Where rings lie relative to rings that they do not cross: the first probe off the boundary tells."""
+    result = np.zeros(len(inner), "int8")
+    todo = np.arange(len(inner))
+    for probe in (lambda r: xy[r], lambda r: (xy[r] + xy[r + 1]) / 2, lambda r: xy[r + 1], lambda r: xy[r + 2]):
+        if len(todo):
+            ring = outer[todo]
+            result[todo] = _ray(xy, first[ring], length[ring] - 1, probe(first[inner[todo]]))
+            todo = todo[result[todo] == 0]
+    return result
+
+
+def badly_nested(xy, first, length, ring_part, ring_place, spans) -> np.ndarray:
+    """Which geometries have a hole outside its shell, a hole within a hole, or a part within a part.
+
+    ``ring_part`` and ``ring_place`` give a ring's part and its position there (0 is the shell); ``spans`` lists the
+    ring ranges of the geometries to look at. Only rings whose boxes lie within each other are compared.
+    """
+    low = np.minimum.reduceat(xy, first) if len(first) else xy
+    high = np.maximum.reduceat(xy, first) if len(first) else xy
+    pairs = []
+    for g, (begin, end) in enumerate(spans):
+        for r in range(begin, end):
+            held = (low[begin:end] >= low[r]).all(axis=1) & (high[begin:end] <= high[r]).all(axis=1)
+            inner = np.flatnonzero(held) + begin
+            inner = inner[inner != r]
+            pairs.append(np.column_stack([np.full(len(inner), g), inner, np.full(len(inner), r)]))
+    owner, inner, outer = np.concatenate(pairs).T if pairs else np.empty((3, 0), int)
+    place = _places(xy, first, length, inner, outer)
+    hole_in, hole_out = ring_place[inner] > 0, ring_place[outer] > 0
+    same_part = ring_part[inner] == ring_part[outer]
+    bad = np.zeros(len(spans), bool)
+    # A hole belongs in the shell of its part.
+    homed = {r for r in inner[hole_in & ~hole_out & same_part & (place >= 0)].tolist()}
+    for g, (begin, end) in enumerate(spans):
+        bad[g] = any(ring_place[r] > 0 and r not in homed for r in range(begin, end))
+    bad[owner[hole_in & hole_out & same_part & (place > 0)]] = True
+    # A part may lie within another one only where that has a hole.
+    shells = ~hole_in & ~same_part
+    sheltered = {(r, p) for r, p in zip(inner[shells & hole_out & (place >= 0)], ring_part[outer[shells & hole_out & (place >= 0)]])}
+    for i in np.flatnonzero(shells & ~hole_out & (place > 0)):
+        if (inner[i], ring_part[outer[i]]) not in sheltered:
+            bad[owner[i]] = True
+    return bad
+
+
 def row_status(shapes: pa.Array, in_row: int) -> pa.Array:
-    """INVALID, VALID or LARGE per geometry; NULL for NULL. Nesting of rings is not looked at here."""
+    """INVALID, VALID or LARGE per geometry; NULL for NULL."""
     kinds, parts = shapes.flatten()
     rings, vertices = parts.values, parts.values.values
     part_of_geometry = np.diff(parts.offsets.to_numpy())
@@ -92,5 +157,19 @@ def row_status(shapes: pa.Array, in_row: int) -> pa.Array:
         q = p + 1 + np.arange(len(p)) - np.repeat(edges[start:stop] - edges[start], here)
         bad[geometry[p[clashing_pairs(a, b, ring, k, size, p, q)]]] = True
         start = stop
+    rings_of = np.bincount(ring_owner, minlength=count)
+    ring_end = np.cumsum(rings_of)
+    several = np.flatnonzero(polygonal & ~bad & (rings_of > 1))
+    if len(several):
+        ring_part = np.repeat(np.arange(len(ring_of_part)), ring_of_part)
+        ring_place = np.arange(len(length)) - np.searchsorted(ring_part, ring_part)
+        spans = [(ring_end[g] - rings_of[g], ring_end[g]) for g in several]
+        # Empty rings cannot occur here, but other geometries of the batch may have them.
+        used = np.concatenate([np.arange(*span) for span in spans])
+        start = np.concatenate([[0], np.cumsum(length[used])])
+        vertices_used = np.concatenate([xy[last[r] - length[r] + 1 : last[r] + 1] for r in used])
+        shift = np.concatenate([[0], np.cumsum([e - b for b, e in spans])])
+        local = list(zip(shift[:-1], shift[1:]))
+        bad[several] = badly_nested(vertices_used, start[:-1], length[used], ring_part[used], ring_place[used], local)
     status = np.where(bad, INVALID, np.where(large, LARGE, VALID)).astype("int8")
     return pa.array(status, pa.int8(), mask=~np.asarray(shapes.is_valid()))

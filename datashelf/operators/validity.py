@@ -17,7 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from datashelf.functions.geometry import edges, to_multi
+from datashelf.functions.geometry import to_multi
 from datashelf.functions.ringcheck import INVALID, LARGE, row_status
 from datashelf.functions.wkb import decode_wkb
 
@@ -25,65 +25,38 @@ IN_ROW_SEGMENTS = 128
 RULES = ("decode", "multi", "decode+flag")
 
 
-def _turn(a: Column, b: Column, c: Column) -> Column:
-    """Sign of the turn a -> b -> c."""
-    return F.signum((b["x"] - a["x"]) * (c["y"] - a["y"]) - (b["y"] - a["y"]) * (c["x"] - a["x"]))
+def _turn(a: str, b: str, c: str) -> str:
+    """Sign of the turn a -> b -> c, as SQL."""
+    return f"sign(({b}.x - {a}.x) * ({c}.y - {a}.y) - ({b}.y - {a}.y) * ({c}.x - {a}.x))"
 
 
-def _in_box(p: Column, a: Column, b: Column) -> Column:
-    """p within the rectangle spanned by a and b."""
+def _overlap(axis: str) -> str:
+    """Length that segments s and t share on an axis; negative when their boxes are apart."""
     return (
-        (p["x"] >= F.least(a["x"], b["x"])) & (p["x"] <= F.greatest(a["x"], b["x"]))
-        & (p["y"] >= F.least(a["y"], b["y"])) & (p["y"] <= F.greatest(a["y"], b["y"]))
+        f"least(greatest(s.a.{axis}, s.b.{axis}), greatest(t.a.{axis}, t.b.{axis}))"
+        f" - greatest(least(s.a.{axis}, s.b.{axis}), least(t.a.{axis}, t.b.{axis}))"
     )
 
 
-def _same(p: Column, q: Column) -> Column:
-    return (p["x"] == q["x"]) & (p["y"] == q["y"])
+# Segments s and t (struct<a,b,ring,k,n>: end points, ring number, position in the ring, ring size) of one polygonal
+# geometry may not stand together. The same rule as ``ringcheck.clashing_pairs``, for the join. The one-element array
+# names the turns, so that each is computed once.
+CLASH = f"""{_overlap("x")} >= 0 AND {_overlap("y")} >= 0 AND exists(
+  array(named_struct('t1', {_turn("s.a", "s.b", "t.a")}, 't2', {_turn("s.a", "s.b", "t.b")},
+    't3', {_turn("t.a", "t.b", "s.a")}, 't4', {_turn("t.a", "t.b", "s.b")})),
+  v -> v.t1 * v.t2 <= 0 AND v.t3 * v.t4 <= 0 AND CASE
+    WHEN s.ring = t.ring AND (abs(s.k - t.k) = 1 OR abs(s.k - t.k) = s.n - 1)
+      THEN v.t1 = 0 AND v.t2 = 0 AND ({_overlap("x")} > 0 OR {_overlap("y")} > 0)
+    WHEN s.ring = t.ring THEN true
+    ELSE (v.t1 * v.t2 < 0 AND v.t3 * v.t4 < 0)
+      OR (v.t1 = 0 AND v.t2 = 0 AND ({_overlap("x")} > 0 OR {_overlap("y")} > 0)) END)"""
 
-
-def _boxes_meet(s: Column, t: Column) -> Column:
-    return (
-        (F.greatest(s["a"]["x"], s["b"]["x"]) >= F.least(t["a"]["x"], t["b"]["x"]))
-        & (F.greatest(t["a"]["x"], t["b"]["x"]) >= F.least(s["a"]["x"], s["b"]["x"]))
-        & (F.greatest(s["a"]["y"], s["b"]["y"]) >= F.least(t["a"]["y"], t["b"]["y"]))
-        & (F.greatest(t["a"]["y"], t["b"]["y"]) >= F.least(s["a"]["y"], s["b"]["y"]))
-    )
-
-
-def _clash(s: Column, t: Column) -> Column:
-    """True when two segments of one polygonal geometry may not stand together.
-
-    Segments are ``struct<a,b,ring,k,n>``: end points, ring number, position in the ring, ring size.
-    Neighbours in a ring may share their corner only, other segments of a ring nothing, and segments of different
-    rings single points.
-    """
-    turns = F.struct(
-        _turn(s["a"], s["b"], t["a"]).alias("t1"), _turn(s["a"], s["b"], t["b"]).alias("t2"),
-        _turn(t["a"], t["b"], s["a"]).alias("t3"), _turn(t["a"], t["b"], s["b"]).alias("t4"),
-    )
-
-    def overlap(axis: str) -> Column:
-        low = F.greatest(F.least(s["a"][axis], s["b"][axis]), F.least(t["a"][axis], t["b"][axis]))
-        high = F.least(F.greatest(s["a"][axis], s["b"][axis]), F.greatest(t["a"][axis], t["b"][axis]))
-        return high - low
-
-    def judge(v: Column) -> Column:
-        meet = (v["t1"] * v["t2"] <= 0) & (v["t3"] * v["t4"] <= 0)
-        crossing = (v["t1"] * v["t2"] < 0) & (v["t3"] * v["t4"] < 0)
-        # On one line with meeting boxes: a shared stretch has a positive length on some axis.
-        stretch = (v["t1"] == 0) & (v["t2"] == 0) & ((overlap("x") > 0) | (overlap("y") > 0))
-        same_ring = s["ring"] == t["ring"]
-        step = F.abs(s["k"] - t["k"])
-        neighbours = (step == 1) | (step == s["n"] - 1)
-        return meet & F.when(same_ring & neighbours, stretch).when(same_ring, F.lit(True)).otherwise(crossing | stretch)
-
-    # One-element array: the turns are computed once and named.
-    return _boxes_meet(s, t) & F.exists(F.array(turns), judge)
-
-
-def _without_repeats(ring: Column) -> Column:
-    return F.filter(ring, lambda v, i: (i == 0) | ~_same(v, F.get(ring, i - 1)))
+# All segments of all rings of the column ``parts``, repeated vertices skipped.
+SEGMENTS = """flatten(transform(
+  transform(flatten(parts), ring -> filter(ring, (v, i) -> i = 0 OR v.x <> ring[i - 1].x OR v.y <> ring[i - 1].y)),
+  (ring, r) -> transform(
+    zip_with(slice(ring, 1, size(ring) - 1), slice(ring, 2, size(ring) - 1), (a, b) -> named_struct('a', a, 'b', b)),
+    (e, k) -> named_struct('a', e.a, 'b', e.b, 'ring', r, 'k', k, 'n', size(ring) - 1))))"""
 
 
 def _row_status(in_row: int):
@@ -94,138 +67,44 @@ def _row_status(in_row: int):
     return status
 
 
-def _segments(parts: Column) -> Column:
-    """All segments of all rings, tagged with ring number, position and ring size; repeated vertices are skipped."""
-    rings = F.transform(F.flatten(parts), _without_repeats)
-    tagged = F.transform(
-        rings,
-        lambda ring, r: F.transform(
-            edges(ring),
-            lambda e, k: F.struct(
-                e["a"].alias("a"), e["b"].alias("b"), r.alias("ring"), k.alias("k"), (F.size(ring) - 1).alias("n")
-            ),
-        ),
-    )
-    return F.flatten(tagged)
-
-
-def _place(p: Column, ring: Column) -> Column:
-    """1 inside the ring, 0 on it, -1 outside (crossing count of a ray to the right)."""
-    sides = F.aggregate(
-        edges(ring),
-        F.struct(F.lit(False).alias("on"), F.lit(False).alias("odd")),
-        lambda acc, e: F.struct(
-            (acc["on"] | ((_turn(e["a"], e["b"], p) == 0) & _in_box(p, e["a"], e["b"]))).alias("on"),
-            (
-                acc["odd"]
-                != (
-                    ((e["a"]["y"] > p["y"]) != (e["b"]["y"] > p["y"]))
-                    & ((_turn(e["a"], e["b"], p) > 0) == (e["b"]["y"] > e["a"]["y"]))
-                )
-            ).alias("odd"),
-        ),
-    )
-    return F.when(sides["on"], 0).when(sides["odd"], 1).otherwise(-1)
-
-
-def _ring_place(ring: Column, other: Column) -> Column:
-    """Where a ring lies relative to another that it does not cross: the first probe that is off the boundary tells."""
-    middle = F.struct(
-        ((ring[0]["x"] + ring[1]["x"]) / 2).alias("x"), ((ring[0]["y"] + ring[1]["y"]) / 2).alias("y")
-    )
-    return F.aggregate(
-        F.array(ring[0], middle, ring[1], ring[2]),
-        F.lit(0),
-        lambda found, p: F.when(found != 0, found).otherwise(_place(p, other)),
-    )
-
-
-def _nesting_ok(parts: Column) -> Column:
-    def holes(part: Column) -> Column:
-        return F.slice(part, F.lit(2), F.greatest(F.size(part) - 1, F.lit(0)))
-
-    def part_ok(part: Column) -> Column:
-        inside = F.forall(holes(part), lambda hole: _ring_place(hole, part[0]) >= 0)
-        apart = F.when(
-            F.size(part) > 2,
-            ~F.exists(
-                F.transform(holes(part), lambda h, i: F.struct(h.alias("ring"), i.alias("i"))),
-                lambda h: F.exists(
-                    F.transform(holes(part), lambda g, j: F.struct(g.alias("ring"), j.alias("j"))),
-                    lambda g: (h["i"] != g["j"]) & (_ring_place(h["ring"], g["ring"]) > 0),
-                ),
-            ),
-        ).otherwise(F.lit(True))
-        return inside & apart
-
-    numbered = F.transform(parts, lambda part, i: F.struct(part.alias("rings"), i.alias("i")))
-    nested = F.exists(
-        numbered,
-        lambda p: F.exists(
-            numbered,
-            lambda q: (p["i"] != q["i"])
-            & (_ring_place(p["rings"][0], q["rings"][0]) > 0)
-            & ~F.exists(holes(q["rings"]), lambda hole: _ring_place(p["rings"][0], hole) >= 0),
-        ),
-    )
-    return F.forall(parts, part_ok) & F.when(F.size(parts) > 1, ~nested).otherwise(F.lit(True))
-
-
 def _large_clashes(large: DataFrame, ids: Sequence[str]) -> DataFrame:
     """Ids of large geometries with clashing segments, found by a join on grid cells."""
-    boxed = large.select(
+    # posexplode_outer: a large geometry always has segments, so no filter on their number need be inferred.
+    renamed = {c: f"__id{n}" for n, c in enumerate(ids)}  # apart from the working columns below
+    back, large = {v: k for k, v in renamed.items()}, large.withColumnsRenamed(renamed)
+    ids = list(back)
+    boxed = large.selectExpr(
         *ids,
-        F.size("__segments").alias("__count"),
-        F.array_min(F.transform("__segments", lambda s: F.least(s["a"]["x"], s["b"]["x"]))).alias("__x0"),
-        F.array_min(F.transform("__segments", lambda s: F.least(s["a"]["y"], s["b"]["y"]))).alias("__y0"),
-        F.array_max(F.transform("__segments", lambda s: F.greatest(s["a"]["x"], s["b"]["x"]))).alias("__x1"),
-        F.array_max(F.transform("__segments", lambda s: F.greatest(s["a"]["y"], s["b"]["y"]))).alias("__y1"),
-        F.posexplode("__segments").alias("__i", "s"),
+        "size(segments) AS total",
+        "array_min(transform(segments, s -> least(s.a.x, s.b.x))) AS x0",
+        "array_min(transform(segments, s -> least(s.a.y, s.b.y))) AS y0",
+        "array_max(transform(segments, s -> greatest(s.a.x, s.b.x))) AS x1",
+        "array_max(transform(segments, s -> greatest(s.a.y, s.b.y))) AS y1",
+        "posexplode_outer(segments) AS (i, s)",
     )
-    # About one segment length per cell side; every slab a segment passes gets the cells of its stretch there.
-    per_side = F.greatest(F.ceil(F.sqrt("__count")), F.lit(1))
-    gridded = boxed.withColumns(
-        {
-            "__w": F.greatest((F.col("__x1") - F.col("__x0")) / per_side, F.lit(1e-300)),
-            "__h": F.greatest((F.col("__y1") - F.col("__y0")) / per_side, F.lit(1e-300)),
-        }
+    # About one segment length per cell side; every column of cells that a segment passes gets the cells of its
+    # stretch there. Borders are padded by a millionth of a cell against rounding.
+    gridded = boxed.selectExpr(
+        *ids, "i", "s", "x0", "y0",
+        "greatest((x1 - x0) / greatest(ceil(sqrt(total)), 1), 1e-300) AS w",
+        "greatest((y1 - y0) / greatest(ceil(sqrt(total)), 1), 1e-300) AS h",
+        "IF(s.a.x <= s.b.x, s.a, s.b) AS l", "IF(s.a.x <= s.b.x, s.b, s.a) AS r",
     )
-    left = F.when(F.col("s.a.x") <= F.col("s.b.x"), F.col("s.a")).otherwise(F.col("s.b"))
-    right = F.when(F.col("s.a.x") <= F.col("s.b.x"), F.col("s.b")).otherwise(F.col("s.a"))
-    pad = 1e-6  # of a cell, against rounding at cell borders
-
-    def slab(x: Column, shift: float) -> Column:
-        return F.floor((x - F.col("__x0")) / F.col("__w") + shift)
-
-    slabs = gridded.withColumns({"l": left, "r": right}).withColumn(
-        "cx", F.explode(F.sequence(slab(F.col("l.x"), -pad), slab(F.col("r.x"), pad)))
+    columns = gridded.selectExpr("*", "explode(sequence(floor((l.x - x0) / w - 1e-6), floor((r.x - x0) / w + 1e-6))) AS cx")
+    stretches = columns.selectExpr(
+        *ids, "i", "s", "cx", "y0", "h",
+        "IF(r.x > l.x, l.y + (r.y - l.y) * ((greatest(l.x, x0 + (cx - 1e-6) * w) - l.x) / (r.x - l.x)), l.y) AS y_in",
+        "IF(r.x > l.x, l.y + (r.y - l.y) * ((least(r.x, x0 + (cx + 1 + 1e-6) * w) - l.x) / (r.x - l.x)), r.y) AS y_out",
     )
-    span = F.col("r.x") - F.col("l.x")
-    slope = F.when(span > 0, (F.col("r.y") - F.col("l.y")) / span)
-
-    def y_at(x: Column) -> Column:
-        return F.col("l.y") + slope * (x - F.col("l.x"))
-
-    enter = F.greatest(F.col("l.x"), F.col("__x0") + (F.col("cx") - pad) * F.col("__w"))
-    leave = F.least(F.col("r.x"), F.col("__x0") + (F.col("cx") + 1 + pad) * F.col("__w"))
-    y_in = F.when(span > 0, y_at(enter)).otherwise(F.col("l.y"))
-    y_out = F.when(span > 0, y_at(leave)).otherwise(F.col("r.y"))
-
-    def row(y: Column, shift: float) -> Column:
-        return F.floor((y - F.col("__y0")) / F.col("__h") + shift)
-
-    cells = (
-        slabs.withColumns({"__in": y_in, "__out": y_out})
-        .withColumn(
-            "cy",
-            F.explode(F.sequence(row(F.least("__in", "__out"), -pad), row(F.greatest("__in", "__out"), pad))),
-        )
-        .select(*ids, "cx", "cy", "__i", "s")
+    cells = stretches.selectExpr(
+        *ids, "i", "s", "cx",
+        "explode(sequence(floor((least(y_in, y_out) - y0) / h - 1e-6), floor((greatest(y_in, y_out) - y0) / h + 1e-6))) AS cy",
     )
-    p, q = cells.alias("p"), cells.alias("q")
+    p = cells.alias("p")
+    q = cells.withColumnsRenamed({"s": "t", "i": "j"}).alias("q")
     meet = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in (*ids, "cx", "cy")]
-    pairs = p.join(q, [*meet, F.col("p.__i") < F.col("q.__i"), _clash(F.col("p.s"), F.col("q.s"))], "inner")
-    return pairs.select(*[F.col(f"p.{c}").alias(c) for c in ids]).distinct()
+    pairs = p.join(q, [*meet, F.col("i") < F.col("j"), F.expr(CLASH)], "inner")
+    return pairs.select(*[F.col(f"p.{c}").alias(back[c]) for c in ids]).distinct()
 
 
 def flag_valid(
@@ -242,19 +121,11 @@ def flag_valid(
     fail it are not decoded again for the large-geometry branch.
     """
     geometry = F.col(shape)
-    parts = geometry["parts"]
     staged = df.withColumn("__status", _row_status(in_row)(geometry))
     candidates = staged if may_be_large is None else staged.filter(may_be_large)
-    large = candidates.filter(F.col("__status") == LARGE).withColumn("__segments", _segments(parts))
-    clashing = _large_clashes(large, ids).withColumn("__bad", F.lit(True))
-    polygonal = geometry["type"].isin("POLYGON", "MULTIPOLYGON")
-    several_rings = F.size(F.flatten(parts)) > 1
-    result = (
-        F.when(F.col("__status").isNull(), F.lit(None))
-        .when((F.col("__status") == INVALID) | F.col("__bad"), F.lit(False))
-        .when(polygonal & several_rings, _nesting_ok(parts))
-        .otherwise(F.lit(True))
-    )
+    large = candidates.filter(F.col("__status") == LARGE).select(*ids, geometry["parts"].alias("parts"))
+    clashing = _large_clashes(large.selectExpr(*ids, f"{SEGMENTS} AS segments"), ids).withColumn("__bad", F.lit(True))
+    result = F.when(F.col("__status").isNotNull(), (F.col("__status") != INVALID) & F.col("__bad").isNull())
     return staged.join(clashing, list(ids), "left").withColumn(flag, result).select(*df.columns, flag)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 from functools import reduce
 
@@ -19,6 +20,14 @@ class PreflightFailed(RuntimeError):
     """A source cannot be read; nothing was changed."""
 
 
+def reason_of(error: Exception) -> str:
+    """One line that says what went wrong."""
+    lines = [line.strip() for line in str(error).splitlines() if line.strip()]
+    # An error raised inside a Python function comes last, under the worker's stack trace.
+    told = [line for line in lines if re.match(r"\w*(Error|Exception): ", line)]
+    return ([*told[-1:], *lines] or [type(error).__name__])[0][:300]
+
+
 def preflight(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]], stop: bool = True) -> DataFrame:
     """Open and count every source. With ``stop``, raise if any of them fails."""
     opened, problems = {}, {}
@@ -26,7 +35,7 @@ def preflight(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]],
         try:
             opened[name] = load()
         except Exception as error:  # noqa: BLE001 - whatever the source raises is the finding
-            problems[name] = str(error).splitlines()[0][:300]
+            problems[name] = reason_of(error)
     counts: dict[str, int] = {}
     try:
         if opened:
@@ -36,7 +45,7 @@ def preflight(spark: SparkSession, sources: dict[str, Callable[[], DataFrame]],
             try:
                 counts[name] = df.count()
             except Exception as error:  # noqa: BLE001
-                problems[name] = str(error).splitlines()[0][:300]
+                problems[name] = reason_of(error)
     if stop and problems:
         raise PreflightFailed(f"unreadable sources: {problems}")
     rows = [(n, n in counts, counts.get(n), problems.get(n)) for n in sources]

@@ -9,14 +9,14 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from datashelf.functions.crs import set_crs
 from datashelf.functions.geometry import geometry_type
-from datashelf.functions.wkb import encode_wkb
+from datashelf.functions.wkb import decode_wkb, encode_wkb
 from datashelf.operators.stats import row_counts
 from datashelf.operators.validity import normalise_geometry
 from datashelf.plans.catalogue import SPATIAL_META, columns_catalogue, datasets_catalogue
-from datashelf.plans.quality import preflight, reconcile_counts, run_summary
+from datashelf.plans.quality import preflight, reason_of, reconcile_counts, run_summary
 from datashelf.plans.views import ViewRegistry
-from datashelf.functions.crs import set_crs
 from datashelf.session import fresh_folder
 from datashelf.sources.shelf import Shelf
 
@@ -65,8 +65,6 @@ def publish_spatial(shelf: Shelf, df: DataFrame, name: str, spatial: Spatial, **
 
 def read_geo(shelf, name: str, version: int | None = None) -> DataFrame:
     """A spatial dataset with its WKB column decoded and the CRS attached."""
-    from datashelf.functions.wkb import decode_wkb
-
     user = shelf.meta(name, version).first()["user"] or {}
     if user.get("spatial", "").lower() != "true":
         raise ValueError(f"{name} is not spatial")
@@ -100,7 +98,7 @@ def refresh(config: Config) -> DataFrame:
             load().write.parquet(f"{folder}/{name}")
             staged[name] = spark.read.parquet(f"{folder}/{name}")
         except Exception as error:  # noqa: BLE001 - reported per table
-            failures.append((name, str(error).splitlines()[0][:300]))
+            failures.append((name, reason_of(error)))
     reconciled = reconcile_counts(counted, row_counts(staged)) if staged else reconcile_counts(counted, counted.limit(0))
     matching = {r["table_name"] for r in reconciled.filter("status = 'MATCH'").collect()}
 
@@ -117,7 +115,7 @@ def refresh(config: Config) -> DataFrame:
             else:
                 shelf.publish(staged[name], name, **args)
         except Exception as error:  # noqa: BLE001 - reported per table
-            failures.append((name, str(error).splitlines()[0][:300]))
+            failures.append((name, reason_of(error)))
 
     published = [n for n in config.tables if n in matching and n not in dict(failures)]
     if published:
