@@ -144,35 +144,44 @@ def sample_distinct(df: DataFrame, n: int = 3) -> DataFrame:
 
 
 def samples_of(tables: dict[str, DataFrame], n: int = 3) -> DataFrame:
-    """Per table and column the ``n`` smallest distinct non-null values as text.
+    """Per table and column the ``n`` smallest distinct non-null values, shown as text.
 
     Each of the ``n`` steps is one job over all tables with a single aggregate row per table: the minimum above the
     previous one. No value set is shuffled or held, however many distinct values a column has. Nested and binary
     columns have no examples.
     """
-    first = next(iter(tables.values()))
-    found: dict[tuple[str, str], list] = {}
+    session = next(iter(tables.values())).sparkSession
+    shown: dict[tuple[str, str], list[str]] = {}
+    last: dict[tuple[str, str], str] = {}  # previous minimum in Spark's own spelling, which casts back exactly
     open_columns = {t: [f for f in df.schema.fields if not isinstance(f.dataType, NESTED)] for t, df in tables.items()}
     for _ in range(n):
         frames = []
         for table, fields in open_columns.items():
             if not fields:
                 continue
-            texts = tables[table].select(*[plain_text(F.col(f"`{f.name}`"), f.dataType).alias(f"c{i}") for i, f in enumerate(fields)])
             lows = []
             for i, f in enumerate(fields):
-                value, seen = F.col(f"c{i}"), found.get((table, f.name))
-                lows.append(F.min(F.when(value > F.lit(seen[-1]), value) if seen else value).alias(f"c{i}"))
-            items = [F.struct(F.lit(table).alias("t"), F.lit(f.name).alias("c"), F.col(f"c{i}").alias("v")) for i, f in enumerate(fields)]
-            frames.append(texts.agg(*lows).select(F.inline(F.array(*items))))
+                value = F.col(f"`{f.name}`")
+                if (table, f.name) in last:
+                    value = F.when(value > F.lit(last[table, f.name]).cast(f.dataType), value)
+                lows.append(F.min(value).alias(f"c{i}"))
+            items = [
+                F.struct(
+                    F.lit(table).alias("t"), F.lit(f.name).alias("c"), F.col(f"c{i}").cast("string").alias("exact"),
+                    plain_text(F.col(f"c{i}"), f.dataType).alias("text"),
+                )
+                for i, f in enumerate(fields)
+            ]
+            frames.append(tables[table].agg(*lows).select(F.inline(F.array(*items))))
         if not frames:
             break
-        row_of = {(r["t"], r["c"]): r["v"] for r in reduce(DataFrame.unionAll, frames).collect() if r["v"] is not None}
-        for key, value in row_of.items():
-            found.setdefault(key, []).append(value)
-        open_columns = {t: [f for f in fields if (t, f.name) in row_of] for t, fields in open_columns.items()}
+        found = {(r["t"], r["c"]): r for r in reduce(DataFrame.unionAll, frames).collect() if r["exact"] is not None}
+        for key, row in found.items():
+            last[key] = row["exact"]
+            shown.setdefault(key, []).append(row["text"])
+        open_columns = {t: [f for f in fields if (t, f.name) in found] for t, fields in open_columns.items()}
     schema = "table_name string, column_name string, " + ", ".join(f"example_{k + 1} string" for k in range(n))
     rows = [
-        (t, f.name, *(found.get((t, f.name), []) + [None] * n)[:n]) for t, df in tables.items() for f in df.schema.fields
+        (t, f.name, *(shown.get((t, f.name), []) + [None] * n)[:n]) for t, df in tables.items() for f in df.schema.fields
     ]
-    return first.sparkSession.createDataFrame(rows, schema)
+    return session.createDataFrame(rows, schema)

@@ -118,8 +118,8 @@ def _text(column: str, kind: str) -> str:
 def _samples_sql(name: str) -> str:
     def one(column: str, kind: str) -> str:
         nth = ", ".join(f"max(v) FILTER (WHERE rn = {i}) AS example_{i}" for i in (1, 2, 3))
-        return f"""SELECT '{column}' AS column_name, {nth} FROM (SELECT v, row_number() OVER (ORDER BY v) AS rn
-        FROM (SELECT DISTINCT {_text(column, kind)} AS v FROM {name} WHERE {column} IS NOT NULL))"""
+        return f"""SELECT '{column}' AS column_name, {nth} FROM (SELECT {_text(column, kind)} AS v, row_number() OVER (ORDER BY {column}) AS rn
+        FROM (SELECT DISTINCT {column} FROM {name} WHERE {column} IS NOT NULL))"""
 
     return " UNION ALL ".join(one(c, k) for c, k in columns_of(name))
 
