@@ -133,7 +133,9 @@ def table_changes(states: Sequence[tuple[int | None, DataFrame | None]], key: Se
         )
         replaced = ends.filter("__in = 1 AND __out = 1").select("snapshot_id", *key, F.lit(True).alias(HIT))
         same = reduce(
-            lambda a, b: a & b, [F.col(f"m.{k}").eqNullSafe(F.col(f"r.{k}")) for k in ["snapshot_id", *key]]
+            lambda a, b: a & b,
+            [F.col(f"m.{k}").eqNullSafe(F.col(f"r.{k}")) for k in key],
+            F.col("m.snapshot_id") == F.col("r.snapshot_id"),
         )
         moved = moved.alias("m").join(replaced.alias("r"), same, "left").select("m.*", f"r.{HIT}")
         image = F.when(F.col("__delta") > 0, "update_postimage").otherwise("update_preimage")

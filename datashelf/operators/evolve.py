@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from datashelf.sources.files import list_files
 
 DEFAULT_KEY = "initial_default"
+NOT_NULL_KEY = "not_null"
 
 # Lossless promotions. Unsigned types arrive in Spark as the next wider signed type.
 PROMOTIONS = {
@@ -85,6 +86,20 @@ def promote(df: DataFrame, column: str, data_type: str) -> DataFrame:
     return df.withColumn(column, F.col(column).cast(target)).withMetadata(column, metadata)
 
 
+def set_not_null(df: DataFrame, column: str) -> DataFrame:
+    """Require a column from now on: every publish of data that carries this mark checks it."""
+    return df.withMetadata(column, {**(df.schema[column].metadata or {}), NOT_NULL_KEY: True})
+
+
+def drop_not_null(df: DataFrame, column: str) -> DataFrame:
+    kept = {k: v for k, v in (df.schema[column].metadata or {}).items() if k != NOT_NULL_KEY}
+    return df.withMetadata(column, kept)
+
+
+def required_columns(schema: T.StructType) -> list[str]:
+    return [f.name for f in schema.fields if (f.metadata or {}).get(NOT_NULL_KEY)]
+
+
 def _default(field: T.StructField, defaults: dict) -> Column:
     value = defaults.get(field.name)
     if value is None and DEFAULT_KEY in (field.metadata or {}):

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from datashelf.session import fresh_folder
@@ -25,7 +26,8 @@ def with_row_id(df: DataFrame, order: Sequence[Column | str], name: str = "row_i
     order = [F.col(o) if isinstance(o, str) else o for o in order]
     columns = [F.col(f"`{c}`") for c in df.columns]
     numbered = df.withColumn("__place", F.monotonically_increasing_id())
-    full_order = [*order, F.xxhash64(*columns), F.col("__place")]
+    hashable = [F.col(f"`{f.name}`") for f in df.schema.fields if not isinstance(f.dataType, T.MapType)]
+    full_order = [*order, F.xxhash64(*hashable), F.col("__place")]
     folder = fresh_folder(df.sparkSession, "row-id")
     (
         numbered.repartitionByRange(*full_order)

@@ -121,12 +121,16 @@ def flag_valid(
     fail it are not decoded again for the large-geometry branch.
     """
     geometry = F.col(shape)
+    status = F.col("__status")
     staged = df.withColumn("__status", _row_status(in_row)(geometry))
+    decided = staged.filter(status.isNull() | (status != LARGE)).withColumn(flag, status != INVALID)
+    # Only large geometries take part in the join; all others keep their place.
     candidates = staged if may_be_large is None else staged.filter(may_be_large)
-    large = candidates.filter(F.col("__status") == LARGE).select(*ids, geometry["parts"].alias("parts"))
-    clashing = _large_clashes(large.selectExpr(*ids, f"{SEGMENTS} AS segments"), ids).withColumn("__bad", F.lit(True))
-    result = F.when(F.col("__status").isNotNull(), (F.col("__status") != INVALID) & F.col("__bad").isNull())
-    return staged.join(clashing, list(ids), "left").withColumn(flag, result).select(*df.columns, flag)
+    large = candidates.filter(status == LARGE)
+    segments = large.select(*ids, geometry["parts"].alias("parts")).selectExpr(*ids, f"{SEGMENTS} AS segments")
+    clashing = _large_clashes(segments, ids).withColumn("__bad", F.lit(True))
+    checked = large.join(clashing, list(ids), "left").withColumn(flag, F.col("__bad").isNull())
+    return decided.select(*df.columns, flag).unionAll(checked.select(*df.columns, flag))
 
 
 def normalise_geometry(df: DataFrame, wkb: str, rule: str, ids: Sequence[str] = ()) -> DataFrame:

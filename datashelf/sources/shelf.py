@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from datashelf.functions.scalars import calendar_part
 from datashelf.operators import changes as change_ops
-from datashelf.operators.evolve import align
+from datashelf.operators.evolve import align, required_columns
 from datashelf.sources.files import child_names, list_files, path_exists, put_text, qualified
 
 LOG_FOLDER = "shelf-log"
@@ -275,7 +275,7 @@ class Shelf(ShelfReader):
         schema = T.StructType([T.StructField(n, df.schema[n].dataType, True, df.schema[n].metadata) for n in names])
         staged = self.spark.read.schema(schema).parquet(path)
         row_count = staged.count()  # answered from footers
-        check_not_null(staged, not_null)
+        check_not_null(staged, sorted({*not_null, *required_columns(schema)}))
         if changes is None:
             changes = "created" if version == 1 else "inserted"
         self._append_log(
@@ -326,6 +326,21 @@ class Shelf(ShelfReader):
         self._append_log(name, [row])
         return new
 
+    def rename(self, old: str, new: str, now: datetime | None = None) -> int:
+        """Give a dataset's newest version another name. No data is copied; older versions stay under the old name."""
+        if self._next_version(new) > 1 and self.latest().filter(F.col("name") == new).limit(1).count():
+            raise FileExistsError(f"{new} is already on the shelf")
+        row = self._entry(old).asDict()
+        stamp = now or datetime.now(timezone.utc)
+        version = self._next_version(new)
+        row.update(
+            version=version, kind="publish", target_version=None, changes=f"renamed from {old}", published_at=stamp,
+            title=new if row["title"] == old else row["title"],
+        )
+        self._append_log(new, [row])
+        self.drop(old, stamp)
+        return version
+
     def drop(self, name: str, now: datetime | None = None) -> bool:
         """Take a dataset off the shelf. A second call does nothing; old versions stay readable by number."""
         if not self.latest().filter(F.col("name") == name).limit(1).count():

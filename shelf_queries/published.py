@@ -76,7 +76,7 @@ def current_version(spark, sf):
 
 @query(
     "list_versions",
-    f"""SELECT * FROM (SELECT 1 AS version, 'created' AS changes, 'step 1' AS message, 1 AS run, (SELECT count(*) FROM ({I.V1})) AS row_count
+    f"""SELECT * FROM (SELECT 1::BIGINT AS version, 'created' AS changes, 'step 1' AS message, 1 AS run, (SELECT count(*) FROM ({I.V1})) AS row_count
     UNION ALL SELECT 2, 'inserted', 'step 2', 2, (SELECT count(*) FROM ({I.V2}))
     UNION ALL SELECT 3, 'inserted', 'step 3', 3, (SELECT count(*) FROM ({I.V3})))""",
 )
@@ -106,7 +106,7 @@ def list_datasets(spark, sf):
 def dataset_meta(spark, sf):
     shelf = three_versions(spark, sf, 1)
     docs = shelf.column_docs("customer").drop("name")
-    return docs.join(shelf.meta("customer").select("row_count"), F.lit(True))  # one metadata row
+    return docs.withColumn("row_count", F.lit(shelf.meta("customer").first()["row_count"]).cast("long"))
 
 
 @query("rollback", I.V1)
@@ -215,10 +215,10 @@ def _pair_sql(version: int) -> str:
     old, new = STATE[version - 1], STATE[version]
     moved = "(o.c_acctbal IS DISTINCT FROM n.c_acctbal OR o.c_mktsegment IS DISTINCT FROM n.c_mktsegment)"
     both = f"FROM ({old}) o JOIN ({new}) n ON o.c_custkey = n.c_custkey WHERE {moved}"
-    return f"""SELECT {version} AS snapshot_id, 'delete' AS change_type, o.* FROM ({old}) o
+    return f"""SELECT {version}::BIGINT AS snapshot_id, 'delete' AS change_type, o.* FROM ({old}) o
       WHERE o.c_custkey NOT IN (SELECT c_custkey FROM ({new}))
-    UNION ALL SELECT {version}, 'insert', n.* FROM ({new}) n WHERE n.c_custkey NOT IN (SELECT c_custkey FROM ({old}))
-    UNION ALL SELECT {version}, 'update_preimage', o.* {both} UNION ALL SELECT {version}, 'update_postimage', n.* {both}"""
+    UNION ALL SELECT {version}::BIGINT, 'insert', n.* FROM ({new}) n WHERE n.c_custkey NOT IN (SELECT c_custkey FROM ({old}))
+    UNION ALL SELECT {version}::BIGINT, 'update_preimage', o.* {both} UNION ALL SELECT {version}::BIGINT, 'update_postimage', n.* {both}"""
 
 
 FEED = f"{_pair_sql(2)} UNION ALL {_pair_sql(3)}"
@@ -312,7 +312,7 @@ def not_null(spark, sf):
     shelf, df = new_shelf(spark), I.certificates(spark, sf)
     check_not_null(df, ["cert_id"])
     try:
-        shelf.publish(df, "certificates", not_null=["cert_id", "tenure"])
+        shelf.publish(ev.set_not_null(df, "tenure"), "certificates", not_null=["cert_id"])
         refused = False
     except ValueError:
         refused = shelf.list_datasets().count() == 0
@@ -430,7 +430,7 @@ def compact(spark, sf):
 
 @query(
     "expire_versions",
-    f"""SELECT 'customer' AS name, version, (SELECT count(*) FROM ({I.V3})) AS rows_left FROM (VALUES (1), (2)) t(version)""",
+    f"""SELECT 'customer' AS name, version::BIGINT AS version, (SELECT count(*) FROM ({I.V3})) AS rows_left FROM (VALUES (1), (2)) t(version)""",
 )
 def expire_versions(spark, sf):
     """Dry run, then the real thing: two old versions go, the newest stays whatever its age."""
@@ -440,8 +440,8 @@ def expire_versions(spark, sf):
     if mt.expire(shelf, limit, dry_run=False) != planned:
         raise RuntimeError("dry run and run differ")
     gone = spark.createDataFrame(planned, "name string, version long")
-    left = shelf.versions("customer").agg(F.sum("row_count").alias("rows_left"))
-    return gone.join(left, F.lit(True))  # one row of totals
+    left = shelf.versions("customer").agg(F.sum("row_count")).first()[0]
+    return gone.withColumn("rows_left", F.lit(left).cast("long"))
 
 
 @query(
@@ -463,7 +463,7 @@ def orphan_files(spark, sf):
 
 @query(
     "maintain",
-    f"""SELECT step, subject, n, (SELECT count(*) FROM ({I.V3})) AS rows_left
+    f"""SELECT step, subject, n::BIGINT AS n, (SELECT count(*) FROM ({I.V3})) AS rows_left
     FROM (VALUES ('expire', 'versions', 2), ('compact', 'datasets', 1), ('clean up', 'files', 0)) t(step, subject, n)""",
 )
 def maintain(spark, sf):

@@ -149,6 +149,19 @@ def test_publish_rules(spark, people):
     assert strict.read("people").schema["id"].metadata["comment"] == "Number"
 
 
+def test_rename_and_required_columns(spark, shelf, people):
+    shelf.publish(ev.set_not_null(people, "name"), "people")
+    assert shelf.rename("people", "staff") == 1 and rows(shelf.list_datasets()) == [("staff",)]
+    assert mt.expire(shelf, datetime.now(timezone.utc) + timedelta(days=1), name="people", dry_run=False) == []
+    blank = shelf.read("staff").withColumn("salary", F.lit(None).cast("double"))
+    shelf.replace_rows(blank, "staff")
+    nameless = ch.update_where(shelf.read("staff"), {"name": F.lit(None)}, F.lit(True))
+    with pytest.raises(ValueError, match="NULL"):
+        shelf.replace_rows(ev.set_not_null(nameless, "name"), "staff")
+    shelf.replace_rows(ev.drop_not_null(nameless, "name"), "staff")
+    assert shelf.current_version("staff") == 3 and mt.orphan_files(shelf).filter("path LIKE '%v00000001-%'").count() == 0
+
+
 def test_second_writer_is_refused(shelf, people, monkeypatch):
     shelf.publish(people, "people")
     monkeypatch.setattr(shelf, "_next_version", lambda name: 1)
