@@ -107,25 +107,30 @@ def _large_clashes(large: DataFrame, ids: Sequence[str]) -> DataFrame:
     return pairs.select(*[F.col(f"p.{c}").alias(back[c]) for c in ids]).distinct()
 
 
+def may_be_large(wkb: Column, in_row: int = IN_ROW_SEGMENTS) -> Column:
+    """False only for WKB too short to hold more than ``in_row`` segments, which take at least 16 bytes each."""
+    return F.octet_length(wkb) > 16 * in_row
+
+
 def flag_valid(
     df: DataFrame,
     shape: str,
     ids: Sequence[str],
     flag: str = "geom_valid",
     in_row: int = IN_ROW_SEGMENTS,
-    may_be_large: Column | None = None,
+    large_hint: Column | None = None,
 ) -> DataFrame:
     """Add a boolean validity column; NULL for a NULL geometry. ``ids`` identify a row (non-null, unique).
 
-    ``may_be_large`` is a cheap condition that holds for every geometry of more than ``in_row`` segments. Rows that
-    fail it are not decoded again for the large-geometry branch.
+    ``large_hint`` is a cheap condition that holds for every geometry of more than ``in_row`` segments, such as
+    :func:`may_be_large` of the stored WKB. Rows that fail it are not decoded again for the large-geometry branch.
     """
     geometry = F.col(shape)
     status = F.col("__status")
     staged = df.withColumn("__status", _row_status(in_row)(geometry))
     decided = staged.filter(status.isNull() | (status != LARGE)).withColumn(flag, status != INVALID)
     # Only large geometries take part in the join; all others keep their place.
-    candidates = staged if may_be_large is None else staged.filter(may_be_large)
+    candidates = staged if large_hint is None else staged.filter(large_hint)
     large = candidates.filter(status == LARGE)
     segments = large.select(*ids, geometry["parts"].alias("parts")).selectExpr(*ids, f"{SEGMENTS} AS segments")
     clashing = _large_clashes(segments, ids).withColumn("__bad", F.lit(True))
@@ -148,7 +153,5 @@ def normalise_geometry(df: DataFrame, wkb: str, rule: str, ids: Sequence[str] =
     shaped = decoded.alias(wkb, metadata=metadata)
     if rule != "decode+flag":
         return df.select(*others, shaped)
-    # A segment takes at least 16 bytes of WKB.
-    sized = df.select(*others, F.octet_length(wkb).alias("__bytes"), shaped)
-    flagged = flag_valid(sized, wkb, ids, may_be_large=F.col("__bytes") > 16 * IN_ROW_SEGMENTS)
-    return flagged.drop("__bytes")
+    sized = df.select(*others, may_be_large(F.col(wkb)).alias("__long"), shaped)
+    return flag_valid(sized, wkb, ids, large_hint=F.col("__long")).drop("__long")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from datashelf.functions import crs, geometry as G, wkb
 from datashelf.operators.rows import region_filter
-from datashelf.operators.validity import flag_valid, normalise_geometry
+from datashelf.operators.validity import flag_valid, may_be_large, normalise_geometry
 from datashelf.plans.refresh import Spatial, geometry_types, publish_spatial, read_geo
 from datashelf.plans.views import certificates_at_points
 from datashelf.session import fresh_folder
@@ -94,6 +94,13 @@ def geo_bbox(spark, sf):
     return G.bbox(decoded.select(wkb.point_geometry(F.col("x"), F.col("y")).alias("shape")), "shape")
 
 
+def stored_areas(spark, sf):
+    """The areas as a table of WKB, the form in which geometry is kept."""
+    folder = fresh_folder(spark, "areas")
+    I.areas(spark, sf).write.parquet(folder)
+    return spark.read.parquet(folder)
+
+
 def shapes(spark, sf):
     return I.areas(spark, sf).withColumn("shape", wkb.decode_wkb(F.col("shape")))
 
@@ -125,7 +132,9 @@ def geo_multi(spark, sf):
 
 @query("geo_is_valid", f"SELECT area_id, NOT bow AS geom_valid FROM ({I.AREAS})")
 def geo_is_valid(spark, sf):
-    return flag_valid(shapes(spark, sf), "shape", ["area_id"]).select("area_id", "geom_valid")
+    stored = stored_areas(spark, sf).withColumn("long", may_be_large(F.col("shape")))
+    decoded = stored.withColumn("shape", wkb.decode_wkb(F.col("shape")))
+    return flag_valid(decoded, "shape", ["area_id"], large_hint=F.col("long")).select("area_id", "geom_valid")
 
 
 @query("geo_type_count", f"SELECT CASE WHEN twice THEN 'MULTIPOLYGON' ELSE 'POLYGON' END AS geometry_type, count(*) AS n FROM ({I.AREAS}) GROUP BY 1")
@@ -150,7 +159,7 @@ def geo_area(spark, sf):
 )
 def geo_normalise(spark, sf):
     """The three copy rules on the same table."""
-    source = I.areas(spark, sf)
+    source = stored_areas(spark, sf)
     frames = []
     for rule in ("decode+flag", "multi", "decode"):
         out = normalise_geometry(source, "shape", rule, ["area_id"])
