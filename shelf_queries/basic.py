@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from datashelf.functions import scalars as S
-from datashelf.operators.rows import as_of_interval, page, region_filter, with_row_id
+from datashelf.operators.rows import as_of_interval, page, with_row_id
 from datashelf.operators.stats import row_counts
 from datashelf.sources.files import inline_rows
 from shelf_queries import inputs as I

@@ -16,7 +16,7 @@ from shelf_queries import inputs as I
 from shelf_queries.basic import COUNTS
 from shelf_queries.curated import registry, sources
 from shelf_queries.inputs import table
-from shelf_queries.published import T0, new_shelf, three_versions
+from shelf_queries.published import new_shelf, three_versions
 from shelf_queries.registry import query
 
 STAMP = datetime(2025, 1, 1, 12, 0, 0)

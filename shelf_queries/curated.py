@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from datashelf.functions import certificates as C
 from datashelf.operators.rows import region_filter
-from datashelf.plans.views import ViewRegistry, certificates_at_points, facts_with_lookup, inclusive_lookup
+from datashelf.plans.views import ViewRegistry, facts_with_lookup, inclusive_lookup
 from shelf_queries import inputs as I
 from shelf_queries.registry import query
 

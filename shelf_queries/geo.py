@@ -7,7 +7,6 @@ import math
 from pyspark.sql import functions as F
 
 from datashelf.functions import crs, geometry as G, wkb
-from datashelf.operators.rows import region_filter
 from datashelf.operators.validity import flag_valid, may_be_large, normalise_geometry
 from datashelf.plans.refresh import Spatial, geometry_types, publish_spatial, read_geo
 from datashelf.plans.views import certificates_at_points
