@@ -1 +1,8 @@
 """datashelf: a shared shelf of versioned, self-describing datasets on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions of this package travel to executors by value: workers need no copy of it on their path.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

