@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from datashelf.llm.licenses import license_scan
 from datashelf.llm.near_dup import near_duplicates
+from datashelf.llm.packing import pack
 from datashelf.llm.sharding import shard_documents
 
 
@@ -18,12 +20,29 @@ def op1_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    """The vocabulary file, which is installed on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op6_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op8_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents"))
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_sharding": op1_kd_sharding,
+    "op6_min_bin_slack": op6_min_bin_slack,
+    "op8_license_rules": op8_license_rules,
     "op10_minhash": op10_minhash,
 }
 SQL: dict[str, str] = {}
