@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from datashelf.llm.language import predict_language
 from datashelf.llm.licenses import license_scan
 from datashelf.llm.near_dup import near_duplicates
 from datashelf.llm.packing import pack
@@ -31,6 +32,10 @@ def op6_min_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op7_crf_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_language(table(spark, sf_dir, "documents")).drop("row")
+
+
 def op8_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
@@ -42,6 +47,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_sharding": op1_kd_sharding,
     "op6_min_bin_slack": op6_min_bin_slack,
+    "op7_crf_language": op7_crf_language,
     "op8_license_rules": op8_license_rules,
     "op10_minhash": op10_minhash,
 }
