@@ -6,10 +6,12 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from datashelf.llm.decontaminate import decontaminate
 from datashelf.llm.language import predict_language
 from datashelf.llm.licenses import license_scan
 from datashelf.llm.near_dup import near_duplicates
 from datashelf.llm.packing import pack
+from datashelf.llm.sentence_spans import drop_repeated_spans
 from datashelf.llm.sharding import shard_documents
 
 
@@ -21,6 +23,14 @@ def op1_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_spans(table(spark, sf_dir, "documents")).drop("row")
+
+
+def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
+
+
 def tokenizer_path() -> str:
     """The vocabulary file, which is installed on every machine."""
     import public_tokenizers
@@ -46,6 +56,8 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_sharding": op1_kd_sharding,
+    "op3_sentence_spans": op3_sentence_spans,
+    "op4_spaced_seeds": op4_spaced_seeds,
     "op6_min_bin_slack": op6_min_bin_slack,
     "op7_crf_language": op7_crf_language,
     "op8_license_rules": op8_license_rules,
