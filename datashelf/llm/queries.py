@@ -13,6 +13,7 @@ from datashelf.llm.near_dup import near_duplicates
 from datashelf.llm.packing import pack
 from datashelf.llm.sentence_spans import drop_repeated_spans
 from datashelf.llm.sharding import shard_documents
+from datashelf.llm.wrapper import extract_main_text
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -31,6 +32,10 @@ def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
 
 
+def op5_wrapper_induction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_main_text(table(spark, sf_dir, "pages")).drop("row")
+
+
 def tokenizer_path() -> str:
     """The vocabulary file, which is installed on every machine."""
     import public_tokenizers
@@ -58,6 +63,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_sharding": op1_kd_sharding,
     "op3_sentence_spans": op3_sentence_spans,
     "op4_spaced_seeds": op4_spaced_seeds,
+    "op5_wrapper_induction": op5_wrapper_induction,
     "op6_min_bin_slack": op6_min_bin_slack,
     "op7_crf_language": op7_crf_language,
     "op8_license_rules": op8_license_rules,
