@@ -13,6 +13,7 @@ from datashelf.llm.near_dup import near_duplicates
 from datashelf.llm.packing import pack
 from datashelf.llm.sentence_spans import drop_repeated_spans
 from datashelf.llm.sharding import shard_documents
+from datashelf.llm.vantage import nearest
 from datashelf.llm.wrapper import extract_main_text
 
 
@@ -24,6 +25,10 @@ def op1_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_documents(table(spark, sf_dir, "documents"))
 
 
+def op2_vantage_point(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings"))
+
+
 def op3_sentence_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drop_repeated_spans(table(spark, sf_dir, "documents")).drop("row")
 
@@ -61,6 +66,7 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_sharding": op1_kd_sharding,
+    "op2_vantage_point": op2_vantage_point,
     "op3_sentence_spans": op3_sentence_spans,
     "op4_spaced_seeds": op4_spaced_seeds,
     "op5_wrapper_induction": op5_wrapper_induction,
