@@ -13,6 +13,7 @@ from datashelf.llm.near_dup import near_duplicates
 from datashelf.llm.packing import pack
 from datashelf.llm.sentence_spans import drop_repeated_spans
 from datashelf.llm.sharding import shard_documents
+from datashelf.llm.suffixes import drop_repeated_bytes
 from datashelf.llm.vantage import nearest
 from datashelf.llm.wrapper import extract_main_text
 
@@ -60,6 +61,10 @@ def op8_license_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents"))
 
 
+def op9_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return drop_repeated_bytes(table(spark, sf_dir, "documents"), with_text=False).drop("row")
+
+
 def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row")
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_min_bin_slack": op6_min_bin_slack,
     "op7_crf_language": op7_crf_language,
     "op8_license_rules": op8_license_rules,
+    "op9_suffix_array": op9_suffix_array,
     "op10_minhash": op10_minhash,
 }
 SQL: dict[str, str] = {}
