@@ -110,6 +110,19 @@ def point_geometry(x: Column, y: Column) -> Column:
     return F.when(x.isNotNull() & y.isNotNull(), shape)
 
 
+def multi_wkb(wkb: Column) -> Column:
+    """WKB of a single geometry as its multi form: a multi header before the stored bytes, so Z, M and SRID stay.
+
+    Multi geometries and collections stay as they are; NULL on NULL.
+    """
+    little = F.hex(F.substring(wkb, 1, 1)) == "01"
+    word = F.lpad(F.hex(_type_word(wkb) + 3), 8, "0")  # POINT, LINESTRING, POLYGON: each multi code is three above
+    one = F.when(little, F.lit("01000000")).otherwise("00000001")
+    srid = F.when(_type_word(wkb).bitwiseAND(F.lit(EWKB_SRID)) != 0, F.hex(F.substring(wkb, 6, 4))).otherwise("")
+    head = F.concat(F.hex(F.substring(wkb, 1, 1)), F.when(little, _turned(word)).otherwise(word), srid, one)
+    return F.when(wkb_type(wkb).isin("POINT", "LINESTRING", "POLYGON"), F.concat(F.unhex(head), wkb)).otherwise(wkb)
+
+
 # ---- any geometry, in Arrow batches ----
 
 

@@ -89,22 +89,28 @@ def update_where(df: DataFrame, values: dict[str, Column], condition: Column) ->
 
 
 def _repeat(df: DataFrame, times: str) -> DataFrame:
-    """Each row ``times`` times, in steps, so that no array grows with the data."""
+    """Each row ``times`` times. A row of very many copies is cut into steps, which are dealt out over tasks."""
     steps = F.sequence(F.lit(0), F.floor((F.col(times) - 1) / COPIES_PER_STEP))
     left = F.least(F.lit(COPIES_PER_STEP), F.col(times) - F.col("__step") * COPIES_PER_STEP).cast("int")
+    many = F.col(times) > COPIES_PER_STEP
+    few = df.filter(~many).withColumn("__step", F.lit(0).cast("long"))
+    dealt = df.filter(many).withColumn("__step", F.explode(steps)).repartition("__step")
     return (
-        df.withColumn("__step", F.explode(steps))
+        few.unionByName(dealt)
         .withColumn("__copy", F.explode(F.array_repeat(F.lit(0), left)))
         .drop("__step", "__copy", times)
     )
 
 
-def table_changes(states: Sequence[tuple[int | None, DataFrame | None]], key: Sequence[str] | None = None) -> DataFrame:
+def table_changes(
+    states: Sequence[tuple[int | None, DataFrame | None]], key: Sequence[str] | None = None, copies: str | None = None
+) -> DataFrame:
     """Changes between consecutive states ``[(version, rows), ...]`` that share one schema.
 
     The first state is the base; ``(None, None)`` stands for "nothing yet". Result: ``snapshot_id``, ``change_type``
     (insert, delete, update_preimage, update_postimage) and the data columns. With ``key``, a key that loses one
-    row and gains one in the same version is an update; otherwise rows are deleted and inserted.
+    row and gains one in the same version is an update; otherwise rows are deleted and inserted. With ``copies``, equal
+    changes are one row, and that column says how many they are.
 
     All states are read once and meet in a single aggregation on the whole row, however many there are.
     """
@@ -113,8 +119,8 @@ def table_changes(states: Sequence[tuple[int | None, DataFrame | None]], key: Se
     frames = [df.withColumn("__state", F.lit(i)) for i, (_, df) in enumerate(states) if df is not None]
     columns = [c for c in frames[0].columns if c != "__state"]
     everything = reduce(DataFrame.unionByName, frames)
-    copies = [F.count_if(F.col("__state") == i).alias(f"__n{i}") for i in range(len(states))]
-    counted = everything.groupBy(*columns).agg(*copies)
+    held = [F.count_if(F.col("__state") == i).alias(f"__n{i}") for i in range(len(states))]
+    counted = everything.groupBy(*columns).agg(*held)
     deltas = F.array(
         *[
             F.struct(F.lit(v).cast("long").alias("snapshot_id"), (F.col(f"__n{i}") - F.col(f"__n{i - 1}")).alias("delta"))
@@ -143,15 +149,21 @@ def table_changes(states: Sequence[tuple[int | None, DataFrame | None]], key: Se
     else:
         kind = plain
     labelled = moved.select("snapshot_id", kind.alias("change_type"), F.abs("__delta").alias("__times"), *columns)
-    return _repeat(labelled, "__times")
+    return labelled.withColumnRenamed("__times", copies) if copies else _repeat(labelled, "__times")
+
+
+def change_summary(feed: DataFrame, copies: str | None = None) -> DataFrame:
+    """Per version: rows inserted, deleted and updated, and the list of what happened.
+
+    ``copies`` names the column of a feed that counts equal changes instead of repeating them.
+    """
+    n = F.col(copies) if copies else F.lit(1)
 
+    def rows(kind: str, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(F.col("change_type") == kind, n)), F.lit(0)).cast("long").alias(name)
 
-def change_summary(feed: DataFrame) -> DataFrame:
-    """Per version: rows inserted, deleted and updated, and the list of what happened."""
     counts = feed.groupBy("snapshot_id").agg(
-        F.count_if(F.col("change_type") == "insert").alias("inserted"),
-        F.count_if(F.col("change_type") == "delete").alias("deleted"),
-        F.count_if(F.col("change_type") == "update_postimage").alias("updated"),
+        rows("insert", "inserted"), rows("delete", "deleted"), rows("update_postimage", "updated")
     )
     words = [F.when(F.col(c) > 0, c) for c in ("inserted", "deleted", "updated")]
     return counts.withColumn("changes", F.concat_ws(",", *words))

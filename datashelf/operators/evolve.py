@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from datashelf.sources.files import list_files
+from datashelf.sources.files import arrow_uri, list_files
 
 DEFAULT_KEY = "initial_default"
 NOT_NULL_KEY = "not_null"
@@ -36,20 +36,26 @@ def fits(found: T.DataType, declared: T.DataType) -> bool:
     if found == declared or can_promote(found, declared):
         return True
     if isinstance(found, T.DecimalType) and isinstance(declared, T.DecimalType):
-        return found.precision <= declared.precision and found.scale <= declared.scale
+        whole = found.precision - found.scale <= declared.precision - declared.scale
+        return whole and found.scale <= declared.scale
     return False
 
 
 def add_column(df: DataFrame, path: str, data_type: str, default=None) -> DataFrame:
     """Add a column, or ``struct.field``, with a literal default that also serves older versions."""
-    value = F.lit(default).cast(data_type)
+    value = F.lit(as_literal(default)).cast(data_type)
     if "." in path:
         outer, inner = path.split(".", 1)
         return df.withColumn(outer, F.col(outer).withField(inner, value))
-    metadata = {} if default is None else {DEFAULT_KEY: json.dumps(default)}
+    metadata = {} if default is None else {DEFAULT_KEY: json.dumps(as_literal(default))}
     return df.withColumn(path, value).withMetadata(path, metadata)
 
 
+def as_literal(value):
+    """A default in the form that is stored: dates, times, decimals and the like as the text that casts back to them."""
+    return value if value is None or isinstance(value, (bool, int, float, str)) else str(value)
+
+
 def drop_column(df: DataFrame, path: str) -> DataFrame:
     if "." in path:
         outer, inner = path.split(".", 1)
@@ -104,7 +110,7 @@ def _default(field: T.StructField, defaults: dict) -> Column:
     value = defaults.get(field.name)
     if value is None and DEFAULT_KEY in (field.metadata or {}):
         value = json.loads(field.metadata[DEFAULT_KEY])
-    return F.lit(value).cast(field.dataType)
+    return F.lit(as_literal(value)).cast(field.dataType)
 
 
 def align(
@@ -134,7 +140,7 @@ def _file_columns(files: DataFrame) -> DataFrame:
         for frame in frames:
             found = []
             for uri in frame["path"]:
-                fs, local = pafs.FileSystem.from_uri(uri)
+                fs, local = pafs.FileSystem.from_uri(arrow_uri(uri))
                 with fs.open_input_file(local) as handle:
                     layout = from_arrow_schema(pq.read_schema(handle), prefer_timestamp_ntz=True)
                 found.extend((uri, f.name, f.dataType.json()) for f in layout.fields)
@@ -173,7 +179,9 @@ def read_conformed(
     missing = [f.name for f in schema.fields if holding.get(f.name, 0) < n_files]
     if missing and not allow_missing:
         raise SchemaMismatch(f"columns missing from some files: {missing}")
-    return spark.read.schema(with_read_defaults(schema, defaults)).parquet(*paths)
+    # the same files as were checked, at any depth
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
+    return reader.schema(with_read_defaults(schema, defaults)).parquet(*paths)
 
 
 def with_read_defaults(schema: T.StructType, defaults: dict | None = None) -> T.StructType:
@@ -185,7 +193,13 @@ def with_read_defaults(schema: T.StructType, defaults: dict | None = None) -> T.
         if value is None and DEFAULT_KEY in metadata:
             value = json.loads(metadata[DEFAULT_KEY])
         if value is not None:
-            text = "'" + value.replace("'", "\\'") + "'" if isinstance(value, str) else str(value)
+            value = as_literal(value)
+            if isinstance(value, str):
+                text = "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+            elif isinstance(value, float):
+                text = f"'{value}'"  # also NaN and the infinities
+            else:
+                text = str(value)
             metadata["EXISTS_DEFAULT"] = metadata["CURRENT_DEFAULT"] = f"CAST({text} AS {field.dataType.simpleString()})"
         fields.append(T.StructField(field.name, field.dataType, True, metadata))
     return T.StructType(fields)

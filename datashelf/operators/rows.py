@@ -11,8 +11,6 @@ from pyspark.sql.window import Window
 
 from datashelf.session import fresh_folder
 
-# A page that ends within this many rows is taken by Spark's top-k operator; deeper ones by row number.
-TOP_K_LIMIT = 100_000
 LOCAL_BITS = 33  # layout of monotonically_increasing_id: partition number above 33 bits of row number
 
 
@@ -50,12 +48,14 @@ def with_row_id(df: DataFrame, order: Sequence[Column | str], name: str = "row_i
 
 
 def page(df: DataFrame, order: Sequence[Column | str], offset: int, limit: int) -> DataFrame:
-    """Rows ``offset`` to ``offset + limit`` in the given order."""
-    if offset + limit <= TOP_K_LIMIT:
-        return df.orderBy(*order).offset(offset).limit(limit)
+    """Rows ``offset`` to ``offset + limit`` in the given order, sorted.
+
+    Every page numbers all rows in the same total order (see :func:`with_row_id`), so pages fit together whatever ties
+    there are and however deep they lie.
+    """
     numbered = with_row_id(df, order, "__row")
     wanted = (F.col("__row") >= offset) & (F.col("__row") < offset + limit)
-    return numbered.filter(wanted).drop("__row")
+    return numbered.filter(wanted).orderBy("__row").drop("__row")
 
 
 def as_of_interval(df: DataFrame, at, begin: str = "begin_version", end: str = "end_version") -> DataFrame:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -125,7 +128,11 @@ def merge_stats(*stats: DataFrame) -> DataFrame:
 
 
 def prune_files(stats: DataFrame, column: str, op: str, value, data_type: str) -> DataFrame:
-    """Files that may hold a row with ``column op value``. A NULL bound cannot rule a file out."""
+    """Files that may hold a row with ``column op value``. A NULL bound cannot rule a file out.
+
+    Bounds leave NaN out. NaN is above all numbers and equal to itself, so a file that holds it stays wherever it meets
+    the condition.
+    """
     low, high = F.col("min_value").try_cast(data_type), F.col("max_value").try_cast(data_type)
     v = F.lit(value).cast(data_type)
     possible = {
@@ -135,6 +142,12 @@ def prune_files(stats: DataFrame, column: str, op: str, value, data_type: str) -
         ">": high > v,
         ">=": high >= v,
     }[op]
+    if data_type in FLOATING:
+        nan = {"=": F.isnan(v), "<": F.lit(False), "<=": F.isnan(v), ">": ~F.isnan(v), ">=": F.lit(True)}[op]
+        # nothing but NaN itself is ruled out for a bound that is NaN
+        possible = F.when(F.isnan(v), F.lit(op in ("<", "<=")) | (F.col("contains_nan") & nan)).otherwise(
+            possible | (F.col("contains_nan") & nan)
+        )
     return stats.filter(F.col("column_name") == column).filter(F.coalesce(possible, F.lit(True))).select("data_file")
 
 
@@ -143,45 +156,57 @@ def sample_distinct(df: DataFrame, n: int = 3) -> DataFrame:
     return samples_of({"": df}, n).drop("table_name")
 
 
+def _smallest(n: int):
+    """The ``n`` smallest distinct values of every column of a partition, as ``n`` rows or fewer."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Array] | None = None
+        schema = None
+        for batch in batches:
+            schema = batch.schema
+            if held is None:
+                held = [batch.column(i).slice(0, 0) for i in range(batch.num_columns)]
+            for i, column in enumerate(batch.columns):
+                values = pc.unique(pa.concat_arrays([held[i], column.drop_null()]))
+                held[i] = values.take(pc.select_k_unstable(values, min(n, len(values)), [("", "ascending")])) if len(values) else values
+        if held is not None:
+            rows = max(map(len, held))
+            padded = [pa.concat_arrays([v, pa.nulls(rows - len(v), v.type)]) for v in held]
+            yield pa.RecordBatch.from_arrays(padded, schema=schema)
+
+    return scan
+
+
 def samples_of(tables: dict[str, DataFrame], n: int = 3) -> DataFrame:
     """Per table and column the ``n`` smallest distinct non-null values, shown as text.
 
-    Each of the ``n`` steps is one job over all tables with a single aggregate row per table: the minimum above the
-    previous one. No value set is shuffled or held, however many distinct values a column has. Nested and binary
-    columns have no examples.
+    One pass over all tables in one job: every partition keeps its ``n`` smallest values of each column, and only these
+    meet in an aggregate, a few for each partition. NaN is no example, nor are nested and binary values.
     """
     session = next(iter(tables.values())).sparkSession
-    shown: dict[tuple[str, str], list[str]] = {}
-    last: dict[tuple[str, str], str] = {}  # previous minimum in Spark's own spelling, which casts back exactly
-    open_columns = {t: [f for f in df.schema.fields if not isinstance(f.dataType, NESTED)] for t, df in tables.items()}
-    for _ in range(n):
-        frames = []
-        for table, fields in open_columns.items():
-            if not fields:
-                continue
-            lows = []
-            for i, f in enumerate(fields):
-                value = F.col(f"`{f.name}`")
-                if (table, f.name) in last:
-                    value = F.when(value > F.lit(last[table, f.name]).cast(f.dataType), value)
-                lows.append(F.min(value).alias(f"c{i}"))
-            items = [
-                F.struct(
-                    F.lit(table).alias("t"), F.lit(f.name).alias("c"), F.col(f"c{i}").cast("string").alias("exact"),
-                    plain_text(F.col(f"c{i}"), f.dataType).alias("text"),
-                )
-                for i, f in enumerate(fields)
-            ]
-            frames.append(tables[table].agg(*lows).select(F.inline(F.array(*items))))
-        if not frames:
-            break
-        found = {(r["t"], r["c"]): r for r in reduce(DataFrame.unionAll, frames).collect() if r["exact"] is not None}
-        for key, row in found.items():
-            last[key] = row["exact"]
-            shown.setdefault(key, []).append(row["text"])
-        open_columns = {t: [f for f in fields if (t, f.name) in found] for t, fields in open_columns.items()}
-    schema = "table_name string, column_name string, " + ", ".join(f"example_{k + 1} string" for k in range(n))
-    rows = [
-        (t, f.name, *(shown.get((t, f.name), []) + [None] * n)[:n]) for t, df in tables.items() for f in df.schema.fields
-    ]
-    return session.createDataFrame(rows, schema)
+    columns = ["table_name", "column_name", *[f"example_{k + 1}" for k in range(n)]]
+    frames, without = [], []
+    for table, df in tables.items():
+        fields = [f for f in df.schema.fields if not isinstance(f.dataType, NESTED)]
+        without += [(table, f.name) for f in df.schema.fields if isinstance(f.dataType, NESTED)]
+        if not fields:
+            continue
+        plain = df.select(*[_sampled(f).alias(f"c{i}") for i, f in enumerate(fields)])
+        few = plain.mapInArrow(_smallest(n), plain.schema)
+        lows = few.agg(*[F.slice(F.sort_array(F.collect_set(f"c{i}")), 1, n).alias(f"c{i}") for i in range(len(fields))])
+        items = [
+            F.struct(
+                F.lit(table).alias("table_name"), F.lit(f.name).alias("column_name"),
+                *[plain_text(F.get(F.col(f"c{i}"), F.lit(k)), f.dataType).alias(f"example_{k + 1}") for k in range(n)],
+            )
+            for i, f in enumerate(fields)
+        ]
+        frames.append(lows.select(F.inline(F.array(*items))))
+    schema = ", ".join(f"{c} string" for c in columns)
+    frames.append(session.createDataFrame([(t, c, *[None] * n) for t, c in without], schema))
+    return reduce(DataFrame.unionAll, frames)
+
+
+def _sampled(field: T.StructField) -> Column:
+    column = F.col(f"`{field.name}`")
+    return F.when(~F.isnan(column), column) if field.dataType.simpleString() in FLOATING else column

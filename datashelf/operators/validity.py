@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from datashelf.functions.geometry import to_multi
 from datashelf.functions.ringcheck import INVALID, LARGE, row_status
-from datashelf.functions.wkb import decode_wkb
+from datashelf.functions.wkb import decode_wkb, multi_wkb
 
 IN_ROW_SEGMENTS = 128
 RULES = ("decode", "multi", "decode+flag")
@@ -138,6 +138,23 @@ def flag_valid(
     return decided.select(*df.columns, flag).unionAll(checked.select(*df.columns, flag))
 
 
+def normalise_wkb(df: DataFrame, wkb: str, rule: str, ids: Sequence[str] = ()) -> DataFrame:
+    """Like :func:`normalise_geometry`, but the column stays WKB, with Z, M, SRID and collections as they are stored.
+
+    Only the rule that flags validity decodes anything.
+    """
+    if rule not in RULES:
+        raise ValueError(f"unknown rule {rule}; one of {RULES}")
+    metadata = df.schema[wkb].metadata or {}
+    others = [F.col(f"`{c}`") for c in df.columns if c != wkb]
+    stored = multi_wkb(F.col(wkb)) if rule == "multi" else F.col(wkb)
+    kept = df.select(*others, stored.alias(wkb, metadata=metadata))
+    if rule != "decode+flag":
+        return kept
+    shaped = kept.withColumns({"__shape": decode_wkb(F.col(wkb)), "__long": may_be_large(F.col(wkb))})
+    return flag_valid(shaped, "__shape", ids, large_hint=F.col("__long")).drop("__shape", "__long")
+
+
 def normalise_geometry(df: DataFrame, wkb: str, rule: str, ids: Sequence[str] = ()) -> DataFrame:
     """Replace a WKB column by its decoded geometry, moved to the end.
 

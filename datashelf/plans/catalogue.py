@@ -47,6 +47,20 @@ def apply_comments(df: DataFrame, name: str, comments: DataFrame) -> tuple[DataF
     return df, next((r["comment"] for r in rows if not r["column_name"]), None)
 
 
+def apply_all_comments(tables: dict[str, DataFrame], comments: DataFrame) -> dict[str, tuple[DataFrame, str | None]]:
+    """:func:`apply_comments` for many tables; the comments table is read once."""
+    told = comments.filter(F.col("table_name").isin(list(tables)) & not_blank(F.col("comment"))).collect()
+    out = {}
+    for name, df in tables.items():
+        own = [r for r in told if r["table_name"] == name]
+        for r in own:
+            if r["column_name"] in df.columns:
+                column = r["column_name"]
+                df = df.withMetadata(column, {**(df.schema[column].metadata or {}), "comment": r["comment"]})
+        out[name] = (df, next((r["comment"] for r in own if not r["column_name"]), None))
+    return out
+
+
 def comment_table(spark: SparkSession, table: str, comment: str | None, columns: dict[str, str]) -> None:
     """Put comments on a table of the session's catalogue."""
     quote = lambda text: "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"

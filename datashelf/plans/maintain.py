@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import math
 from datetime import datetime, timedelta, timezone
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from datashelf.sources.files import list_files, path_exists, qualified, remove_path
-from datashelf.sources.shelf import LOG_FOLDER, Shelf
+from datashelf.sources.files import LISTING, child_names, children, files_below, path_exists, remove_path
+from datashelf.sources.shelf import LOG_FOLDER, Shelf, read_folders
 
 # Retention and target file size.
 RETENTION = timedelta(days=90)
@@ -17,14 +19,16 @@ TARGET_FILE_BYTES = 512 * 1024 * 1024
 
 
 def expired_versions(shelf: Shelf, older_than: datetime | None = None, versions: list[int] | None = None, name: str | None = None) -> DataFrame:
-    """Versions that may go: by age or by number. The newest version of a dataset always stays."""
+    """Versions that may go: by age, or by number within one dataset. The newest version of a dataset always stays."""
+    if versions is not None and name is None:
+        raise ValueError("version numbers need the name of their dataset")
     known = shelf.versions(name)
     newest = known.groupBy("name").agg(F.max("version").alias("newest"))
     old = known.join(newest, "name").filter(F.col("version") < F.col("newest"))
     if versions is not None:
-        return old.filter(F.col("version").isin(versions)).select("name", "version", "published_at", "path")
+        return old.filter(F.col("version").isin(versions)).select("name", "version", "published_at", "folders")
     limit = older_than or datetime.now(timezone.utc) - RETENTION
-    return old.filter(F.col("published_at") < F.lit(limit)).select("name", "version", "published_at", "path")
+    return old.filter(F.col("published_at") < F.lit(limit)).select("name", "version", "published_at", "folders")
 
 
 def expire(shelf: Shelf, older_than: datetime | None = None, versions: list[int] | None = None, name: str | None = None, dry_run: bool = True) -> list[tuple[str, int]]:
@@ -33,51 +37,75 @@ def expire(shelf: Shelf, older_than: datetime | None = None, versions: list[int]
     chosen = sorted((r["name"], r["version"]) for r in rows)
     if not dry_run and rows:
         shelf.mark_expired(chosen)
-        gone = shelf.spark.createDataFrame([(r["path"],) for r in rows], "path string").distinct()
-        for row in gone.join(shelf.versions().select("path"), "path", "left_anti").collect():
-            remove_path(shelf.spark, row["path"])
+        # Folders of expired versions that no other version refers to; as many as there were publishes, not files.
+        gone = shelf.spark.createDataFrame([(f,) for r in rows for f in r["folders"]], "folder string").distinct()
+        remove_folders(shelf.spark, [r["folder"] for r in gone.join(tracked_folders(shelf), "folder", "left_anti").collect()])
     return chosen
 
 
 def compact(shelf: Shelf, name: str, target_bytes: int = TARGET_FILE_BYTES, now: datetime | None = None) -> int | None:
-    """Rewrite a dataset of many small files as fewer files near the target size. Rows do not change.
+    """Rewrite a dataset's folders of small files as one with fewer files near the target size. Rows do not change.
 
-    Neighbouring input is merged without a shuffle. Returns the new version, or None when there is nothing to gain.
+    Only folders whose files are on average below a quarter of the target are read and written; the others are
+    referred to as they are. Partition columns stay. Without them, neighbouring input is merged without a shuffle.
+    Returns the new version, or None when there is nothing to gain.
     """
-    sizes = shelf.files(name).agg(F.count("*").alias("n"), F.sum("data_file_size_bytes").alias("bytes")).first()
-    wanted = max(1, math.ceil((sizes["bytes"] or 0) / target_bytes))
-    if sizes["n"] <= wanted:
+    last = shelf._entry(name)
+    keys, folders = list(last["partition_by"]), list(last["folders"])
+    inside = F.coalesce(*[F.when(F.col("data_file").startswith(f"{f}/"), F.lit(f)) for f in folders])
+    sizes = shelf.files(name).groupBy(inside.alias("folder")).agg(F.count("*").alias("n"), F.sum("data_file_size_bytes").alias("bytes"))
+    small = {r["folder"]: r for r in sizes.collect() if r["bytes"] < r["n"] * target_bytes / 4}  # a row for each folder
+    n, size = sum(r["n"] for r in small.values()), sum(r["bytes"] for r in small.values())
+    wanted = max(1, math.ceil(size / target_bytes))
+    schema = T.StructType.fromJson(json.loads(last["schema_json"]))
+    if n <= wanted:
         return None
+    rows = read_folders(shelf.spark, schema, [f for f in folders if f in small], keys)
+    if keys:
+        # as many files as partition values at least: no gain if there are no more
+        if n <= max(wanted, rows.select(*keys).distinct().count()):
+            return None
+    else:
+        rows = rows.coalesce(wanted)
     return shelf.replace_rows(
-        shelf.read(name).coalesce(wanted), name, kind="compact", changes="compacted", rows_per_file=None, now=now
+        rows, name, kind="compact", changes="compacted", rows_per_file=None, now=now,
+        beside=[f for f in folders if f not in small],
     )
 
 
 def tracked_folders(shelf: Shelf) -> DataFrame:
-    return shelf.versions().select(F.col("path").alias("folder")).distinct()
+    return shelf.versions().select(F.explode("folders").alias("folder")).distinct()
 
 
-def orphan_files(shelf: Shelf, older_than: datetime | None = None) -> DataFrame:
-    """Files below the root that no version refers to, optionally only those last written before a time."""
-    root = qualified(shelf.spark, shelf.root).rstrip("/")
+def remove_folders(spark: SparkSession, folders: list[str]) -> int:
+    return sum(remove_path(spark, folder) for folder in folders)
+
+
+def orphan_folders(shelf: Shelf, older_than: datetime | None = None) -> DataFrame:
+    """(folder, modified) of version folders below the root that no version refers to, hidden ones included.
+
+    These are what publishes leave that died. Only folder names are listed: one for each publish.
+    """
+    found = []
+    for name in child_names(shelf.spark, shelf.root):
+        if name != LOG_FOLDER:
+            found += [f for f in children(shelf.spark, f"{shelf.root}/{name}")]
+    listed = shelf.spark.createDataFrame(found, "folder string, modified timestamp")
+    orphans = listed.join(tracked_folders(shelf), "folder", "left_anti")
+    return orphans if older_than is None else orphans.filter(F.col("modified") < F.lit(older_than))
 
-    def owner(path: str) -> Column:
-        """``<name>/<version folder>`` of a path below the root."""
-        return F.substring_index(F.substring(path, len(root) + 2, 1 << 20), "/", 2)
 
-    found = list_files(shelf.spark, shelf.root).withColumn("__owner", owner("path"))
-    found = found.filter(~F.col("__owner").startswith(f"{LOG_FOLDER}/"))
-    tracked = tracked_folders(shelf).select(owner("folder").alias("__owner")).distinct()
-    orphans = found.join(tracked, "__owner", "left_anti").select("path", "length", "modificationTime")
-    return orphans if older_than is None else orphans.filter(F.col("modificationTime") < F.lit(older_than))
+def orphan_files(shelf: Shelf, older_than: datetime | None = None) -> DataFrame:
+    """Files of orphan folders: (path, length, modificationTime), hidden ones included."""
+    folders = [r["folder"] for r in orphan_folders(shelf, older_than).collect()]
+    rows = [f for folder in folders for f in files_below(shelf.spark, folder)]
+    return shelf.spark.createDataFrame(rows, LISTING)
 
 
 def remove_orphans(shelf: Shelf, older_than: datetime, dry_run: bool = True) -> int:
-    """Number of orphan files older than a time; unless ``dry_run`` they are deleted, streamed file by file."""
-    doomed = orphan_files(shelf, older_than)
-    if dry_run:
-        return doomed.count()
-    return sum(remove_path(shelf.spark, row["path"]) for row in doomed.toLocalIterator())
+    """Number of orphan folders older than a time; unless ``dry_run`` they are deleted, each by one call."""
+    doomed = [r["folder"] for r in orphan_folders(shelf, older_than).collect()]
+    return len(doomed) if dry_run else remove_folders(shelf.spark, doomed)
 
 
 def maintain(shelf: Shelf, *, older_than: datetime | None = None, target_bytes: int = TARGET_FILE_BYTES, dry_run: bool = False) -> DataFrame:
@@ -91,5 +119,5 @@ def maintain(shelf: Shelf, *, older_than: datetime | None = None, target_bytes:
         merged = sum(compact(shelf, n, target_bytes) is not None for n in names)
     done.append(("compact", "datasets", merged))
     limit = older_than or datetime.now(timezone.utc) - RETENTION
-    done.append(("clean up", "files", remove_orphans(shelf, limit, dry_run) if path_exists(shelf.spark, shelf.root) else 0))
+    done.append(("clean up", "folders", remove_orphans(shelf, limit, dry_run) if path_exists(shelf.spark, shelf.root) else 0))
     return shelf.spark.createDataFrame(done, "step string, subject string, count long")

@@ -1,8 +1,9 @@
-"""The whole refresh: check sources, stage, reconcile, publish, catalogue, report."""
+"""The whole refresh: check sources, publish, reconcile, catalogue, report."""
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from datetime import datetime, timezone
 
@@ -11,15 +12,20 @@ from pyspark.sql import functions as F
 
 from datashelf.functions.crs import set_crs
 from datashelf.functions.geometry import geometry_type
-from datashelf.functions.wkb import decode_wkb, encode_wkb
-from datashelf.operators.stats import row_counts
-from datashelf.operators.validity import normalise_geometry
+from datashelf.functions.wkb import decode_wkb, wkb_type
+from datashelf.operators.validity import normalise_wkb
 from datashelf.plans.catalogue import SPATIAL_META, columns_catalogue, datasets_catalogue
 from datashelf.plans.quality import preflight, reason_of, reconcile_counts, run_summary
 from datashelf.plans.views import ViewRegistry
-from datashelf.session import fresh_folder
 from datashelf.sources.shelf import Shelf
 
+CATALOGUES = ("datasets_catalogue", "columns_catalogue")
+COPIES_AT_A_TIME = 4
+
+
+class WrongGeometryType(ValueError):
+    """A geometry is not of the type that its table declares."""
+
 
 @dataclass(frozen=True)
 class Spatial:
@@ -50,9 +56,17 @@ class Config:
 
 
 def publish_spatial(shelf: Shelf, df: DataFrame, name: str, spatial: Spatial, **publish_args) -> int:
-    """Normalise the geometry, then publish it as WKB with its keys in the metadata and its CRS on the column."""
-    shaped = normalise_geometry(df, spatial.column, spatial.rule, spatial.ids)
-    stored = set_crs(shaped.withColumn(spatial.column, encode_wkb(F.col(spatial.column))), spatial.column, spatial.crs)
+    """Normalise the geometry, then publish its WKB with its keys in the metadata and its CRS on the column.
+
+    Every geometry must be of the declared type (``GEOMETRY``: any). The bytes are kept, so Z, M and SRID stay.
+    """
+    shaped = normalise_wkb(df, spatial.column, spatial.rule, spatial.ids)
+    kind = wkb_type(F.col(spatial.column))
+    if spatial.geometry_type.upper() != "GEOMETRY":
+        others = shaped.filter(kind != spatial.geometry_type.upper()).select(kind.alias("kind")).limit(1).collect()
+        if others:
+            raise WrongGeometryType(f"{name}: declared {spatial.geometry_type}, holds {others[0]['kind']}")
+    stored = set_crs(shaped, spatial.column, spatial.crs)
     user = {
         **publish_args.pop("user", {}),
         "spatial": "true",
@@ -81,65 +95,58 @@ def geometry_types(df: DataFrame, column: str) -> DataFrame:
 def refresh(config: Config) -> DataFrame:
     """Run everything and return one row per table: passed, reason, rows.
 
-    Tables are first written to the shared folder and their counts compared with the source; only those that
-    match are published, so a failed copy never replaces a good version. A table that fails is reported and the
-    others go on.
+    Each table is written once, as a version folder. The folder becomes a version only if it holds as many rows as the
+    source had, so a failed copy never replaces a good version. A table that fails is reported and the others go on.
+    Tables go several at a time, as far as the cluster has room.
     """
     shelf, spark = config.shelf, config.shelf.spark
     now = config.now or datetime.now(timezone.utc)
-    sources = {n: t.load for n, t in config.tables.items()}
-    counted = preflight(spark, sources)  # raises before anything is touched
-
-    folder = fresh_folder(spark, "stage")
-    failures: list[tuple[str, str]] = []
-    staged: dict[str, DataFrame] = {}
-    for name, load in sources.items():
-        try:
-            load().write.parquet(f"{folder}/{name}")
-            staged[name] = spark.read.parquet(f"{folder}/{name}")
-        except Exception as error:  # noqa: BLE001 - reported per table
-            failures.append((name, reason_of(error)))
-    reconciled = reconcile_counts(counted, row_counts(staged)) if staged else reconcile_counts(counted, counted.limit(0))
-    matching = {r["table_name"] for r in reconciled.filter("status = 'MATCH'").collect()}
+    counted = preflight(spark, {n: t.load for n, t in config.tables.items()})  # raises before anything is touched
+    expected = {r["table_name"]: r["row_count"] for r in counted.collect()}
 
-    for name in [n for n in config.tables if n in matching]:
+    def copy(name: str) -> tuple[str, int | None, str | None]:
         table = config.tables[name]
         args = dict(
             title=table.title, comments=table.comments, now=now, changes="refreshed",
             description=f"{table.title or name}, refreshed {now:%Y-%m-%d}",
-            user={"source_db": config.source_db},
+            user={"source_db": config.source_db}, expected_rows=expected[name],
         )
         try:
             if table.spatial:
-                publish_spatial(shelf, staged[name], name, table.spatial, **args)
+                version = publish_spatial(shelf, table.load(), name, table.spatial, **args)
             else:
-                shelf.publish(staged[name], name, **args)
+                version = shelf.publish(table.load(), name, **args)
+            return name, shelf.meta(name, version).first()["row_count"], None
         except Exception as error:  # noqa: BLE001 - reported per table
-            failures.append((name, reason_of(error)))
+            return name, None, reason_of(error)
 
-    published = [n for n in config.tables if n in matching and n not in dict(failures)]
-    if published:
-        publish_catalogues(config, published, now)
-    found = spark.createDataFrame(failures, "table_name string, reason string")
-    return run_summary(reconciled, found)
+    with ThreadPoolExecutor(COPIES_AT_A_TIME) as pool:
+        done = list(pool.map(copy, config.tables))
+    written = spark.createDataFrame([(n, c) for n, c, _ in done], "table_name string, row_count long")
+    found = spark.createDataFrame([(n, why) for n, _, why in done if why], "table_name string, reason string")
+    if len(done) > found.count():
+        publish_catalogues(config, now)
+    return run_summary(reconcile_counts(counted, written), found)
 
 
-def publish_catalogues(config: Config, names: Sequence[str], now: datetime) -> None:
-    """Build both catalogues from what is on the shelf and publish them."""
+def publish_catalogues(config: Config, now: datetime) -> None:
+    """Build both catalogues from everything on the shelf, and all views whose tables are there, and publish them."""
     shelf, spark = config.shelf, config.shelf.spark
-    tables = {n: shelf.read(n) for n in names}
-    shapes = {n: config.tables[n].spatial for n in names if config.tables[n].spatial}
+    entries = {r["name"]: r for r in shelf.latest().collect() if r["name"] not in CATALOGUES}  # a row for each dataset
+    tables = {n: shelf._load(r) for n, r in entries.items()}
+    users = {n: r["user"] or {} for n, r in entries.items()}
+    shapes = {n: u for n, u in users.items() if u.get("spatial", "").lower() == "true"}
     spatial = spark.createDataFrame(
-        [(n, s.column, s.geometry_type, s.crs) for n, s in shapes.items()], SPATIAL_META
+        [(n, u["geometry_column"], u["geometry_type"], u["crs"]) for n, u in shapes.items()], SPATIAL_META
     )
-    geometries = {n: (read_geo(shelf, n), s.column) for n, s in shapes.items()}
-    comments = {n: config.tables[n].title or "" for n in names}
+    geometries = {n: (read_geo(shelf, n), u["geometry_column"]) for n, u in shapes.items()}
+    comments = {n: "" if r["title"] == n else r["title"] or "" for n, r in entries.items()}
     datasets = datasets_catalogue(
-        spark, tables, comments, now.replace(tzinfo=None), usable_by(config, names), spatial, geometries
+        spark, tables, comments, now.replace(tzinfo=None), usable_by(config, list(tables)), spatial, geometries
     )
-    shelf.publish(datasets, "datasets_catalogue", title="Data catalogue", changes="refreshed", now=now)
+    shelf.publish(datasets, CATALOGUES[0], title="Data catalogue", changes="refreshed", now=now)
     columns = columns_catalogue(spark, tables, spatial)
-    shelf.publish(columns, "columns_catalogue", title="Column catalogue", changes="refreshed", now=now)
+    shelf.publish(columns, CATALOGUES[1], title="Column catalogue", changes="refreshed", now=now)
 
 
 def usable_by(config: Config, names: Sequence[str]) -> ViewRegistry | None:

@@ -93,8 +93,9 @@ def certificates_at_points(
 ) -> DataFrame:
     """Certificates of some areas with the text position of their address."""
     wanted = region_filter(certificates, code_column, codes).select(*columns)
-    # Positions are worked out once per address, not once per certificate.
-    placed = to_wgs84(with_point_xy(points.select(key, shape), shape, "__east", "__north"), "__east", "__north", "__lat", "__lon")
+    # Positions are worked out once per address that is asked for, not once per certificate.
+    asked = points.select(key, shape).join(wanted.select(key).distinct(), key, "left_semi")
+    placed = to_wgs84(with_point_xy(asked, shape, "__east", "__north"), "__east", "__north", "__lat", "__lon")
     located = placed.select(key, point_text("__lat", "__lon").alias("geo_point_2d"))
     return wanted.join(located, key, "inner").select(*columns, "geo_point_2d")
 

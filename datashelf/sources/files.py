@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,16 +18,28 @@ def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 def read_source(spark: SparkSession, fmt: str, **options) -> DataFrame:
     """Whole table from an outside source.
 
-    For ``fmt="jdbc"`` pass ``partitionColumn``, ``lowerBound``, ``upperBound`` and
-    ``numPartitions``, so that the read is spread over executors.
+    A ``jdbc`` read is spread over executors, so it needs ``partitionColumn`` and ``numPartitions``; bounds that are not
+    given are asked of the source first. ``numPartitions=1`` reads in one task.
     """
-    reader = spark.read.format(fmt).options(**options)
-    return reader.load()
+    if fmt == "jdbc" and str(options.get("numPartitions")) != "1":
+        if "partitionColumn" not in options or "numPartitions" not in options:
+            raise ValueError("a jdbc read needs partitionColumn and numPartitions, or numPartitions=1")
+        if "lowerBound" not in options or "upperBound" not in options:
+            column, source = options["partitionColumn"], options.get("dbtable") or f"({options['query']}) AS source"
+            plain = {k: v for k, v in options.items() if k not in ("partitionColumn", "numPartitions", "dbtable", "query")}
+            ends = f"SELECT min({column}) AS lo, max({column}) AS hi FROM {source}"
+            row = spark.read.format(fmt).options(**plain, query=ends).load().first()
+            options |= {"lowerBound": row[0] if row[0] is not None else 0, "upperBound": row[1] if row[1] is not None else 1}
+    return spark.read.format(fmt).options(**options).load()
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, **options) -> DataFrame:
-    """CSV with a header. Types are inferred unless given; the text ``NA`` is missing."""
-    reader = spark.read.options(header=True, nullValue="NA", multiLine=True, escape='"').options(**options)
+    """CSV with a header. Types are inferred unless given; the text ``NA`` is missing.
+
+    Files are split between tasks; pass ``multiLine=True`` where quoted values hold line ends, which makes every file
+    one task.
+    """
+    reader = spark.read.options(header=True, nullValue="NA", escape='"').options(**options)
     if schema is not None:
         return reader.schema(schema).csv(path)
     return reader.option("inferSchema", True).csv(path)
@@ -49,8 +62,8 @@ def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def file_paths(df: DataFrame) -> DataFrame:
-    """One row per file that holds rows of a file-based DataFrame."""
-    return df.select(F.col("_metadata.file_path").alias("data_file")).distinct()
+    """One row per file of a file-based DataFrame, from its listing: no row is read."""
+    return df.sparkSession.createDataFrame([(f,) for f in df.inputFiles()], "data_file string")
 
 
 LISTING = T.StructType(
@@ -75,6 +88,12 @@ def list_files(spark: SparkSession, path: str | list[str], pattern: str = "*") -
     )
 
 
+def arrow_uri(uri: str) -> str:
+    """A file's address as Arrow spells it: Hadoop's s3a and s3n are its s3."""
+    scheme, mark, rest = uri.partition("://")
+    return f"s3://{rest}" if mark and scheme in ("s3a", "s3n") else uri
+
+
 def footer_meta(paths: DataFrame, key: str | None = None) -> DataFrame:
     """Key/value entries of Parquet footers, read where the file listing's partitions run.
 
@@ -89,7 +108,7 @@ def footer_meta(paths: DataFrame, key: str | None = None) -> DataFrame:
         for frame in frames:
             found = []
             for uri in frame["path"]:
-                fs, local = pafs.FileSystem.from_uri(uri)
+                fs, local = pafs.FileSystem.from_uri(arrow_uri(uri))
                 with fs.open_input_file(local) as handle:
                     entries = pq.ParquetFile(handle).schema_arrow.metadata or {}
                     raw = pq.read_metadata(handle).metadata or {}
@@ -151,3 +170,23 @@ def child_names(spark: SparkSession, folder: str) -> list[str]:
     """Names directly below a folder of few entries; empty when there is no such folder."""
     fs, target = _hadoop_path(spark, folder)
     return [status.getPath().getName() for status in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def _modified(status) -> datetime:
+    return datetime.fromtimestamp(status.getModificationTime() / 1000, timezone.utc)
+
+
+def children(spark: SparkSession, folder: str) -> list[tuple[str, datetime]]:
+    """(path, modification time) of what stands directly below a folder of few entries, hidden entries included."""
+    fs, target = _hadoop_path(spark, folder)
+    return [(s.getPath().toString(), _modified(s)) for s in fs.listStatus(target)] if fs.exists(target) else []
+
+
+def files_below(spark: SparkSession, folder: str) -> list[tuple[str, int, datetime]]:
+    """(path, length, modification time) of all files below a path, hidden ones included."""
+    fs, target = _hadoop_path(spark, folder)
+    found, listed = [], fs.listFiles(target, True)
+    while listed.hasNext():
+        status = listed.next()
+        found.append((status.getPath().toString(), status.getLen(), _modified(status)))
+    return found

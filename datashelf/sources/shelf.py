@@ -5,6 +5,9 @@ Layout below one root::
     <root>/<name>/v00000001-<UTC time>-<hash>/part-*.parquet
     <root>/shelf-log/name=<name>/v00000001.json   one log entry per version
 
+A version is a list of folders: an append adds one that holds the new rows and refers to those before it. Partition
+columns belong to the dataset and stay with it until a publish names others.
+
 A version is visible once its log entry exists. Entries are only ever added, so a failed publish leaves an
 unreferenced folder (see ``plans.maintain``) and never a half-visible version. Of two writers that publish the same
 version of a dataset at a time, the second is refused.
@@ -13,10 +16,10 @@ version of a dataset at a time, the second is refused.
 from __future__ import annotations
 
 import json
-import math
 import uuid
 from collections.abc import Sequence
 from datetime import datetime, timezone
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -35,7 +38,9 @@ LOG_SCHEMA = (
     .add("version", "long")
     .add("kind", "string")  # publish | rollback | compact | drop | expire
     .add("published_at", "timestamp")
-    .add("path", "string")
+    .add("path", "string")  # the folder written for this version
+    .add("folders", T.ArrayType(T.StringType()))  # all of its folders
+    .add("partition_by", T.ArrayType(T.StringType()))
     .add("target_version", "long")  # of rollback and expire entries
     .add("title", "string")
     .add("description", "string")
@@ -51,11 +56,14 @@ LOG_SCHEMA = (
     .add("extra_info", "string")
 )
 
-# Fixed values of the chunked export: above the threshold, files hold at most this many rows.
-LARGE_TABLE_ROWS = 5_000_000
+# Files hold at most this many rows.
 ROWS_PER_FILE = 3_000_000
 
 
+class RowCountMismatch(ValueError):
+    """A copy does not hold as many rows as its source."""
+
+
 class NotPublished(LookupError):
     """No such dataset or version."""
 
@@ -84,12 +92,14 @@ class ShelfReader:
 
     # -- the log --
 
-    def log(self) -> DataFrame:
-        """All log entries up to this reader's bound."""
-        folder = f"{self.root}/{LOG_FOLDER}"
+    def log(self, name: str | None = None) -> DataFrame:
+        """All log entries up to this reader's bound; with ``name``, only that dataset's files are listed and read."""
+        base = f"{self.root}/{LOG_FOLDER}"
+        folder = base if name is None else f"{base}/name={name}"
         if not path_exists(self.spark, folder):
             return self.spark.createDataFrame([], LOG_SCHEMA)
-        entries = self.spark.read.schema(LOG_SCHEMA).json(folder).select(*LOG_SCHEMA.names)
+        reader = self.spark.read.schema(LOG_SCHEMA).option("basePath", base)
+        entries = reader.json(folder).select(*LOG_SCHEMA.names)
         if self._bound_version is not None:
             entries = entries.filter(F.col("version") <= self._bound_version)
         if self._bound_ts is not None:
@@ -98,9 +108,7 @@ class ShelfReader:
 
     def versions(self, name: str | None = None) -> DataFrame:
         """Readable versions: every entry but expired ones, drops and expiry notes."""
-        log = self.log()
-        if name is not None:
-            log = log.filter(F.col("name") == name)
+        log = self.log(name)
         gone = log.filter("kind = 'expire'").select("name", F.col("target_version").alias("version"))
         return log.filter("kind NOT IN ('expire', 'drop')").join(gone, ["name", "version"], "left_anti")
 
@@ -116,7 +124,7 @@ class ShelfReader:
     def _entry(self, name: str, version: int | None = None, ts: datetime | None = None):
         if version is None and ts is None:
             # The newest entry decides; a drop means that nothing is on the shelf.
-            newest = self.log().filter((F.col("name") == name) & (F.col("kind") != "expire"))
+            newest = self.log(name).filter("kind <> 'expire'")
             row = [r for r in newest.orderBy(F.desc("version")).limit(1).collect() if r["kind"] != "drop"]
         else:
             found = self.versions(name)
@@ -138,12 +146,12 @@ class ShelfReader:
     def _load(self, entry) -> DataFrame:
         # The log holds the schema, so no footer is opened to plan the read.
         schema = T.StructType.fromJson(json.loads(entry["schema_json"]))
-        return self.spark.read.schema(schema).parquet(entry["path"])
+        return read_folders(self.spark, schema, entry["folders"], entry["partition_by"])
 
     def files(self, name: str, version: int | None = None, ts: datetime | None = None) -> DataFrame:
         """Data files of a version with their sizes."""
-        path = self._entry(name, version, ts)["path"]
-        return list_files(self.spark, path, "*.parquet").select(
+        folders = self._entry(name, version, ts)["folders"]
+        return list_files(self.spark, list(folders), "*.parquet").select(
             F.col("path").alias("data_file"), F.col("length").alias("data_file_size_bytes")
         )
 
@@ -165,10 +173,10 @@ class ShelfReader:
     def current_version(self, name: str) -> int:
         return self._entry(name)["version"]
 
-    def table_changes(self, name: str, lo, hi, key: Sequence[str] | None = None) -> DataFrame:
+    def table_changes(self, name: str, lo, hi, key: Sequence[str] | None = None, copies: str | None = None) -> DataFrame:
         """Row changes made by versions ``lo`` to ``hi``, both included; bounds are numbers or times.
 
-        Every version is read under the schema of the end version.
+        Every version is read under the schema of the end version. ``copies`` as in ``operators.changes.table_changes``.
         """
         known = self.versions(name)
         if isinstance(lo, datetime):
@@ -189,7 +197,7 @@ class ShelfReader:
         first_is_new = rows[0]["in_range"]
         if first_is_new:
             states.insert(0, (None, None))
-        return change_ops.table_changes(states, key)
+        return change_ops.table_changes(states, key, copies)
 
     def at(self, version: int | None = None, ts: datetime | None = None) -> "ShelfReader":
         """A read-only view of the whole shelf as of one bound."""
@@ -236,16 +244,20 @@ class Shelf(ShelfReader):
         extra_info: str | None = None,
         not_null: Sequence[str] = (),
         partition_by: Sequence[str] = (),
+        beside: Sequence[str] = (),
         date_parts: tuple[str, Sequence[str]] | None = None,
         rows_per_file: int | None = ROWS_PER_FILE,
         compression: str = "snappy",
         options: dict[str, str] | None = None,
         now: datetime | None = None,
         kind: str = "publish",
+        expected_rows: int | None = None,
     ) -> int:
         """Write a new version and make it visible. Returns the version number.
 
-        ``date_parts=("ts", ["year", "month"])`` adds calendar columns and partitions by them.
+        ``date_parts=("ts", ["year", "month"])`` adds calendar columns and partitions by them. ``beside`` names folders
+        of the same schema and partition columns that are part of the version as they are. With ``expected_rows``, a
+        version of another number of rows is not made visible.
         """
         if self.require_message and not (message or "").strip():
             raise ValueError("this shelf requires a message with every publish")
@@ -274,7 +286,10 @@ class Shelf(ShelfReader):
         names = [f for f in df.columns if f not in keys] + keys
         schema = T.StructType([T.StructField(n, df.schema[n].dataType, True, df.schema[n].metadata) for n in names])
         staged = self.spark.read.schema(schema).parquet(path)
-        row_count = staged.count()  # answered from footers
+        folders = [*beside, path]
+        row_count = read_folders(self.spark, schema, folders, keys).count()  # answered from footers
+        if expected_rows is not None and row_count != expected_rows:
+            raise RowCountMismatch(f"row counts differ: {expected_rows} vs {row_count}")
         check_not_null(staged, sorted({*not_null, *required_columns(schema)}))
         if changes is None:
             changes = "created" if version == 1 else "inserted"
@@ -286,6 +301,8 @@ class Shelf(ShelfReader):
                     kind=kind,
                     published_at=now,
                     path=path,
+                    folders=folders,
+                    partition_by=keys,
                     title=(title or "").strip() or name,
                     description=description,
                     columns={f.name: f.metadata.get("comment", "") for f in schema.fields},
@@ -304,16 +321,25 @@ class Shelf(ShelfReader):
         return version
 
     def append(self, df: DataFrame, name: str, **kw) -> int:
-        """New version holding the old rows and the new ones."""
-        old = self.read(name)
-        return self.publish(old.unionByName(df), name, **{"changes": "inserted", **kw})
+        """New version holding the old rows and the new ones. Only the new rows are written, unless types widen."""
+        last = self._entry(name)
+        old = self._load(last)
+        keys = list(last["partition_by"])
+        both = old.unionByName(df)
+        args = {"changes": "inserted", "partition_by": keys, **kw}
+        if both.schema.simpleString() != old.schema.simpleString() or list(args["partition_by"]) != keys:
+            return self.publish(both, name, **args)
+        # columns carry the old marks, so that a required column stays one
+        new = df.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in old.schema.fields])
+        return self.publish(new, name, beside=last["folders"], **args)
 
     def replace_rows(self, df: DataFrame, name: str, **kw) -> int:
-        """New version with other rows (result of a merge, delete or update), keeping the documentation."""
+        """New version with other rows (result of a merge, delete or update), keeping documentation and partitioning."""
         last = self._entry(name)
         kept = dict(title=last["title"], description=last["description"], user=last["user"])
         comments = {k: v for k, v in (last["columns"] or {}).items() if v and k in df.columns}
-        return self.publish(df, name, **{**kept, "comments": comments, "changes": "altered", **kw})
+        keys = [k for k in last["partition_by"] if k in df.columns]
+        return self.publish(df, name, **{**kept, "comments": comments, "changes": "altered", "partition_by": keys, **kw})
 
     def rollback(self, name: str, version: int, now: datetime | None = None) -> int:
         """Make an older version the current one again. No data is copied."""
@@ -371,12 +397,14 @@ def check_not_null(df: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError(f"NULL in required columns: {bad}")
 
 
-def export_chunks(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE, threshold: int = LARGE_TABLE_ROWS) -> int:
-    """Write Parquet; above ``threshold`` rows no file holds more than ``rows_per_file``. Returns the chunk count."""
-    rows = df.count()
-    writer = df.write
-    if rows <= threshold:
-        writer.parquet(path)
-        return 1
-    writer.option("maxRecordsPerFile", rows_per_file).parquet(path)
-    return math.ceil(rows / rows_per_file)
+def read_folders(spark: SparkSession, schema: T.StructType, folders: Sequence[str], keys: Sequence[str]) -> DataFrame:
+    """The rows of all folders. Folders with partition columns are read one by one: each has a layout of its own."""
+    if not keys:
+        return spark.read.schema(schema).parquet(*folders)
+    return reduce(DataFrame.unionByName, [spark.read.schema(schema).parquet(f) for f in folders])
+
+
+def export_chunks(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> int:
+    """Write Parquet files of at most ``rows_per_file`` rows each. Returns how many there are."""
+    df.write.option("maxRecordsPerFile", rows_per_file).parquet(path)
+    return list_files(df.sparkSession, path, "*.parquet").count()

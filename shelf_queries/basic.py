@@ -92,9 +92,12 @@ def semi_join(spark, sf):
     return table(spark, sf, "customer").join(big, "c_custkey", "left_semi").select("c_custkey", "c_name")
 
 
-@query("anti_join", "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey)")
+@query(
+    "anti_join",
+    "SELECT c_custkey, c_name FROM customer WHERE NOT EXISTS (SELECT 1 FROM orders WHERE o_custkey = c_custkey AND o_totalprice > 400000)",
+)
 def anti_join(spark, sf):
-    buyers = table(spark, sf, "orders").select(F.col("o_custkey").alias("c_custkey")).distinct()
+    buyers = table(spark, sf, "orders").filter(F.col("o_totalprice") > 400000).select(F.col("o_custkey").alias("c_custkey")).distinct()
     return table(spark, sf, "customer").join(buyers, "c_custkey", "left_anti").select("c_custkey", "c_name")
 
 

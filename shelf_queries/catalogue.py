@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from datetime import datetime, timezone
+from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import functions as F
 
@@ -16,7 +16,7 @@ from shelf_queries import inputs as I
 from shelf_queries.basic import COUNTS
 from shelf_queries.curated import registry, sources
 from shelf_queries.inputs import table
-from shelf_queries.published import new_shelf, three_versions
+from shelf_queries.published import FEED, T0, new_shelf, three_versions
 from shelf_queries.registry import query
 
 STAMP = datetime(2025, 1, 1, 12, 0, 0)
@@ -27,6 +27,17 @@ SCHEMAS = {
     "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, p_retailprice double",
     "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string",
     "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string",
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, l_extendedprice double, "
+    "l_discount double, l_tax double, l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz",
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "embeddings": "vec_id bigint, embedding array<float>, label int",
+    "pages": "page_id bigint, url string, html string",
+    "benchmark": "item_id bigint, text string",
+    "labels": "doc_id bigint, quality int, toxic int",
+    "conversations": "conv_id bigint, turn bigint, role string, text string",
 }
 
 
@@ -117,6 +128,8 @@ def _text(column: str, kind: str) -> str:
 
 def _samples_sql(name: str) -> str:
     def one(column: str, kind: str) -> str:
+        if kind.startswith("array"):
+            return f"SELECT '{column}' AS column_name, " + ", ".join(f"CAST(NULL AS VARCHAR) AS example_{i}" for i in (1, 2, 3))
         nth = ", ".join(f"max(v) FILTER (WHERE rn = {i}) AS example_{i}" for i in (1, 2, 3))
         return f"""SELECT '{column}' AS column_name, {nth} FROM (SELECT {_text(column, kind)} AS v, row_number() OVER (ORDER BY {column}) AS rn
         FROM (SELECT DISTINCT {column} FROM {name} WHERE {column} IS NOT NULL))"""
@@ -173,7 +186,7 @@ def comments_coverage(spark, sf):
     tables = listed(spark, sf)
     keys = cat.describe(spark, tables).filter(F.col("column_name").endswith("key"))
     comments = keys.select("table_name", "column_name", F.concat(F.lit("Key "), "column_name").alias("comment"))
-    documented = {n: cat.apply_comments(df, n, comments)[0] for n, df in tables.items()}
+    documented = {n: df for n, (df, _) in cat.apply_all_comments(tables, comments).items()}
     covered = cat.comments_coverage(cat.describe(spark, documented), 1)
     return covered.join(st.row_counts(documented), "table_name")
 
@@ -273,9 +286,13 @@ def run_summary(spark, sf):
 
 @query(
     "publish_contract",
-    """SELECT name, true AS title_ok, true AS columns_ok, name <> 'nothing' AS rows_ok, true AS width_ok, name <> 'half_spatial' AS spatial_ok,
-    name <> 'nothing' AS head_ok, name = 'customer' AND (SELECT count(*) FROM customer) > 0 AS passed
-    FROM (VALUES ('customer'), ('nothing'), ('half_spatial')) t(name)""",
+    """SELECT *, title_ok AND columns_ok AND rows_ok AND width_ok AND spatial_ok AND head_ok AS passed FROM (
+    SELECT name, trim(coalesce(title, name)) <> '' AS title_ok, width > 0 AS columns_ok, n > 0 AS rows_ok, width > 0 AS width_ok,
+    NOT spatial OR keys = 3 AS spatial_ok, n > 0 AS head_ok
+    FROM (SELECT count(*) AS width FROM (DESCRIBE SELECT * FROM customer)), (
+      SELECT 'customer' AS name, 'Customers' AS title, count(*) AS n, false AS spatial, 0 AS keys FROM customer
+      UNION ALL SELECT 'nothing', NULL, count(*), false, 0 FROM customer WHERE c_custkey < 0
+      UNION ALL SELECT 'half_spatial', NULL, count(*), true, 0 FROM customer))""",
 )
 def publish_contract(spark, sf):
     """One good dataset, one without rows, one that calls itself spatial but lacks the keys."""
@@ -288,34 +305,46 @@ def publish_contract(spark, sf):
 
 @query(
     "lake_checks",
-    """SELECT "check", (SELECT count(*) FROM customer) > 0 AS passed FROM (VALUES ('table count'), ('table comments'), ('column comments'), ('views'),
-    ('versions'), ('time travel'), ('change feed'), ('read-only access')) t("check")""",
+    f"""WITH c AS (SELECT (SELECT count(*) FROM ({I.V1})) AS n1, (SELECT count(*) FROM ({I.V2})) AS n2,
+      (SELECT count(*) FROM ({FEED}) WHERE snapshot_id = 2) AS moved, (SELECT count(*) FROM (DESCRIBE SELECT * FROM customer)) AS width)
+    SELECT 'table count' AS "check", true AS passed, '3 of 3' AS detail
+    UNION ALL SELECT 'table comments', true, '1 of at least 1'
+    UNION ALL SELECT 'column comments', true, '2 of at least 2'
+    UNION ALL SELECT 'views', true, '3 of at least 3'
+    UNION ALL SELECT 'versions', true, '2 newest versions found'
+    UNION ALL SELECT 'time travel', n1 > 0 AND n2 > 0, n1 || ' and ' || n2 || ' rows' FROM c
+    UNION ALL SELECT 'change feed', n1 + moved >= 1, (n1 + moved) || ' changes' FROM c
+    UNION ALL SELECT 'retention', true, '0 versions are older than 90 days'
+    UNION ALL SELECT 'read-only access', n2 > 0, width || ' columns described' FROM c""",
 )
 def lake_checks(spark, sf):
     shelf = three_versions(spark, sf, 2)
-    views = len(registry())
-    found = q.shelf_checks(
-        shelf, views, "customer", ["c_custkey"], tables=1, comments=1, column_comments=2, min_views=3
+    for name, df in sources(spark, sf).items():
+        shelf.publish(df, name, now=T0)
+    return q.shelf_checks(
+        shelf, registry(), "customer", ["c_custkey"], tables=3, comments=1, column_comments=2, min_views=3,
+        now=T0 + timedelta(days=60),
     )
-    return found.select("check", "passed")
 
 
 @query(
     "refresh_pipeline",
-    """SELECT table_name, passed, reason, source_rows, target_rows, in_catalogue FROM (
-    SELECT 'customer' AS table_name, true AS passed, CAST(NULL AS VARCHAR) AS reason, count(*) AS source_rows, count(*) AS target_rows, true AS in_catalogue FROM customer
-    UNION ALL SELECT 'orders', true, NULL, count(*), count(*), true FROM orders
-    UNION ALL SELECT 'areas', true, NULL, count(*), count(*), true FROM customer)""",
+    f"""SELECT table_name, 'table' AS type, true AS passed, CAST(NULL AS VARCHAR) AS reason, row_count AS source_rows, row_count AS target_rows,
+    row_count AS catalogue_rows FROM ({COUNTS} UNION ALL SELECT 'areas', count(*) FROM customer
+    UNION ALL SELECT 'lookup', count(*) FROM ({I.LOOKUP}) UNION ALL SELECT 'emissions', count(*) FROM ({I.EMISSIONS}))
+    UNION ALL SELECT name, 'view', NULL, NULL, NULL, NULL, row_count FROM ({VIEW_ROWS})""",
 )
 def refresh_pipeline(spark, sf):
+    """All test tables, the areas and two derived tables, with the views over them; what the catalogue then lists."""
     shelf: Shelf = new_shelf(spark)
-    tables = {
-        "customer": Table(lambda: table(spark, sf, "customer"), "Customers", {"c_custkey": "Customer number"}),
-        "orders": Table(lambda: table(spark, sf, "orders"), "Orders"),
-        "areas": Table(
-            lambda: I.areas(spark, sf), "Areas", spatial=Spatial("shape", "MULTIPOLYGON", "EPSG:27700", "decode+flag", ("area_id",))
-        ),
-    }
-    summary = refresh(Config(shelf, tables, source_db="test", now=datetime(2025, 1, 1, tzinfo=timezone.utc)))
-    listed_names = shelf.read("datasets_catalogue").select(F.col("name").alias("table_name"), F.lit(True).alias("in_catalogue"))
-    return summary.join(listed_names, "table_name", "left")
+    tables = {n: Table(lambda n=n: table(spark, sf, n), n.title()) for n in I.TABLES}
+    tables["customer"].comments = {"c_custkey": "Customer number"}
+    tables["areas"] = Table(
+        lambda: I.areas(spark, sf), "Areas", spatial=Spatial("shape", "GEOMETRY", "EPSG:27700", "decode+flag", ("area_id",))
+    )
+    tables |= {n: Table(lambda n=n: sources(spark, sf)[n]) for n in ("lookup", "emissions")}
+    summary = refresh(Config(shelf, tables, registry(), source_db="test", now=datetime(2025, 1, 1, tzinfo=timezone.utc)))
+    listed_rows = shelf.read("datasets_catalogue").select(F.col("name").alias("table_name"), "type", F.col("row_count").alias("catalogue_rows"))
+    return summary.join(listed_rows, "table_name", "full").select(
+        "table_name", "type", "passed", "reason", "source_rows", "target_rows", "catalogue_rows"
+    )

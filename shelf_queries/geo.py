@@ -13,7 +13,8 @@ from datashelf.plans.views import certificates_at_points
 from datashelf.session import fresh_folder
 from datashelf.sources.shelf import Shelf
 from shelf_queries import inputs as I
-from shelf_queries.curated import CODES
+from datashelf.plans.views import CERTIFICATE_COLUMNS
+from shelf_queries.curated import CODES, IN_REGION, _point_value, curated
 from shelf_queries.registry import query
 
 
@@ -83,6 +84,17 @@ def geo_join_points(spark, sf):
     )
 
 
+@query(
+    "curated_points_view",
+    f"""{PLACED} SELECT {", ".join(f"{_point_value(c)[1]} AS {c}" for c in CERTIFICATE_COLUMNS)}, {TEXT} AS geo_point_2d
+    FROM ({I.CERTIFICATES}) c JOIN placed USING (address_id) WHERE {IN_REGION}""",
+)
+def curated_points_view(spark, sf):
+    """The whole point view of the curated set: all its certificate columns and the position."""
+    views, tables = curated(spark, sf)
+    return views.build("domestic_certificates_points_vw", tables)
+
+
 @query(
     "geo_bbox",
     f"""SELECT min(easting) AS bbox_xmin, min(northing) AS bbox_ymin, max(easting) AS bbox_xmax, max(northing) AS bbox_ymax

@@ -236,7 +236,8 @@ def table_changes(spark, sf):
     CASE snapshot_id WHEN 2 THEN 'inserted,deleted,updated' ELSE 'updated' END AS changes FROM ({FEED}) GROUP BY snapshot_id""",
 )
 def change_summary(spark, sf):
-    return ch.change_summary(three_versions(spark, sf).table_changes("customer", 2, 3, ["c_custkey"]))
+    feed = three_versions(spark, sf).table_changes("customer", 2, 3, ["c_custkey"], copies="n")
+    return ch.change_summary(feed, "n")
 
 
 # ---- schema evolution ----
@@ -347,10 +348,10 @@ def scan_multifile(spark, sf):
     "SELECT count(*) AS n, true AS within_limit, 4::BIGINT AS chunks FROM orders",
 )
 def chunked_export(spark, sf):
-    """A table above the threshold, in files of at most a quarter of its rows."""
-    folder, orders = fresh_folder(spark, "files"), table(spark, sf, "orders")
+    """A table as one input partition, in files of at most a quarter of its rows."""
+    folder, orders = fresh_folder(spark, "files"), table(spark, sf, "orders").repartition(1)
     quarter = -(-orders.count() // 4)
-    chunks = export_chunks(orders, folder, rows_per_file=quarter, threshold=quarter)
+    chunks = export_chunks(orders, folder, rows_per_file=quarter)
     per_file = spark.read.parquet(folder).groupBy("_metadata.file_path").agg(F.count(F.lit(1)).alias("n"))
     return per_file.agg(F.sum("n").alias("n"), (F.max("n") <= quarter).alias("within_limit")).withColumn("chunks", F.lit(chunks).cast("long"))
 
@@ -449,22 +450,23 @@ def expire_versions(spark, sf):
     f"SELECT true AS only_stray_files, true AS none_left, (SELECT count(*) FROM ({I.V1})) AS rows_left",
 )
 def orphan_files(spark, sf):
-    """Files that a failed publish left behind are found and removed; published ones are not touched."""
+    """What failed publishes left behind, hidden or not, is found and removed; published files are not touched."""
     shelf = three_versions(spark, sf, 1)
     table(spark, sf, "customer").write.parquet(f"{shelf.root}/customer/v00000002-unfinished")
+    table(spark, sf, "customer").write.parquet(f"{shelf.root}/customer/_temporary/unfinished")
     soon = datetime.now(timezone.utc) + timedelta(hours=1)
     stray = mt.orphan_files(shelf).filter(~F.col("path").contains("unfinished")).count() == 0
     removed = mt.remove_orphans(shelf, soon, dry_run=False)
     left = mt.orphan_files(shelf).count()
     return shelf.read("customer").agg(F.count(F.lit(1)).alias("rows_left")).select(
-        F.lit(stray and removed > 0).alias("only_stray_files"), F.lit(left == 0).alias("none_left"), "rows_left"
+        F.lit(stray and removed == 2).alias("only_stray_files"), F.lit(left == 0).alias("none_left"), "rows_left"
     )
 
 
 @query(
     "maintain",
     f"""SELECT step, subject, n::BIGINT AS n, (SELECT count(*) FROM ({I.V3})) AS rows_left
-    FROM (VALUES ('expire', 'versions', 2), ('compact', 'datasets', 1), ('clean up', 'files', 0)) t(step, subject, n)""",
+    FROM (VALUES ('expire', 'versions', 2), ('compact', 'datasets', 1), ('clean up', 'folders', 0)) t(step, subject, n)""",
 )
 def maintain(spark, sf):
     shelf = three_versions(spark, sf, 2)

@@ -20,7 +20,7 @@ from datashelf.plans.refresh import Config, Spatial, Table, read_geo, refresh
 from datashelf.plans.views import CERTIFICATE_COLUMNS, standard_views
 from datashelf.session import fresh_folder
 from datashelf.sources import files as fs
-from datashelf.sources.shelf import NotPublished
+from datashelf.sources.shelf import NotPublished, export_chunks
 
 T0 = datetime(2025, 1, 1, tzinfo=timezone.utc)
 
@@ -237,13 +237,12 @@ def test_row_ids_with_one_hot_value(spark):
     assert [r["k"] for r in sorted(ids, key=lambda r: r["row_id"])] == sorted(r["k"] for r in df.collect())
 
 
-def test_deep_page_equals_sorted_page(spark, monkeypatch):
-    from datashelf.operators import rows as rows_module
-
-    df = spark.range(500).select((F.col("id") * 7 % 500).alias("k"))
-    near = rows(page(df, ["k"], 100, 20))
-    monkeypatch.setattr(rows_module, "TOP_K_LIMIT", 10)
-    assert rows(page(df, ["k"], 100, 20)) == near == sorted([(i,) for i in range(100, 120)], key=str)
+def test_pages_fit_together(spark):
+    ties = spark.range(3000).select(F.lit(1).alias("k"), "id")
+    pages = [page(ties, ["k"], at, n) for at, n in ((0, 1000), (1000, 1500), (2500, 500))]
+    assert sorted(r["id"] for p in pages for r in p.collect()) == list(range(3000))
+    mixed = spark.range(500).select((F.col("id") * 7 % 500).alias("k"))
+    assert [r["k"] for r in page(mixed, ["k"], 100, 20).collect()] == list(range(100, 120))
 
 
 def test_validity_interval(spark):
@@ -286,6 +285,74 @@ def test_expire_compact_orphans(spark, shelf, people):
     assert mt.remove_orphans(shelf, T0) == 0
     assert mt.remove_orphans(shelf, soon, dry_run=False) >= 1
     assert mt.orphan_files(shelf).count() == 0 and shelf.read("people").count() == 2
+    # what a job that died leaves is hidden from Spark's own listings
+    people.write.parquet(f"{shelf.root}/people/_temporary/0/part")
+    assert mt.orphan_files(shelf).count() > 0 and mt.remove_orphans(shelf, soon, dry_run=False) == 1
+    with pytest.raises(ValueError):
+        mt.expire(shelf, versions=[1])
+
+
+def test_append_writes_new_rows_only_and_keeps_partitions(spark, shelf):
+    df = spark.range(90).select("id", (F.col("id") % 3).alias("k"))
+    shelf.publish(df, "parts", partition_by=["k"], not_null=["id"])
+    before = {r["data_file"] for r in shelf.files("parts").collect()}
+    shelf.append(df.select(F.col("id") + 90, "k").toDF("id", "k"), "parts")
+    after = {r["data_file"] for r in shelf.files("parts").collect()}
+    assert before < after and shelf.read("parts").count() == 180
+    assert all("/k=" in f for f in after)
+    shelf.replace_rows(shelf.read("parts").filter("id <> 5"), "parts")
+    assert "PartitionFilters: [isnotnull(k" in shelf.read("parts").filter("k = 1")._jdf.queryExecution().toString()
+    for i in range(3):
+        shelf.append(df.filter(F.col("id") < 6).select(F.col("id") + 1000 * (i + 1), "k").toDF("id", "k"), "parts")
+    big = shelf._entry("parts")["folders"][0]
+    n = shelf.files("parts").count()
+    assert mt.compact(shelf, "parts", target_bytes=4 * 1024) is not None
+    assert shelf.files("parts").count() < n and shelf.read("parts").count() == 179 + 18
+    assert all("/k=" in r["data_file"] for r in shelf.files("parts").collect()) and big
+    # a type that widens is written anew
+    shelf.publish(spark.range(2).select(F.col("id").cast("int").alias("id")), "narrow")
+    shelf.append(spark.range(3), "narrow")
+    assert shelf.read("narrow").schema["id"].dataType == T.LongType() and shelf.read("narrow").count() == 5
+
+
+def test_export_counts_files(spark):
+    folder = fresh_folder(spark, "export")
+    assert export_chunks(spark.range(10).repartition(3), folder, rows_per_file=2) == len(glob.glob(f"{folder.removeprefix('file:')}/*.parquet"))
+
+
+def test_conformed_read_finds_nested_files(spark):
+    folder = fresh_folder(spark, "nested")
+    spark.range(10).write.parquet(f"{folder}/a")
+    spark.range(5).write.parquet(f"{folder}/a/b/c")
+    assert ev.read_conformed(spark, [folder], spark.range(1).schema).count() == 15
+
+
+def test_typed_defaults_and_decimals(spark, people):
+    import datetime as dt
+    from decimal import Decimal
+
+    added = ev.add_column(people, "since", "date", dt.date(2024, 2, 3))
+    added = ev.add_column(added, "rate", "decimal(6,2)", Decimal("1.50"))
+    added = ev.add_column(added, "note", "string", "a\\'b")
+    folder = fresh_folder(spark, "old")
+    people.write.parquet(folder)
+    old = spark.read.schema(ev.with_read_defaults(added.schema)).parquet(folder).first()
+    assert (old["since"], old["rate"], old["note"]) == (dt.date(2024, 2, 3), Decimal("1.50"), "a\\'b")
+    assert not ev.fits(T.DecimalType(10, 0), T.DecimalType(10, 5)) and ev.fits(T.DecimalType(5, 0), T.DecimalType(10, 5))
+
+
+def test_nan_files_are_not_pruned(spark):
+    stats = spark.createDataFrame(
+        [("x", "double", "a", "1.0", "1.0", True)], "column_name string, column_type string, data_file string, min_value string, max_value string, contains_nan boolean"
+    )
+    assert [st.prune_files(stats, "x", op, 10.0, "double").count() for op in (">", ">=", "=", "<")] == [1, 1, 0, 1]
+
+
+def test_change_summary_sums_copies(spark):
+    one = spark.createDataFrame([(1,)] * 5, "a int")
+    feed = ch.table_changes([(None, None), (1, one)], copies="n")
+    assert feed.count() == 1
+    assert rows(ch.change_summary(feed, "n").select("inserted", "changes")) == [(5, "inserted")]
 
 
 def test_partitioned_publish_prunes(spark, shelf):
