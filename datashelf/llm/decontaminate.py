@@ -25,20 +25,19 @@ def word_hashes(text: Column) -> Column:
 
 def seed_key(hashes: Column, at: Column, masks: list[str], which: Column) -> Column:
     """The hash of the words that mask number ``which`` looks at from position ``at``."""
-    out = F.lit(None).cast("long")
-    for i, mask in reversed(list(enumerate(masks))):
-        seen = [F.get(hashes, at + j) for j, c in enumerate(mask) if c == "1"]
-        out = F.when(which == i, F.xxhash64(F.lit(i), *seen)).otherwise(out)
+    keys = [F.xxhash64(F.lit(i), *[F.get(hashes, at + j) for j, c in enumerate(m) if c == "1"]) for i, m in enumerate(masks)]
+    out = keys[-1]
+    for i in range(len(masks) - 2, -1, -1):
+        out = F.when(which == i, keys[i]).otherwise(out)
     return out
 
 
 def seeds(rows: DataFrame, masks: list[str]) -> DataFrame:
     """Every seed of every row with ``hashes``: adds mask, at, key. A mask applies where all of its words exist."""
     n = F.size("hashes")
-    span = len(masks[0])
-    number = F.lit(len(masks))
+    span, number = len(masks[0]), len(masks)
     long_ = rows.filter(n >= span).withColumn("k", F.explode(F.sequence(F.lit(0), (n - span + 1) * number - 1)))
-    long_ = long_.withColumns({"at": F.floor(F.col("k") / number).cast("int"), "mask": F.col("k") % number})
+    long_ = long_.withColumns({"at": F.expr(f"int(k div {number})"), "mask": F.col("k") % number})
     return long_.withColumn("key", seed_key(F.col("hashes"), F.col("at"), masks, F.col("mask"))).drop("k")
 
 
@@ -95,10 +94,14 @@ def _verified(hits: DataFrame, width: int) -> DataFrame:
     zone = before + width + after
     ours = F.slice("hashes", F.col("at") - before + 1, zone)
     theirs = F.slice("near", F.col("before") - before + 1, zone)
-    looked = hits.select(
-        "row", "doc_id", "item_id", (F.col("at") - before).alias("from"),
-        F.zip_with(ours, theirs, lambda a, b: (a == b).cast("int")).alias("same"),
-    )
+    # Only these few words of a document leave the stage that holds all of its words.
+    near = hits.select(
+        "row", "doc_id", "item_id", (F.col("at") - before).alias("from"), ours.alias("ours"), theirs.alias("theirs")
+    )
+    # The array of one element keeps the filter below from becoming a condition of the join, where it would be
+    # worked out with the whole array at hand.
+    same = F.zip_with("ours", "theirs", lambda a, b: (a == b).cast("int"))
+    looked = near.select("row", "doc_id", "item_id", "from", F.explode(F.array(same)).alias("same"))
     window = F.least(F.size("same"), F.lit(VERIFIED_WORDS))
     sums = F.transform(
         F.sequence(F.lit(1), F.size("same") - window + 1),
