@@ -15,6 +15,7 @@ from datashelf.llm.common import components, keyed, stored
 WORDS = 5
 BANDS = 32
 ROWS = 4
+SMALL_BUCKET = 16
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 CACHED_WORDS = 500_000
 
@@ -56,7 +57,7 @@ def donor_order(bins: int) -> np.ndarray:
 
 def band_keys(shingles: np.ndarray, order: np.ndarray, bands: int, rows: int) -> np.ndarray:
     """Buckets of a one-permutation signature: the least hash in each bin; an empty bin takes that of its first filled
-    donor. A bucket for each band, and for every two bands together."""
+    donor. A bucket for each band, and for every other band with the next and with the next two."""
     bins = bands * rows
     bin_of = (shingles >> np.uint64(32)) * np.uint64(bins) >> np.uint64(32)  # hashes are sorted, so bins are too
     filled, first = np.unique(bin_of, return_index=True)
@@ -70,8 +71,9 @@ def band_keys(shingles: np.ndarray, order: np.ndarray, bands: int, rows: int) ->
     keys = np.arange(1, bands + 1, dtype=np.uint64)
     for i in range(rows):
         keys = mixed(keys * MULTIPLIER + signature[:, i])
-    pairs = mixed(keys[0::2] * MULTIPLIER + keys[1::2])
-    return np.concatenate([keys, pairs]).view(np.int64)
+    pairs = mixed(keys * MULTIPLIER + np.roll(keys, -1))
+    triples = mixed(pairs[::2] * MULTIPLIER + np.roll(keys, -2)[::2])
+    return np.concatenate([keys, pairs[::2], triples]).view(np.int64)
 
 
 def signer(bands: int, rows: int):
@@ -121,6 +123,38 @@ def verifier(percent: int):
     return verify
 
 
+def _pair(x: str, y: str) -> list:
+    return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
+
+
+def _confirmed(edges: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """The edges whose full sets are near. Only texts that some edge asks for go into its joins."""
+    asked = stored(edges.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "asked")
+    texts = stored(texts.join(asked, "row", "left_semi"), "texts")
+    own = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
+    other = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
+    return edges.join(other, "b").join(own, "a").mapInArrow(verifier(percent), "a long, b long")
+
+
+def _between_classes(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
+    """Edges between different classes of a bucket: all of them in small buckets, two new stars in large ones."""
+    state = members.select("bucket", "node", "m").join(labels, "node", "left")
+    state = state.withColumn("label", F.coalesce("label", "node"))
+    lot = F.xxhash64(F.lit(turn), "bucket", "node")
+    ends = state.groupBy("bucket").agg(
+        F.min("label").alias("from"), F.max("label").alias("to"),
+        F.min_by("node", lot).alias("c1"), F.min_by("label", lot).alias("l1"),
+        F.max_by("node", lot).alias("c2"), F.max_by("label", lot).alias("l2"),
+    )
+    open_ = stored(state.join(ends.filter(F.col("from") < F.col("to")), "bucket"), "open")
+    small = open_.filter(F.col("m") <= SMALL_BUCKET).select("bucket", "node", "label")
+    other = small.select("bucket", F.col("node").alias("x"), F.col("label").alias("of"))
+    within = small.join(other, "bucket").filter(F.col("label") < F.col("of")).select(*_pair("node", "x"))
+    centres = F.explode(F.array(F.struct(F.col("c1").alias("x"), F.col("l1").alias("of")), F.struct(F.col("c2").alias("x"), F.col("l2").alias("of"))))
+    large = open_.filter(F.col("m") > SMALL_BUCKET).select("node", "label", centres.alias("c"))
+    return within.union(large.filter(F.col("label") != F.col("c.of")).select(*_pair("node", "c.x"))).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -135,12 +169,15 @@ def near_duplicates(
     Two documents are linked where 100 * |intersection| >= percent * |union| of their sets of five-word shingles;
     a class is a connected component, named by its smallest doc_id, whose row is kept.
 
-    Documents of equal sets are one from the start. Signatures have bands * rows bins. Buckets are formed by each band
-    and by each two neighbouring bands. In every bucket, the members of smallest and of largest number are the centres
-    of two stars; their distinct edges, at most two for each member and bucket, are confirmed on the full sets. Two
-    documents at the limit share no bucket about once in 200,000 cases. In a bucket of up to three, all pairs are
-    compared; in a larger one, two documents may meet only by way of others, and buckets of two bands, which only closer
-    documents share, part such groups again. The tests measure what is lost against brute force.
+    Documents of equal sets are one from the start. Signatures have bands * rows bins. Buckets are formed by each band and
+    by two and three neighbouring bands, which only closer documents share, so that a large bucket comes with smaller
+    ones. In every bucket, the members of smallest and of largest number are the centres of two stars; their distinct
+    edges, at most two for each member and bucket, are confirmed on the full sets. As long as new links turn up, buckets
+    that still hold several classes go on: in those of up to 16 members all classes are compared, larger ones get two
+    new stars with centres by lot. No bucket's pairs are listed beyond that bound.
+
+    Two documents at the limit share no bucket about once in 200,000 cases; in a large group they may also be missed if
+    neither has another neighbour that was compared. The tests measure this against all pairs.
 
     A null or empty text, or one without words, has an empty set and is linked with nothing. A null id is a class of
     its own unless linked to a row with an id; a row whose class has no id at all has a null component_id and kept
@@ -164,15 +201,24 @@ def near_duplicates(
         "sets",
     )
     members = groups.select(F.explode("bands").alias("bucket"), "node")
-    ends = members.groupBy("bucket").agg(F.min("node").alias("low"), F.max("node").alias("high")).filter("low < high")
-    stars = members.join(ends, "bucket").select("node", F.explode(F.array("low", "high")).alias("centre"))
-    edges = stars.filter("node <> centre").select(F.least("node", "centre").alias("a"), F.greatest("node", "centre").alias("b"))
-    edges = stored(edges.distinct(), "edges")
-    asked = edges.select(F.col("a").alias("row")).union(edges.select(F.col("b").alias("row"))).distinct()
-    texts = stored(source.select("row", "text").join(asked, "row", "left_semi"), "texts")
-    own = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
-    other = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
-    labels = components(edges.join(other, "b").join(own, "a").mapInArrow(verifier(percent), "a long, b long"))
+    ends = members.groupBy("bucket").agg(
+        F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("m")
+    )
+    members = stored(members.join(ends.filter("m > 1"), "bucket"), "members")
+    stars = members.select("node", F.explode(F.array("low", "high")).alias("centre")).filter("node <> centre")
+    tested = stored(stars.select(*_pair("node", "centre")).distinct(), "edges")
+    texts = source.select("row", "text")
+    links = stored(_confirmed(tested, texts, percent), "confirmed")
+    labels = components(links)
+    turn = 0
+    while True:
+        edges = _between_classes(members, labels, turn).join(tested.select("a", "b"), ["a", "b"], "left_anti")
+        edges = stored(edges, "edges")
+        new = stored(_confirmed(edges, texts, percent), "confirmed")
+        if not new.limit(1).count():
+            break
+        tested, links, turn = tested.union(edges), links.union(new), turn + 1
+        labels = components(links)
 
     named = groups.join(labels, "node", "left").select(
         "set1", "set2", "least", F.coalesce("label", "node").alias("label")
