@@ -65,3 +65,33 @@ def test_spatial_types(spark):
 def test_epoch_parts_before_1970(spark):
     df = spark.createDataFrame([(datetime(1969, 12, 31, 23, 30),)], "ts timestamp_ntz")
     assert list(df.select(*[S.epoch_part(F.col("ts"), p) for p in S.PARTS]).first()) == [-1, -1, -1, -1]
+
+
+def test_workers_need_no_copy_of_the_package(tmp_path):
+    """A driver that alone has the library on its path, in a folder of its own."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"""import sys
+sys.path.insert(0, {str(Path(__file__).parent.parent)!r})
+from pyspark.sql import functions as F
+from datashelf.functions.wkb import decode_wkb, encode_wkb, point_geometry
+from datashelf.session import build_session
+spark = build_session("alone", "local[1]", **{{"spark.ui.enabled": "false"}})
+there = spark.range(1).mapInPandas(lambda it: (f.assign(id=int("datashelf" in sys.modules)) for f in it), "id long")
+shape = decode_wkb(encode_wkb(point_geometry(F.lit(1.0), F.lit(2.0))))
+print("ANSWER", there.first()[0], spark.range(1).select(shape.alias("s")).select("s.type").first()[0])
+"""
+    )
+    env = {k: v for k, v in __import__("os").environ.items() if k not in ("PYTHONPATH", "SPARK_HOME")}
+    out = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=300)
+    assert "ANSWER 0 POINT" in out.stdout, out.stderr[-2000:]
+
+
+def test_arrow_spelling_of_addresses():
+    from datashelf.sources.files import arrow_uri
+
+    assert arrow_uri("s3a://b/x.parquet") == "s3://b/x.parquet" and arrow_uri("file:/x") == "file:/x"

@@ -173,3 +173,31 @@ def test_extent_and_rules(spark):
     assert {r["id"]: r["geom_valid"] for r in flagged.collect()} == {1: True, 2: True, 3: None}
     with pytest.raises(ValueError):
         normalise_geometry(df, "shape", "other")
+
+
+def test_published_bytes_keep_z_and_srid(spark, shelf):
+    """Z, M, SRID and collections come back as they were stored; a multi header goes before single ones."""
+    import struct
+
+    from datashelf.functions.wkb import multi_wkb, wkb_type
+    from datashelf.plans.quality import geometry_expectations
+    from datashelf.plans.refresh import Spatial, WrongGeometryType, publish_spatial
+
+    line_z = struct.pack("<BIIdddddd", 1, 1002, 2, 0, 0, 5, 1, 1, 6)
+    ewkb = struct.pack("<BIIIdddddd", 1, 0x80000002 | 0x20000000, 27700, 2, 0, 0, 5, 1, 1, 6)
+    big = struct.pack(">BIdd", 0, 1, 3, 4)
+    collection = struct.pack("<BII", 1, 7, 1) + struct.pack("<BIdd", 1, 1, 3, 4)
+    df = spark.createDataFrame([(i, bytearray(b)) for i, b in enumerate((line_z, ewkb, big, collection))], "id int, shape binary")
+    publish_spatial(shelf, df, "mixed", Spatial("shape", "GEOMETRY", "EPSG:27700"))
+    assert [bytes(r["shape"]) for r in shelf.read("mixed").orderBy("id").collect()] == [line_z, ewkb, big, collection]
+    multi = df.select("id", multi_wkb(F.col("shape")).alias("m")).withColumn("t", wkb_type(F.col("m"))).orderBy("id").collect()
+    assert [r["t"] for r in multi] == ["MULTILINESTRING", "MULTILINESTRING", "MULTIPOINT", "GEOMETRYCOLLECTION"]
+    assert bytes(multi[0]["m"]) == struct.pack("<BII", 1, 1005, 1) + line_z
+    assert bytes(multi[1]["m"]) == struct.pack("<BIII", 1, 0x80000005 | 0x20000000, 27700, 1) + ewkb
+    assert bytes(multi[2]["m"]) == struct.pack(">BII", 0, 4, 1) + big
+    decoded = df.filter("id < 3").select(wkb.decode_wkb(multi_wkb(F.col("shape"))).alias("s"), wkb.decode_wkb(F.col("shape")).alias("o"))
+    assert all(r["s"]["parts"] == r["o"]["parts"] for r in decoded.collect())
+    with pytest.raises(WrongGeometryType):
+        publish_spatial(shelf, df, "lines", Spatial("shape", "LINESTRING", "EPSG:27700"))
+    checks = geometry_expectations(df.filter("id < 2"), "shape", geometry_type="LINESTRING", min_rows=3)
+    assert [(r["check"], r["passed"]) for r in checks.collect()] == [("rows", False), ("single type", True)]
