@@ -70,6 +70,46 @@ def _places(xy, first, length, inner, outer) -> np.ndarray:
     return result
 
 
+def _ranges(start, count) -> np.ndarray:
+    """start[i], start[i] + 1, ... (count[i] of them), one after the other."""
+    first = np.concatenate([[0], np.cumsum(count)])
+    return np.arange(first[-1]) - np.repeat(first[:-1] - start, count)
+
+
+def boxes_within(low, high) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (inner, outer) of boxes that lie within each other.
+
+    Lower corners are dealt into columns of equally many, and sorted upwards in each, so that columns are narrow where
+    corners are dense. A box looks only at the stretch between its own ends in the columns that it covers.
+    """
+    n = len(low)
+    if n < 2:
+        return np.empty(0, int), np.empty(0, int)
+    by_x, by_y = np.argsort(low[:, 0], kind="stable"), np.argsort(low[:, 1], kind="stable")
+    side = int(np.ceil(np.sqrt(n)))
+    column, height = np.empty(n, int), np.empty(n, int)
+    column[by_x], height[by_y] = np.arange(n) // side, np.arange(n)
+    key = column * (n + 1) + height
+    order = np.argsort(key)
+    key, x, y = key[order], low[by_x, 0], low[by_y, 1]
+    left, right = np.searchsorted(x, low[:, 0], "left") // side, (np.searchsorted(x, high[:, 0], "right") - 1) // side
+    bottom, top = np.searchsorted(y, low[:, 1], "left"), np.searchsorted(y, high[:, 1], "right")
+    box = np.repeat(np.arange(n), right - left + 1)
+    strip = _ranges(left, right - left + 1) * (n + 1)
+    start, end = np.searchsorted(key, strip + bottom[box]), np.searchsorted(key, strip + top[box])
+    found = [], []
+    sums = np.concatenate([[0], np.cumsum(end - start)])
+    at = 0
+    while at < len(box):
+        to = max(at + 1, int(np.searchsorted(sums, sums[at] + PAIRS_PER_STEP, "right")) - 1)
+        inner, outer = order[_ranges(start[at:to], (end - start)[at:to])], np.repeat(box[at:to], (end - start)[at:to])
+        held = (inner != outer) & (low[inner] >= low[outer]).all(axis=1) & (high[inner] <= high[outer]).all(axis=1)
+        found[0].append(inner[held])
+        found[1].append(outer[held])
+        at = to
+    return np.concatenate(found[0]), np.concatenate(found[1])
+
+
 def badly_nested(xy, first, length, ring_part, ring_place, spans) -> np.ndarray:
     """Which geometries have a hole outside its shell, a hole within a hole, or a part within a part.
 
@@ -80,11 +120,8 @@ def badly_nested(xy, first, length, ring_part, ring_place, spans) -> np.ndarray:
     high = np.maximum.reduceat(xy, first) if len(first) else xy
     pairs = []
     for g, (begin, end) in enumerate(spans):
-        for r in range(begin, end):
-            held = (low[begin:end] >= low[r]).all(axis=1) & (high[begin:end] <= high[r]).all(axis=1)
-            inner = np.flatnonzero(held) + begin
-            inner = inner[inner != r]
-            pairs.append(np.column_stack([np.full(len(inner), g), inner, np.full(len(inner), r)]))
+        inner, outer = boxes_within(low[begin:end], high[begin:end])
+        pairs.append(np.column_stack([np.full(len(inner), g), inner + begin, outer + begin]))
     owner, inner, outer = np.concatenate(pairs).T if pairs else np.empty((3, 0), int)
     place = _places(xy, first, length, inner, outer)
     hole_in, hole_out = ring_place[inner] > 0, ring_place[outer] > 0

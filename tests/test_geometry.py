@@ -201,3 +201,34 @@ def test_published_bytes_keep_z_and_srid(spark, shelf):
         publish_spatial(shelf, df, "lines", Spatial("shape", "LINESTRING", "EPSG:27700"))
     checks = geometry_expectations(df.filter("id < 2"), "shape", geometry_type="LINESTRING", min_rows=3)
     assert [(r["check"], r["passed"]) for r in checks.collect()] == [("rows", False), ("single type", True)]
+
+
+def test_boxes_within():
+    from datashelf.functions.ringcheck import boxes_within
+
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 2, 50, 300):
+        low = rng.integers(0, 30, (n, 2)).astype(float)
+        high = low + rng.integers(0, 12, (n, 2))
+        low[: n // 10], high[: n // 10] = -1e6, 1e6  # a few that hold all others, far off
+        want = {(i, o) for i in range(n) for o in range(n) if i != o and (low[i] >= low[o]).all() and (high[i] <= high[o]).all()}
+        inner, outer = boxes_within(low, high)
+        assert set(zip(inner.tolist(), outer.tolist())) == want and len(inner) == len(want)
+
+
+def test_many_parts_are_nested_fast():
+    import time
+
+    import pyarrow as pa
+
+    from datashelf.functions.ringcheck import VALID, row_status
+
+    n = 16_000
+    vertex = lambda x, y: {"x": float(x), "y": float(y)}
+    parts = [[[vertex(x, y), vertex(x + 1, y), vertex(x + 1, y + 1), vertex(x, y + 1), vertex(x, y)]]
+             for x, y in ((2 * (i % 130), 2 * (i // 130)) for i in range(n))]
+    parts.append([[vertex(1e7 + x, y) for x, y in ((0, 0), (1, 0), (1, 1), (0, 0))]])
+    shapes = pa.array([{"type": "MULTIPOLYGON", "parts": parts}], pa.struct([("type", pa.string()), ("parts", pa.list_(pa.list_(pa.list_(pa.struct([("x", pa.float64()), ("y", pa.float64())])))))]))
+    started = time.process_time()
+    assert row_status(shapes, 10**9 if n < 1 else 0).to_pylist() in ([2], [VALID])
+    assert time.process_time() - started < 2
