@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 
 from datashelf.session import fresh_folder
 
+BROADCAST_ROWS = 1_000_000  # of two numbers at most: 16 MB
 PLACE_BITS = 33  # monotonically_increasing_id: the partition's number above 33 bits of place
 
 
@@ -30,6 +31,11 @@ def keyed(df: DataFrame, **columns: str | Column) -> DataFrame:
     return df.select(F.monotonically_increasing_id().alias("row"), *chosen)
 
 
+def few(df: DataFrame) -> DataFrame:
+    """A stored frame of numbers, to be broadcast if it has at most ``BROADCAST_ROWS`` rows and joined by shuffle else."""
+    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+
+
 def ranked(df: DataFrame, group: Sequence[str], order: Sequence[str], name: str = "rank") -> DataFrame:
     """Add the place of each row (gapless, from 0) within its group, by ``order``, which must be a total order.
 

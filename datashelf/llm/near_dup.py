@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from datashelf.llm.common import components, keyed, stored
+from datashelf.llm.common import components, few, keyed, stored
 
 WORDS = 5
 BANDS = 32
@@ -128,12 +128,12 @@ def _pair(x: str, y: str) -> list:
 
 
 def _confirmed(edges: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """The edges whose full sets are near. Only texts that some edge asks for go into its joins."""
+    """The (stored) edges whose full sets are near. Only texts that some edge asks for go into its joins."""
     asked = stored(edges.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "asked")
-    texts = stored(texts.join(asked, "row", "left_semi"), "texts")
+    texts = stored(texts.join(few(asked), "row", "left_semi"), "texts")
     own = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
     other = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
-    return edges.join(other, "b").join(own, "a").mapInArrow(verifier(percent), "a long, b long")
+    return other.join(few(edges), "b").join(own, "a").mapInArrow(verifier(percent), "a long, b long")
 
 
 def _between_classes(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
