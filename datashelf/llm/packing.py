@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import json
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -15,49 +19,76 @@ from datashelf.llm.common import keyed, ranked, stored
 
 CAPACITY = 2048
 END_ID = 0
-CACHED_PARTS = 400_000
+CACHED = 600_000
+# Fixed value: how byte-level tokenizers of this kind cut texts.
+PRE_TOKEN = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+")
+LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 
+# How they write bytes: printable ones as themselves, the others as the characters from 256 on.
+PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
+BYTE_SIGNS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
 
-class PartIds(dict):
-    """Ids, as little-endian 32-bit bytes, of the parts of texts between single spaces.
 
-    A byte-level tokenizer of this kind starts a new pre-token at every space that stands alone between two other
-    characters, so the ids of such a part do not depend on what is around it.
+class Encoder:
+    """Ids of texts, as little-endian 32-bit bytes, with words once met kept.
+
+    A byte-level tokenizer begins a new pre-token at every space that stands alone between two other characters, and maps
+    each pre-token on its own. So a text is cut at these spaces, and the ids of what stands between them are kept, as
+    are those of pre-tokens. Texts that hold a special token, and tokenizers of other kinds, go the plain way.
     """
 
     def __init__(self, tokenizer):
         self.tokenizer = tokenizer
+        self.special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+        layout = json.loads(tokenizer.to_str())
+        kind = layout["pre_tokenizer"] or {}
+        self.plain = bool(layout["normalizer"]) or kind.get("type") != "ByteLevel" or not kind.get("use_regex", True)
+        self.plain = self.plain or kind.get("add_prefix_space", True)
+        self.tokens = Kept(self.token)
+        self.spaced = Kept(self.word)
+
+    def token(self, text: str) -> bytes:
+        """A pre-token."""
+        mapped = text.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_SIGNS)
+        return pack_ids([t.id for t in self.tokenizer.model.tokenize(mapped)])
+
+    def apart(self, text: str) -> bytes:
+        return b"".join([self.tokens[token] for token in PRE_TOKEN.findall(text)])
+
+    def word(self, text: str) -> bytes | None:
+        """What follows a space; None where that space does not stand alone."""
+        if text.isalpha():  # letters only: one pre-token with the space
+            return self.tokens[" " + text]
+        if text[:-1].isalpha() and text[-1] in ".,":
+            return self.tokens[" " + text[:-1]] + self.tokens[text[-1]]
+        return self.apart(" " + text) if text and text == text.strip() else None
+
+    def encode(self, text: str) -> bytes:
+        if self.plain or any(s in text for s in self.special):
+            return pack_ids(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        words = text.split(" ")
+        after = list(map(self.spaced.__getitem__, words[1:]))
+        if None in after or words[0][-1:].isspace():
+            words = LONE_SPACE.split(text)
+            after = [self.apart(" " + word) for word in words[1:]]
+        return self.apart(words[0]) + b"".join(after)
+
 
-    def whole(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u4").tobytes() for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
+class Kept(dict):
+    """What a function gave for the keys met lately."""
 
-    def learn(self, texts: list[list[str]]) -> None:
-        new = {part for parts in texts for part in parts if part not in self}
-        if len(self) + len(new) > CACHED_PARTS:
+    def __init__(self, function):
+        self.function = function
+
+    def __missing__(self, key):
+        if len(self) >= CACHED:
             self.clear()
-            new = {part for parts in texts for part in parts}
-        new = list(new)
-        self.update(zip(new, self.whole(new)))
+        self[key] = value = self.function(key)
+        return value
 
 
-def encode(texts: list[str], cache: PartIds) -> list[bytes]:
-    """Ids of each whole text. Texts with white space other than single spaces between parts are cut only where a
-    space stands alone; the piece between two such spaces is one part."""
-    split = []
-    for text in texts:
-        words = text.split(" ")
-        parts, held = [], words[0]
-        for word in words[1:]:
-            # a boundary needs a character that is not white space on either side of the space
-            if held and word and not held[-1].isspace() and not word[0].isspace():
-                parts.append(held)
-                held = " " + word
-            else:
-                held = held + " " + word
-        parts.append(held)
-        split.append(parts)
-    cache.learn(split)
-    return [b"".join(map(cache.__getitem__, parts)) for parts in split]
+def pack_ids(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
 
 
 def piece_maker(tokenizer_path: str, capacity: int, with_ids: bool):
@@ -65,15 +96,14 @@ def piece_maker(tokenizer_path: str, capacity: int, with_ids: bool):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        cache = PartIds(Tokenizer.from_file(tokenizer_path))
-        end = np.array([END_ID], "<u4").tobytes()
+        encoder = Encoder(Tokenizer.from_file(tokenizer_path))
+        end = pack_ids([END_ID])
         for batch in batches:
             for part in (batch.slice(i, 500) for i in range(0, batch.num_rows, 500)):
                 rows, ids = part.column("row").to_pylist(), part.column("id")
                 taken, out = [], {k: [] for k in ("row", "piece", "start", "length", "crc", "ids")}
-                texts = [t or "" for t in part.column("text").to_pylist()]
-                for i, found in enumerate(encode(texts, cache)):
-                    data = found + end if found else end
+                for i, text in enumerate(part.column("text").to_pylist()):
+                    data = encoder.encode(text or "") + end
                     length = len(data) // 4
                     # the first piece takes what whole pieces leave over
                     cuts = [0, *range(length % capacity or capacity, length, capacity), length]

@@ -14,7 +14,7 @@ from pyspark.sql.window import Window
 
 from datashelf.llm.common import stored
 
-FACTOR = 0.75
+FACTOR = 0.9
 CELL_ROWS, MAX_CELLS = 2048, 256
 GROUP_ROWS = 4096
 LEAF_ROWS = 256
@@ -226,9 +226,8 @@ def nearest(
     # the distance of the last one found; without enough, anything may be nearer
     limit = top(first).filter(F.col("n") == k + 1).select(F.col("query").alias("node"), F.col("score").alias("last"))
     reach = F.sqrt(F.greatest(square + F.lit(extra) - 2 * F.col("last"), F.lit(0.0)))
-    again = asked.drop("radius").join(limit, "node", "left").select(
-        "node", "v", "lift", F.coalesce(reach, F.lit(float("inf"))).alias("radius")
-    )
+    radius = F.when(F.col("last").isNull(), F.lit(float("inf"))).otherwise(reach)
+    again = asked.drop("radius").join(limit, "node", "left").select("node", "v", "lift", radius.alias("radius"))
     again = stored(again.mapInArrow(visitor(centres, radii, extra, factor, False), line), "again")
     second = stored(searched(again), "second")
     found = top(first.union(second)).select(F.col("query").alias("of"), "node", "score")

@@ -8,7 +8,7 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from datashelf.llm.packing import END_ID, PartIds, encode, fullest, minimum_bin_slack, pack
+from datashelf.llm.packing import END_ID, Encoder, fullest, pack_ids, minimum_bin_slack, pack
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -52,7 +52,10 @@ def test_odd_rows(odd_docs, odd_rows, no_docs):
 def test_parts_give_the_ids_of_whole_texts():
     plain = Tokenizer.from_file(PATH)
     texts = ["", " ", "  two", "a  b", "a \n b", "tab\t x", "é à x y", "don't 12,5 !! ", " lead", "x  y z", "a b\n", "\n\nc d"]
-    assert encode(texts, PartIds(plain)) == [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    texts += [" trail ", "\u00a0x \u2003 y\x1fz", "<|endoftext|> a", "x<|endoftext|>", "日本 語。 ok", "\r\n a\tb c's 'll"]
+    encoder = Encoder(plain)
+    for t in texts:
+        assert encoder.encode(t) == pack_ids(plain.encode(t, add_special_tokens=False).ids), t
 
 
 def test_fullest_is_the_subset_sum_optimum():

@@ -5,7 +5,7 @@ from conftest import as_files
 
 from datashelf.llm.sentence_spans import drop_repeated_spans
 
-PIECE = re.compile(r"(?s).+?(?:[.!?]+(?=\s)|\n|\Z)\s*")
+PIECE = re.compile(r"(?s).+?(?:[.!?]+(?=\s)|\n|\Z)\s*", re.A)
 
 
 def brute(rows, span=3):
