@@ -171,8 +171,8 @@ def near_duplicates(
 
     Documents of equal sets are one from the start. Signatures have bands * rows bins. Buckets are formed by each band and
     by two and three neighbouring bands, which only closer documents share, so that a large bucket comes with smaller
-    ones. In every bucket, the members of smallest and of largest number are the centres of two stars; their distinct
-    edges, at most two for each member and bucket, are confirmed on the full sets. As long as new links turn up, buckets
+    ones. In every bucket, the member of smallest number is the centre of a star; the distinct edges, at most one for each
+    member and bucket, are confirmed on the full sets. As long as new links turn up, buckets
     that still hold several classes go on: in those of up to 16 members all classes are compared, larger ones get two
     new stars with centres by lot. No bucket's pairs are listed beyond that bound.
 
@@ -201,12 +201,9 @@ def near_duplicates(
         "sets",
     )
     members = groups.select(F.explode("bands").alias("bucket"), "node")
-    ends = members.groupBy("bucket").agg(
-        F.min("node").alias("low"), F.max("node").alias("high"), F.count(F.lit(1)).alias("m")
-    )
+    ends = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("m"))
     members = stored(members.join(ends.filter("m > 1"), "bucket"), "members")
-    stars = members.select("node", F.explode(F.array("low", "high")).alias("centre")).filter("node <> centre")
-    tested = stored(stars.select(*_pair("node", "centre")).distinct(), "edges")
+    tested = stored(members.filter("node <> centre").select(*_pair("node", "centre")).distinct(), "edges")
     texts = source.select("row", "text")
     links = stored(_confirmed(tested, texts, percent), "confirmed")
     labels = components(links)
