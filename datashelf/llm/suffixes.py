@@ -258,7 +258,8 @@ def repeated_windows(source: DataFrame, length: int, anchor: int) -> DataFrame:
         "runs",
     )
     # Equal windows have equal anchors, so an anchor that is seen once takes its run out.
-    twice = runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("anchor")
+    # Stored, so that the join shuffles both sides anew and adaptive execution can split a hot anchor.
+    twice = stored(runs.groupBy("anchor").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("anchor"), "twice")
     runs = stored(runs.join(twice, "anchor"), "active")
     # Equal runs repeat in all their windows; one of them stands for them all.
     place = F.struct("row", "begin", "end")
