@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from datashelf.llm.common import keyed
+from datashelf.llm.common import keyed, stored
 
 SPAN = 3
 # A sentence ends at . ! or ? before white space, at a line's end, or with the text; white space after it belongs to it.
@@ -42,7 +42,9 @@ def drop_repeated_spans(docs: DataFrame, *, span: int = SPAN, id_col: str = "doc
     )
     place = F.struct("doc_id", "row", "at")
     repeated = runs.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("m"), F.min(place).alias("first")).filter("m > 1")
-    later = runs.join(repeated.select("k1", "k2", "first"), ["k1", "k2"]).filter(
+    # Stored, so that the join shuffles both sides anew and adaptive execution can split a hot run.
+    repeated = stored(repeated.select("k1", "k2", "first"), "repeated")
+    later = runs.join(repeated, ["k1", "k2"]).filter(
         (F.col("row") != F.col("first.row")) | (F.col("at") != F.col("first.at"))
     )
     gone = later.groupBy("row").agg(F.collect_set("at").alias("starts"))
