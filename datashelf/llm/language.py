@@ -119,7 +119,8 @@ def train(texts: list[tuple[str, str]], *, length: int = 64, passes: int = 40, s
         error = (truth - marginal).reshape(-1, k)
         by_word = np.stack([np.bincount(ids, error[:, j], len(distinct)) for j in range(k)], 1)
         gradient = np.stack([np.bincount(found, by_word[owner, j], len(model.weights)) for j in range(k)], 1)
-        for p, g, a, b in zip(parameters, (gradient - model.weights, seen - pairs), first, second):
+        moved = seen + _into(truth[:, 0], np.exp(model.transitions)) - pairs
+        for p, g, a, b in zip(parameters, (gradient - model.weights, moved), first, second):
             a += 0.1 * (g - a)
             b += 0.01 * (g * g - b)
             p += 0.1 * (a / (1 - 0.9**step)) / (np.sqrt(b / (1 - 0.99**step)) + 1e-6)
@@ -146,7 +147,12 @@ def _expectations(scores: np.ndarray, transitions: np.ndarray) -> tuple[np.ndarr
     right = e[:, 1:] * behind[:, 1:]
     norm = np.einsum("nti,ij,ntj->nt", ahead[:, :-1], t, right)
     pairs = np.einsum("nti,ntj->ij", ahead[:, :-1] / norm[:, :, None], right) * t
-    return marginal, pairs
+    return marginal, pairs + _into(marginal[:, 0], t)
+
+
+def _into(first: np.ndarray, t: np.ndarray) -> np.ndarray:
+    """Expected pairs of what stands before a sequence, which may be any label, and its first label."""
+    return t / t.sum(0) * first.sum(0)
 
 
 def label_sums(scores: np.ndarray, sizes: np.ndarray, transitions: np.ndarray) -> np.ndarray:
