@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from datashelf.llm import oracles
 from datashelf.llm.decontaminate import decontaminate
 from datashelf.llm.language import predict_language
 from datashelf.llm.licenses import license_scan
@@ -81,4 +82,4 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_suffix_array": op9_suffix_array,
     "op10_minhash": op10_minhash,
 }
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = dict(oracles.SQL)

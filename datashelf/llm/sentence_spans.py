@@ -9,7 +9,7 @@ from datashelf.llm.common import keyed, stored
 
 SPAN = 3
 # A sentence ends at . ! or ? before white space, at a line's end, or with the text; white space after it belongs to it.
-SENTENCE = r"(?s).+?(?:[.!?]+(?=\s)|\n|\z)\s*"
+SENTENCE = r"(?s).+?(?:[.!?]+\s+|\n\s*|\z)"
 
 
 def drop_repeated_spans(docs: DataFrame, *, span: int = SPAN, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
