@@ -21,6 +21,7 @@ LEXICON_COUNT, LEXICON_SHARE = 4, 0.9
 CHUNK = 32
 CACHED_WORDS = 200_000
 BATCH_CHARS = 2_000_000
+SLICE_ROWS = 250  # texts whose words are held at a time
 UNKNOWN = "und"
 
 
@@ -211,7 +212,7 @@ def labeller(model: Crf):
     def label(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: dict[str, int] = {}
         scores = np.empty((0, len(model.labels)))
-        for batch in batches:
+        for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
             texts = [LETTERS.findall(t.lower()) if t else [] for t in batch.column("text").to_pylist()]
             names, sure = [UNKNOWN] * len(texts), [0.0] * len(texts)
             at = 0

@@ -58,9 +58,9 @@ class Encoder:
     def word(self, text: str) -> bytes | None:
         """What follows a space; None where that space does not stand alone."""
         if text.isalpha():  # letters only: one pre-token with the space
-            return self.tokens[" " + text]
+            return self.token(" " + text)
         if text[:-1].isalpha() and text[-1] in ".,":
-            return self.tokens[" " + text[:-1]] + self.tokens[text[-1]]
+            return self.spaced[text[:-1]] + self.tokens[text[-1]]
         return self.apart(" " + text) if text and text == text.strip() else None
 
     def encode(self, text: str) -> bytes:
