@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from datashelf.llm.common import keyed, stored
+from datashelf.llm.common import BROADCAST_ROWS, keyed, stored
 
 MARKUP = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>|[!?][^>]*>)", re.S)
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
@@ -227,28 +227,48 @@ def simple_tree_matching(a: tuple, b: tuple) -> dict[int, int]:
     return mapped
 
 
+def content(blocks: list[tuple[Node, str, float]]) -> list[tuple[Node, str, float]]:
+    """Blocks that may be content: those within <article>, else within <main>, else all that are not mostly links."""
+    blocks = [b for b in blocks if not b[0].aside]
+    for role in ("article", "main"):
+        inner = [b for b in blocks if b[0].inside == role]
+        if inner:
+            return inner
+    return [b for b in blocks if b[2] < LINK_SHARE]
+
+
+def hashed(text: str) -> int:
+    return xxhash.xxh3_64_intdigest(text.encode("utf-8", "surrogatepass")) - (1 << 63)
+
+
 def page_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    kind = pa.list_(pa.struct([("text", pa.string()), ("node", pa.int32())]))
+    """Shape and digest of each page, and of its blocks the place and a hash of the text."""
+    kind = pa.list_(pa.struct([("said", pa.int64()), ("node", pa.int32())]))
     for batch in batches:
         shapes, digests, kept = [], [], []
         for source in batch.column("html").to_pylist():
             root, blocks = parse(source or "")
             text, number = shape(root)
             shapes.append(text)
-            digests.append(xxhash.xxh3_64_intdigest((source or "").encode("utf-8", "surrogatepass")) - (1 << 63))
-            blocks = [b for b in blocks if not b[0].aside]
-            for role in ("article", "main"):
-                inner = [b for b in blocks if b[0].inside == role]
-                if inner:
-                    blocks = inner
-                    break
-            else:
-                blocks = [b for b in blocks if b[2] < LINK_SHARE]
-            kept.append([{"text": b[1], "node": number[b[0]]} for b in blocks])
+            digests.append(hashed(source or ""))
+            kept.append([{"said": hashed(b[1]), "node": number[b[0]]} for b in content(blocks)])
+        yield pa.record_batch(
+            [batch.column("row"), batch.column("url"), pa.array(shapes, pa.string()), pa.array(digests, pa.int64()), pa.array(kept, kind)],
+            names=["row", "url", "shape", "digest", "blocks"],
+        )
+
+
+def page_writer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The text of each page's blocks, less those that are template."""
+    for batch in batches:
+        texts = []
+        for source, gone in zip(batch.column("html").to_pylist(), batch.column("gone").to_pylist()):
+            gone = set(gone or ())
+            texts.append(" ".join(b[1] for i, b in enumerate(content(parse(source or "")[1])) if i not in gone))
         yield pa.record_batch(
-            [batch.column("row"), batch.column("page_id"), batch.column("url"), pa.array(shapes, pa.string()),
-             pa.array(digests, pa.int64()), pa.array(kept, kind)],
-            names=["row", "page_id", "url", "shape", "digest", "blocks"],
+            [batch.column("row"), batch.column("page_id"), batch.column("url"), pa.array(texts, pa.string()),
+             pa.array(map(len, texts), pa.int64())],
+            names=["row", "page_id", "url", "text", "n_chars"],
         )
 
 
@@ -280,16 +300,16 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
     A null or empty html gives an empty text, a page without markup its whole text. Pages without a host are not
     compared with others. Null ids and repeated rows are pages of their own. An empty table gives no rows.
 
-    Hosts meet in counts and in joins that adaptive execution can split, so one host may hold most pages.
+    Hosts meet in counts and in joins that adaptive execution can split, so one host may hold most pages. Only hashes of
+    texts are kept between the two passes over the pages, which are parsed again for the result.
     """
-    source = keyed(pages, page_id=id_col, url=url_col, html=html_col)
+    source = keyed(pages, page_id=id_col, url=F.col(f"`{url_col}`").cast("string"), html=html_col)
     kind = source.schema["page_id"].dataType.simpleString()
-    read = source.withColumn("url", F.col("url").cast("string")).mapInArrow(
-        page_reader,
-        f"row long, page_id {kind}, url string, shape string, digest long, blocks array<struct<text:string,node:int>>",
+    read = source.select("row", "url", "html").mapInArrow(
+        page_reader, "row long, url string, shape string, digest long, blocks array<struct<said:long,node:int>>"
     )
-    read = stored(read.withColumn("host", F.lower(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]+)", 1))), "pages")
-    hosted = read.filter("host <> ''")
+    host = F.lower(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]+)", 1))
+    hosted = stored(read.withColumn("host", host).drop("url").filter("host <> ''"), "pages")
     distinct = hosted.groupBy("host", "digest").agg(F.first("shape").alias("shape"))
     shapes = stored(distinct.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("m")), "shapes")
     hosts = shapes.groupBy("host").agg(
@@ -302,12 +322,10 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
         "aligned",
     )
     texts = hosted.select("row", "host", "shape", "digest", F.posexplode("blocks").alias("at", "block"))
-    texts = texts.select("row", "host", "shape", "digest", "at", "block.node", F.xxhash64("block.text").alias("said"))
-    slots = stored(
-        texts.join(aligned, ["host", "shape"])
-        .select("row", "host", "digest", "at", F.get("places", F.col("node")).alias("place"), "said"),
-        "slots",
-    )
+    slots = texts.join(aligned, ["host", "shape"]).select(
+        "row", "host", "digest", "at", F.get("places", F.col("block.node")).alias("place"), "block.said"
+    )
+    slots = stored(slots, "slots")
     pages_of = slots.select("host", "place", "said", "digest").distinct().groupBy("host", "place", "said").count()
     constant = (
         pages_of.filter(F.col("count") >= CONSTANT_PAGES)
@@ -315,8 +333,10 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
         .filter(F.col("count") >= CONSTANT_SHARE * F.col("pages"))
         .select("host", "place", "said")
     )
-    template = slots.join(constant, ["host", "place", "said"]).groupBy("row").agg(F.collect_set("at").alias("gone"))
-    left = F.filter("blocks", lambda b, i: ~F.coalesce(F.array_contains("gone", i), F.lit(False)))
-    text = F.array_join(F.transform(left, lambda b: b["text"]), " ")
-    out = read.join(template, "row", "left").select("row", "page_id", "url", text.alias("text"))
-    return out.withColumn("n_chars", F.length("text").cast("long"))
+    dropped = stored(slots.join(constant, ["host", "place", "said"]).select("row", "at"), "template")
+    template = dropped.groupBy("row").agg(F.collect_set("at").alias("gone"))
+    if dropped.count() <= BROADCAST_ROWS:
+        template = F.broadcast(template)
+    return source.join(template, "row", "left").mapInArrow(
+        page_writer, f"row long, page_id {kind}, url string, text string, n_chars long"
+    )
