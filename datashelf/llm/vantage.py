@@ -15,8 +15,8 @@ from pyspark.sql.window import Window
 from datashelf.llm.common import stored
 
 FACTOR = 0.9
-CELL_ROWS, MAX_CELLS = 2048, 256
-GROUP_ROWS = 4096
+CELL_ROWS, MAX_CELLS = 8192, 256
+GROUP_ROWS = 8192
 LEAF_ROWS = 256
 SPARE = 11  # kept beyond what is asked for, so that rounding at the limit decides nothing
 
