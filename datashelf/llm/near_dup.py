@@ -16,6 +16,8 @@ WORDS = 5
 BANDS = 32
 ROWS = 4
 SMALL_BUCKET = 16
+FIRST_CENTRES, MORE_CENTRES = 4, 4  # of a large bucket in the first round after the stars, and the growth from round to round
+LOTS = 1 << 30
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 CACHED_WORDS = 500_000
 
@@ -155,6 +157,26 @@ def _between_classes(members: DataFrame, labels: DataFrame, turn: int) -> DataFr
     return within.union(large.filter(F.col("label") != F.col("c.of")).select(*_pair("node", "c.x"))).distinct()
 
 
+def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members of buckets that hold several classes, with their class, the bucket's largest, and how many are of others."""
+    state = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    sizes = state.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
+    rest = sizes.groupBy("bucket").agg(
+        F.max_by("label", F.struct("size", "label")).alias("largest"), (F.sum("size") - F.max("size")).alias("rest")
+    )
+    return stored(state.join(rest.filter("rest > 0"), "bucket"), "open")
+
+
+def _from_centres(open_: DataFrame, centres: int, percent: int) -> DataFrame:
+    """Edges from about ``centres`` members outside the largest class of each bucket (all, if there are no more) to all
+    members of other classes whose sets are not too small or large to be near."""
+    lot = F.pmod(F.xxhash64("bucket", "node"), F.lit(LOTS))
+    chosen = open_.filter((F.col("label") != F.col("largest")) & (lot * F.col("rest") < centres * LOTS))
+    chosen = chosen.select("bucket", F.col("node").alias("x"), F.col("label").alias("of"), F.col("n").alias("size"))
+    near = 100 * F.least("n", "size") >= percent * F.greatest("n", "size")
+    return open_.join(chosen, "bucket").filter((F.col("label") != F.col("of")) & near).select(*_pair("node", "x")).distinct()
+
+
 def near_duplicates(
     docs: DataFrame,
     *,
@@ -174,10 +196,11 @@ def near_duplicates(
     ones. In every bucket, the member of smallest number is the centre of a star; the distinct edges, at most one for each
     member and bucket, are confirmed on the full sets. As long as new links turn up, buckets
     that still hold several classes go on: in those of up to 16 members all classes are compared, larger ones get two
-    new stars with centres by lot. No bucket's pairs are listed beyond that bound.
+    new stars with centres by lot. Larger ones that hold several classes even then go on in rounds of more and more
+    centres outside their largest class, until each of those has been one: every pair of different classes has such an
+    end, so all are decided that the sizes of the sets leave open.
 
-    Two documents at the limit share no bucket about once in 200,000 cases; in a large group they may also be missed if
-    neither has another neighbour that was compared. The tests measure this against all pairs.
+    Two documents at the limit share no bucket about once in 200,000 cases. The tests measure this against all pairs.
 
     A null or empty text, or one without words, has an empty set and is linked with nothing. A null id is a class of
     its own unless linked to a row with an id; a row whose class has no id at all has a null component_id and kept
@@ -196,11 +219,12 @@ def near_duplicates(
     # Equal sets meet in an aggregate with partial results, whatever their number.
     groups = stored(
         full.groupBy("set1", "set2").agg(
-            F.min("row").alias("node"), F.min("id").alias("least"), F.first("bands").alias("bands")
+            F.min("row").alias("node"), F.min("id").alias("least"), F.first("n").alias("n"),
+            F.first("bands").alias("bands"),
         ),
         "sets",
     )
-    members = groups.select(F.explode("bands").alias("bucket"), "node")
+    members = groups.select(F.explode("bands").alias("bucket"), "node", "n")
     ends = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("m"))
     members = stored(members.join(ends.filter("m > 1"), "bucket"), "members")
     tested = stored(members.filter("node <> centre").select(*_pair("node", "centre")).distinct(), "edges")
@@ -216,6 +240,18 @@ def near_duplicates(
             break
         tested, links, turn = tested.union(edges), links.union(new), turn + 1
         labels = components(links)
+    members, centres = members.filter(F.col("m") > SMALL_BUCKET), FIRST_CENTRES
+    while True:
+        open_ = _open(members.select("bucket", "node", "n"), labels)
+        if not open_.limit(1).count():
+            break
+        edges = stored(_from_centres(open_, centres, percent).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "edges")
+        new = stored(_confirmed(edges, texts, percent), "confirmed")
+        tested = tested.union(edges)
+        if new.limit(1).count():
+            links = links.union(new)
+            labels = components(links)
+        members, centres = open_.filter(F.col("rest") > centres), centres * MORE_CENTRES
 
     named = groups.join(labels, "node", "left").select(
         "set1", "set2", "least", F.coalesce("label", "node").alias("label")

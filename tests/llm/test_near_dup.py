@@ -66,6 +66,18 @@ def test_chains_and_groups_of_near_copies(spark):
     check(as_files(spark.createDataFrame(rows, "doc_id long, text string")), rows)
 
 
+def test_link_within_large_buckets_of_other_classes(spark):
+    """Two documents near only each other share their buckets with ten larger classes."""
+    common, rows = prose(20, 200), []
+    for k in range(10):
+        for i in range(30):
+            rows.append((len(rows), f"{common} {prose(30 + k, 50)} a{k} b{i}"))
+    rows += [(900 + i, f"{common} {prose(1024 + i, 28)}") for i in range(2)]
+    want = {d: c for d, _, c in classes(rows)}
+    assert want[901] == 900 and len(set(want.values())) == 11
+    check(as_files(spark.createDataFrame(rows, "doc_id long, text string")), rows)
+
+
 def test_shingles_are_exact():
     with np.errstate(over="ignore"):
         assert len(shingle_set("A b c d e f A B C D E F", WordHashes())) == 6
