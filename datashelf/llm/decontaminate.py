@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
+from itertools import combinations
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from datashelf.llm.common import keyed, stored
 
-# Fixed seeds over twelve words: 1 is looked at, 0 may differ. Of any three words changed in a run of twelve, two or
-# less fall on the looked-at places of one of them, and runs overlap, so a few substitutions leave some seed whole.
-MASKS = ("111010110011", "110011010111", "101101101101")
+# Fixed seeds over twelve words: 1 is looked at, 0 may differ. Every overlap that is verified below holds some seed whole,
+# whichever words are changed: 3 of 16 or 15, 2 of 14, 13 or 12.
+MASKS = (
+    "101001010011", "110001100101", "101110001100", "000110110011", "010000111110", "011111001000", "010101010110",
+)
 SHORTEST_ITEM = 5
 VERIFIED_WORDS = 16
 MIN_PERCENT = 80
@@ -41,6 +45,13 @@ def seeds(rows: DataFrame, masks: list[str]) -> DataFrame:
     return long_.withColumn("key", seed_key(F.col("hashes"), F.col("at"), masks, F.col("mask"))).drop("k")
 
 
+def short_masks(words: int) -> list[str]:
+    """Masks of a whole item of few words: whichever words a verified copy changes, one of them looks at none of these."""
+    changed = words * (100 - MIN_PERCENT) // 100
+    blocks = changed + 2
+    return ["".join("0" if i * blocks // words in gone else "1" for i in range(words)) for gone in combinations(range(blocks), changed)]
+
+
 def leaks(docs: DataFrame, tests: DataFrame, *, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", item_text_col: str = "text", masks: tuple[str, ...] = MASKS) -> DataFrame:
     """Overlaps of documents with test items: (row, doc_id, item_id, first, last, matched), words from 0, end included.
@@ -48,8 +59,9 @@ def leaks(docs: DataFrame, tests: DataFrame, *, id_col: str = "doc_id", text_col
     Masks are laid over every run of words of documents and items; equal hashes are hits. Around a hit, both texts are
     compared word by word at the same distance, up to ``AROUND`` words either way. It stands if some
     ``VERIFIED_WORDS`` words in a row (all, where the texts end sooner) agree in at least ``MIN_PERCENT`` percent.
-    An item with fewer words than a mask, but at least five, must occur whole; shorter items are ignored. Items of
-    equal words count as one, named by the smallest id.
+    Overlaps with such items have at least as many words as a mask, and none that would stand is without a hit. An item
+    with fewer words than a mask, but at least five, must occur whole, with as many words in agreement; shorter items
+    are ignored. Items of equal words count as one, named by the smallest id.
 
     The seeds of the items are broadcast in blocks of bounded size; documents stay where they are.
     """
@@ -60,7 +72,7 @@ def leaks(docs: DataFrame, tests: DataFrame, *, id_col: str = "doc_id", text_col
     short = [r.n for r in items.filter(n < span).select(n.alias("n")).distinct().collect()]  # lengths 5 to 11
     source = keyed(docs, doc_id=id_col, hashes=word_hashes(F.col(f"`{text_col}`")))
     found = None
-    for chosen in [list(masks), *[["1" * k] for k in sorted(short)]]:
+    for chosen in [list(masks), *map(short_masks, sorted(short))]:
         width = len(chosen[0])
         mine = items.filter(n >= span) if width == span else items.filter(n == width)
         table = seeds(mine.withColumnRenamed("hashes", "of_item").withColumn("hashes", F.col("of_item")), chosen)

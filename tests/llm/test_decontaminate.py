@@ -1,5 +1,6 @@
 import random
 import re
+from itertools import combinations
 
 from conftest import as_files, prose
 
@@ -59,6 +60,36 @@ def test_planted_passages(spark):
     assert flags[50] and not flags[51] and not flags[53]
 
 
+def overlaps(a, b):
+    """Whether words of a and of item b agree as verified, at any distance, without looking at seeds."""
+    least = min(len(b), len(D.MASKS[0]))
+    for shift in range(least - len(b), len(a) - least + 1):
+        same = [a[shift + q] == b[q] for q in range(len(b)) if 0 <= shift + q < len(a)]
+        w = min(len(same), D.VERIFIED_WORDS)
+        if max(sum(same[s : s + w]) for s in range(len(same) - w + 1)) * 100 >= w * D.MIN_PERCENT:
+            return True
+    return False
+
+
+def test_every_verified_overlap_is_found(spark):
+    """Items and parts of items with all patterns of changed words."""
+    items, rows, whole = [], [], prose(90, 40).split()
+    items.append((0, " ".join(whole)))
+    cases = [(0, whole[7:23], 3)]  # a part of a longer item
+    for n in (*range(5, 17), 20):
+        items.append((n, prose(400 + n, n)))
+        cases.append((n, items[-1][1].split(), 3 if n >= 15 else 2))
+    for item, own, most in cases:
+        for k in range(1, most + 1):
+            for gone in combinations(range(len(own)), k):
+                leak = " ".join("changed" if i in gone else w for i, w in enumerate(own))
+                rows.append((len(rows), f"some words {leak} and more of them"))
+    want = {(d, i) for d, t in rows for i, u in items if overlaps(words(t), words(u))}
+    docs = as_files(spark.createDataFrame(rows, "doc_id long, text string"))
+    tests = as_files(spark.createDataFrame(items, "item_id long, text string"))
+    assert {(r["doc_id"], r["item_id"]) for r in D.leaks(docs, tests).collect()} == want
+
+
 def test_blocks_of_seeds(spark, monkeypatch):
     rows, items = planted()
     docs = as_files(spark.createDataFrame(rows, "doc_id long, text string"))
