@@ -42,6 +42,10 @@ ASIDE_WORDS = {
     "skip", "copyright", "disclaimer", "tags", "toc", "complementary", "contentinfo",
 }
 MAIN_ROLES = {"article", "main"}
+# Elements whose names say what they are about, not what they are.
+UNNAMED = {"p", "h1", "h2", "h3", "h4", "h5", "h6"}
+# How far an element is aside: not at all; the main element within one that is by its name; by a name; for good.
+CLEAR, DOUBTFUL, NAMED, OUT = range(4)
 SPACE = re.compile(r"\s+")
 CONSTANT_PAGES, CONSTANT_SHARE = 5, 0.6
 LINK_SHARE = 0.5
@@ -50,14 +54,20 @@ LINK_SHARE = 0.5
 class Node:
     __slots__ = ("aside", "blocks", "children", "inside", "label", "tag")
 
-    def __init__(self, tag: str, label: str, aside: bool, inside: str):
+    def __init__(self, tag: str, label: str, aside: int, inside: str):
         self.tag, self.label, self.aside, self.inside = tag, label, aside, inside
         self.children, self.blocks = [], []
 
 
+def says_aside(token: str) -> bool:
+    """Whether a class, id or role has no other words than those of asides: cookie-notice, but not has-sidebar."""
+    parts = [w for w in re.split(r"[^a-z]+", token) if w]
+    return bool(parts) and ASIDE_WORDS.issuperset(parts)
+
+
 def parse(source: str) -> tuple[Node, list[tuple[Node, str, float]]]:
     """The tree of block elements, and the text blocks in page order: (element, text, share of it within links)."""
-    root = Node("html", "html", False, "")
+    root = Node("html", "html", CLEAR, "")
     stack, blocks, parts, links = [root], [], [], 0
     linked = 0
 
@@ -120,9 +130,17 @@ def parse(source: str) -> tuple[Node, list[tuple[Node, str, float]]]:
             names = " ".join(attributes.get(k, "") for k in ("class", "id", "role")).lower()
             words = set(re.split(r"[^a-z]+", names))
             main = tag in MAIN_ROLES or "main" == attributes.get("role") or "articleBody" == attributes.get("itemprop")
-            aside = above.aside or tag in ASIDE_TAGS or (tag == "header" and not above.inside)
-            aside = aside or (not main and not words.isdisjoint(ASIDE_WORDS)) or "comment" in words or "comments" in words
-            aside = aside or "hidden" in attributes or "display:none" in attributes.get("style", "").replace(" ", "")
+            tokens = [] if tag in UNNAMED else names.split()
+            hard = (tag in ASIDE_TAGS and tag != "form") or (tag == "header" and not above.inside)
+            hard = hard or "comment" in tokens or "comments" in tokens
+            hard = hard or "hidden" in attributes or "display:none" in attributes.get("style", "").replace(" ", "")
+            aside = above.aside
+            if hard:
+                aside = OUT
+            elif main:
+                aside = DOUBTFUL if aside == NAMED and not above.inside else aside
+            elif tag == "form" or any(map(says_aside, tokens)):
+                aside = max(aside, NAMED)
             inside = "article" if tag == "article" or above.inside == "article" else "main" if main else above.inside
             label = tag + "".join(f".{w}" for w in sorted(words) if w)
             node = Node(tag, label, aside, inside)
@@ -228,13 +246,15 @@ def simple_tree_matching(a: tuple, b: tuple) -> dict[int, int]:
 
 
 def content(blocks: list[tuple[Node, str, float]]) -> list[tuple[Node, str, float]]:
-    """Blocks that may be content: those within <article>, else within <main>, else all that are not mostly links."""
-    blocks = [b for b in blocks if not b[0].aside]
-    for role in ("article", "main"):
-        inner = [b for b in blocks if b[0].inside == role]
-        if inner:
-            return inner
-    return [b for b in blocks if b[2] < LINK_SHARE]
+    """Blocks that may be content: those within <article>, else within <main>, else within such an element below one that
+    is aside by its name only, else all that are not mostly links."""
+    clear = [b for b in blocks if b[0].aside == CLEAR]
+    for some in (clear, [b for b in blocks if b[0].aside == DOUBTFUL]):
+        for role in ("article", "main"):
+            inner = [b for b in some if b[0].inside == role]
+            if inner:
+                return inner
+    return [b for b in clear if b[2] < LINK_SHARE]
 
 
 def hashed(text: str) -> int:
@@ -294,7 +314,8 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
     shape is its reference; every page's tree is aligned with it by simple tree matching. A text that stands at one
     place of the reference in at least 5 pages and 60 % of the host's is template and goes; varying texts stay.
     Copies of a page count once. Places that name themselves as something else than the article (navigation, footers,
-    forms, adverts, notices, comments ...; see ``ASIDE_TAGS`` and ``ASIDE_WORDS``) are no slots. Of the rest, slots
+    forms, adverts, notices, comments ...; see ``ASIDE_TAGS`` and ``ASIDE_WORDS``) are no slots; a class or id counts if
+    all of its words are such, not on headings and paragraphs, and not against a main element within. Of the rest, slots
     within <article> are content, without one those within <main>, without either all that are not mostly links.
 
     A null or empty html gives an empty text, a page without markup its whole text. Pages without a host are not

@@ -57,6 +57,17 @@ def test_odd_pages(spark):
     assert extract_main_text(as_files(df.limit(0))).count() == 0
 
 
+def test_names_do_not_hide_main_content(spark):
+    article = "<article class='post has-comments'><div class='entry-header'><h1>Head</h1></div><h2 id='related-work'>Work</h2>" \
+        "<section id='social-impact'><p>Impact</p></section><p class='notice'>Note</p><div class='ad'>Buy</div></article>"
+    wraps = ["{}", "<div class='layout has-sidebar'>{}</div>", "<div class='with-navigation'><main>{}</main></div>",
+             "<div class='search'>{}</div>", "<form>{}</form>", "<div id=header><main><div>{}</div></main></div>"]
+    pages = [(i, f"http://h{i}.example/", w.format(article)) for i, w in enumerate(wraps)]
+    pages.append((6, "http://i.example/", article + "<div class='related'><article>Teaser</article></div>"
+                  "<div class='comments'><article>Nice</article></div><aside><article>Side</article></aside>"))
+    assert {r["text"] for r in run(spark, pages).values()} == {"Head Work Impact Note"}
+
+
 def size(tree):
     return 1 + sum(map(size, tree[2]))
 
