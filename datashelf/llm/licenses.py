@@ -75,16 +75,17 @@ ID_FORMS = [
     (r"licen[sc]e[\"']?\s*[:=]\s*[\"']?{id}", 2, 0.9),
     (r"(?:opensource\.org/licenses|spdx\.org/licenses|creativecommons\.org/licenses)/{id}", 2, 0.9),
 ]
-# Texts by which a license is known without its name: label, pattern, keyword, priority, confidence.
+# Texts by which a license is known without its name: label, pattern, keyword (one word, as any white space may stand
+# between words), priority, confidence.
 TEXT_RULES = [
-    ("mit", r"permission is hereby granted, free of charge, to any person obtaining a copy", "hereby granted", 3, 1.0),
-    ("isc", r"permission to use, copy, modify, and(?:/or)? distribute this software", "permission to use", 3, 1.0),
+    ("mit", r"permission is hereby granted, free of charge, to any person obtaining a copy", "granted", 3, 1.0),
+    ("isc", r"permission to use, copy, modify, and(?:/or)? distribute this software", "permission", 3, 1.0),
     ("bsd", r"redistribution and use in source and binary forms", "redistribution", 3, 1.0),
-    ("gpl", r"this program is free software[:;] you can redistribute it", "free software", 3, 0.95),
+    ("gpl", r"this program is free software[:;] you can redistribute it", "redistribute", 3, 0.95),
     ("zlib", r"this software is provided 'as-is', without any express or implied warranty", "as-is", 3, 0.9),
     ("unlicense", r"free and unencumbered software released into the public domain", "unencumbered", 3, 1.0),
-    ("public-domain", r"(?:dedicated to|released into|placed in) the public domain", "public domain", 2, 0.8),
-    ("proprietary", r"all rights reserved", "all rights reserved", 0, 0.4),
+    ("public-domain", r"(?:dedicated to|released into|placed in) the public domain", "domain", 2, 0.8),
+    ("proprietary", r"all rights reserved", "reserved", 0, 0.4),
 ]
 PRIORITIES = range(4)
 
@@ -181,8 +182,8 @@ def detections(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
     keywords = sorted({key for _, _, key, _, _ in every})
     low = F.lower("text")
     # one cheap pass that most texts do not get beyond; every rule's text holds one of these
-    gate = F.col("text").rlike(r"(?i)licen[sc]|released|distributed|available|published|hereby|permission to|redistribution|"
-                               r"free software|as-is|unencumbered|public domain|all rights reserved")
+    gate = F.col("text").rlike(r"(?i)licen[sc]|released|distributed|available|published|hereby|permission\s+to|redistribution|"
+                               r"free\s+software|as-is|unencumbered|public\s+domain|all\s+rights\s+reserved")
     held = F.filter(F.array(*map(F.lit, keywords)), lambda k: F.contains(F.col("low"), k))
     table = source.sparkSession.createDataFrame(every, "label string, rule string, key string, priority int, confidence double")
     # The rules are a fixed table of this module: a few hundred rows.

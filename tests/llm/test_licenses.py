@@ -2,7 +2,7 @@ import re
 
 from conftest import as_files
 
-from datashelf.llm.licenses import BASE, detections, license_scan, rules
+from datashelf.llm.licenses import BASE, LICENSES, TEXT_RULES, detections, license_scan, rules
 
 NAMES = ["doc_id", "n_words", "n_base", "first_word", "last_word", "base_labels"]
 
@@ -73,3 +73,21 @@ def test_rules_match_alone_as_they_do_together(spark):
         assert (r["label"], r["first"], r["last"], r["priority"]) in want[r["doc_id"]]
     assert {d for d in want} == {r["doc_id"] for r in detections(df).collect()}
     assert len(rules()) > 300
+
+
+def test_white_space_of_any_kind_between_words(spark):
+    """Texts of every rule with a line break, two blanks or a tab at each gap."""
+    texts = [(label, re.sub(r"\(\?:([^|)]*)[^)]*\)\??|\[(.)[^]]*\]", r"\1\2", pattern)) for label, pattern, *_ in TEXT_RULES]
+    for label, _, names, _ in LICENSES:
+        texts += [(label, f"licensed under the terms of the {name} license") for name in names]
+    rows, want = [], {}
+    for label, text in texts:
+        for gap in re.finditer(" ", text):
+            for space in ("\n", "  ", "\t", "\r\n "):
+                want[len(rows)] = label
+                rows.append((len(rows), text[: gap.start()] + space + text[gap.end() :]))
+    df = as_files(spark.createDataFrame(rows, "doc_id long, text string"))
+    got = {}
+    for r in detections(df).collect():
+        got.setdefault(r["doc_id"], set()).add(r["label"])
+    assert [rows[d] for d, label in want.items() if label not in got.get(d, ())] == []
