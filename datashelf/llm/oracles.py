@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datashelf.llm.decontaminate import AROUND, MASKS, MIN_PERCENT, VERIFIED_WORDS
+from datashelf.llm.secret_scan import BASE, RULES
 
 SPAN = len(MASKS[0])
 WORDS = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
@@ -61,8 +62,83 @@ NEAR_DUPLICATES = r"""WITH RECURSIVE d AS (SELECT doc_id, list_filter(regexp_spl
   SELECT sets.doc_id, len(s)::BIGINT AS n_shingles, coalesce(component_id, sets.doc_id) AS component_id,
     coalesce(component_id, sets.doc_id) = sets.doc_id AS kept FROM sets LEFT JOIN groups USING (s) LEFT JOIN classes USING (node)"""
 
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+def _matches(number: int, rule) -> str:
+    """Every match of a rule in every text: no index, no candidates."""
+    pattern = rule.pattern.replace("'", "''")
+    return f"""SELECT doc_id, {number} AS rule, '{rule.kind}' AS kind, {rule.least} AS least, regexp_split_to_array(text, '{pattern}') AS parts,
+    regexp_extract_all(text, '{pattern}', 0) AS hits, regexp_extract_all(text, '{pattern}', {rule.group}) AS told FROM d"""
+
+
+SECRETS = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+  tried AS ({" UNION ALL ".join(_matches(i, r) for i, r in enumerate(RULES))}),
+  hits AS (SELECT doc_id, rule, kind, least, unnest(range(1, len(hits) + 1)) AS i, parts, hits, told FROM tried WHERE len(hits) > 0),
+  each AS (SELECT *, length(parts[i]) AS before, length(hits[i]) AS size FROM hits),
+  placed AS (SELECT *, sum(before + size) OVER (PARTITION BY doc_id, rule ORDER BY i) AS last FROM each),
+  spans AS (SELECT doc_id, rule, kind, (last - size)::BIGINT AS first, concat_ws(':', kind, (last - size)::BIGINT, last::BIGINT) AS span
+    FROM placed WHERE length(told[i]) >= least),
+  told AS (SELECT doc_id, {", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE)},
+    string_agg(span, ',' ORDER BY first, rule) FILTER (rule < {len(BASE)}) AS base, string_agg(span, ',' ORDER BY first, rule) AS spans
+    FROM spans GROUP BY doc_id)
+  SELECT doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE)}, sha256(coalesce(base, '')) AS base_sha256,
+    coalesce(spans, '') AS spans FROM d LEFT JOIN told USING (doc_id)"""
+
+PHRASES = rf"""WITH pieces AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+  words AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
+  totals AS (SELECT lang, sum(len(w))::BIGINT AS n FROM words GROUP BY lang),
+  runs AS (SELECT lang, size, unnest(list_transform(range(1, len(w) - size + 2), lambda i: array_to_string(w[i : i + size - 1], ' '))) AS phrase
+    FROM words, (VALUES (1), (2), (3)) AS s(size) WHERE len(w) >= size),
+  counts AS (SELECT lang, size, phrase, string_split(phrase, ' ') AS w, count(*) AS f FROM runs GROUP BY lang, size, phrase),
+  found AS (SELECT * FROM counts WHERE size > 1 AND f >= 10),
+  cuts AS (SELECT *, array_to_string(w[1:k], ' ') AS x, array_to_string(w[k + 1:], ' ') AS y FROM (SELECT *, unnest(range(1, size)) AS k FROM found)),
+  scored AS (SELECT c.lang, c.phrase, c.f AS a, c.k, l.f AS l, r.f AS r, ((1000000::HUGEINT * c.f * c.f) // (l.f::HUGEINT * r.f))::BIGINT AS score
+    FROM cuts c JOIN counts l ON l.lang = c.lang AND l.phrase = c.x JOIN counts r ON r.lang = c.lang AND r.phrase = c.y),
+  weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+  inside AS (SELECT lang, phrase, max(f) AS longer FROM (SELECT lang, f, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase
+    FROM found WHERE size = 3) GROUP BY lang, phrase),
+  standing AS (SELECT w.* FROM weakest w LEFT JOIN inside i USING (lang, phrase) WHERE i.longer IS NULL OR 100 * i.longer < 50 * w.a),
+  best AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank FROM standing)
+  SELECT lang, rank, phrase, a, l, r, n, score FROM best JOIN totals USING (lang) WHERE rank <= 2000"""
+
+
+def _crc_table() -> list[int]:
+    """The remainders of CRC-32 for each byte."""
+    table = []
+    for c in range(256):
+        for _ in range(8):
+            c = c >> 1 ^ (0xEDB88320 if c & 1 else 0)
+        table.append(c)
+    return table
+
+
+HEX = "'0123456789ABCDEF'"
+CRC32 = f"""xor(list_reduce(list_transform(range(0, length(hex(feature)), 2), lambda i:
+    ((instr({HEX}, hex(feature)[i + 1]) - 1) * 16 + instr({HEX}, hex(feature)[i + 2]) - 1)::BIGINT),
+    lambda c, b: xor(c >> 8, {_crc_table()}[xor(c & 255, b) + 1]), 4294967295::BIGINT), 4294967295::BIGINT)"""
+
+RESAMPLE = rf"""WITH texts AS (SELECT doc_id, {LOWER} AS text, false AS wanted FROM documents UNION ALL SELECT item_id, {LOWER}, true FROM benchmark),
+  words AS (SELECT row_number() OVER () AS text_no, doc_id, wanted, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts),
+  runs AS (SELECT text_no, wanted, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) AS feature FROM words),
+  held AS (SELECT text_no, wanted, feature, count(*) AS n FROM runs GROUP BY ALL),
+  codes AS (SELECT feature, {CRC32} % 10000 AS bucket FROM (SELECT DISTINCT feature FROM held)),
+  placed AS (SELECT text_no, wanted, bucket, sum(n)::BIGINT AS n FROM held JOIN codes USING (feature) GROUP BY ALL),
+  counts AS (SELECT range AS bucket, coalesce(sum(n) FILTER (NOT wanted), 0) AS s, coalesce(sum(n) FILTER (wanted), 0) AS t
+    FROM range(10000) LEFT JOIN placed ON placed.bucket = range GROUP BY range),
+  gains AS (SELECT bucket, floor(1000 * ln((t + 1.0)::DOUBLE * (sum(s) OVER () + 10000)::DOUBLE / ((s + 1.0)::DOUBLE * (sum(t) OVER () + 10000)::DOUBLE)))::BIGINT AS gain FROM counts),
+  weights AS (SELECT text_no, sum(n)::BIGINT AS n, floor(sum(n * gain)::DOUBLE / sum(n))::BIGINT AS weight FROM placed JOIN gains USING (bucket) WHERE NOT wanted GROUP BY text_no),
+  scored AS (SELECT doc_id, len(w) AS n_words, coalesce(n, 0) AS n_features, coalesce(weight, 0) AS weight,
+    coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || sha256('7:' || doc_id)[1:8])::BIGINT + 0.5)::DOUBLE / 4294967296::DOUBLE)))::BIGINT AS score
+    FROM words LEFT JOIN weights USING (text_no) WHERE NOT wanted),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY n_words >= 20 ORDER BY score DESC, doc_id) AS place, count(*) OVER (PARTITION BY n_words >= 20) AS n FROM scored)
+  SELECT doc_id, n_features, weight, score, CASE WHEN n_words >= 20 AND place <= 25 * n // 100 THEN place END AS rank FROM ranked"""
+
 SQL = {
     "op3_sentence_spans": SENTENCE_SPANS,
     "op4_spaced_seeds": SPACED_SEEDS,
     "op10_minhash": NEAR_DUPLICATES,
+    "op11_trigram_index": SECRETS,
+    "op12_prefix_free": PHRASES,
+    "op13_overlapped_scan": RESAMPLE,
 }

@@ -12,6 +12,9 @@ from datashelf.llm.language import predict_language
 from datashelf.llm.licenses import license_scan
 from datashelf.llm.near_dup import near_duplicates
 from datashelf.llm.packing import pack
+from datashelf.llm.phrases import collocations
+from datashelf.llm.resample import resample
+from datashelf.llm.secret_scan import secret_report
 from datashelf.llm.sentence_spans import drop_repeated_spans
 from datashelf.llm.sharding import shard_documents
 from datashelf.llm.suffixes import drop_repeated_bytes
@@ -70,6 +73,18 @@ def op10_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents")).drop("row")
 
 
+def op11_trigram_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_report(table(spark, sf_dir, "documents")).drop("row")
+
+
+def op12_prefix_free(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_overlapped_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).drop("row")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_kd_sharding": op1_kd_sharding,
     "op2_vantage_point": op2_vantage_point,
@@ -81,5 +96,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_license_rules": op8_license_rules,
     "op9_suffix_array": op9_suffix_array,
     "op10_minhash": op10_minhash,
+    "op11_trigram_index": op11_trigram_index,
+    "op12_prefix_free": op12_prefix_free,
+    "op13_overlapped_scan": op13_overlapped_scan,
 }
 SQL: dict[str, str] = dict(oracles.SQL)
