@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datashelf.llm.decontaminate import AROUND, MASKS, MIN_PERCENT, VERIFIED_WORDS
 from datashelf.llm.secret_scan import BASE, RULES
+from datashelf.llm.sentence_spans import SPAN_WORDS
 
 SPAN = len(MASKS[0])
 WORDS = r"regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}]+')"
@@ -36,11 +37,17 @@ SPACED_SEEDS = f"""WITH d AS (SELECT doc_id, {WORDS} AS w FROM documents),
   SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0)::BIGINT AS n_items, item_id, first_word::BIGINT AS first_word,
     last_word::BIGINT AS last_word, matched::INT AS matched FROM d LEFT JOIN told USING (doc_id)"""
 
-SENTENCE_SPANS = r"""WITH d AS (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '(?s).+?(?:[.!?]+\s+|\n\s*|\z)') AS pieces FROM documents),
-  runs AS (SELECT doc_id, pos, list_transform(pieces[pos + 1 : pos + 3], lambda x: trim(x, ' ' || chr(9) || chr(10) || chr(13))) AS run
-    FROM (SELECT *, unnest(range(greatest(len(pieces) - 2, 1))) AS pos FROM d WHERE len(pieces) > 0)),
-  later AS (SELECT doc_id, pos FROM (SELECT *, row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) AS n FROM runs) WHERE n > 1),
-  gone AS (SELECT doc_id, list_distinct(flatten(list(range(pos, pos + 3)))) AS gone FROM later GROUP BY doc_id),
+PIECE = r"(?s).+?(?:[.!?,;:]+[ \t\n\r]+|[。！？，；：、।۔؟؛]+[ \t\n\r]*|\n[ \t\n\r]*|\z)"
+SENTENCE_SPANS = rf"""WITH d AS (SELECT doc_id, text, regexp_extract_all(coalesce(text, ''), '{PIECE}') AS pieces FROM documents),
+  units AS (SELECT doc_id, pos, trim(pieces[pos + 1], ' ' || chr(9) || chr(10) || chr(13)) AS unit
+    FROM (SELECT *, unnest(range(len(pieces))) AS pos FROM d)),
+  sized AS (SELECT *, greatest(len(regexp_extract_all(unit, '[^ \t\n\r\f\v]+')), 1) AS words FROM units),
+  placed AS (SELECT *, sum(words) OVER (PARTITION BY doc_id ORDER BY pos) - words AS start FROM sized),
+  runs AS (SELECT doc_id, pos, list(unit) OVER run AS run, count(*) OVER run AS n, sum(words) OVER run AS words FROM placed
+    WINDOW run AS (PARTITION BY doc_id ORDER BY start RANGE BETWEEN CURRENT ROW AND {SPAN_WORDS - 1} FOLLOWING)),
+  later AS (SELECT doc_id, pos, n FROM runs WHERE words >= {SPAN_WORDS} OR pos = 0
+    QUALIFY row_number() OVER (PARTITION BY run ORDER BY doc_id, pos) > 1),
+  gone AS (SELECT doc_id, list_distinct(flatten(list(range(pos, pos + n)))) AS gone FROM later GROUP BY doc_id),
   kept AS (SELECT d.*, gone IS NULL AS whole, list_filter(range(len(pieces)), lambda i: gone IS NULL OR NOT list_contains(gone, i)) AS left_over
     FROM d LEFT JOIN gone USING (doc_id)),
   cut AS (SELECT doc_id, text AS before, len(pieces) AS n, len(pieces) - len(left_over) AS removed,
