@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from datashelf.llm.common import components, few, keyed, stored
@@ -16,10 +17,9 @@ WORDS = 5
 BANDS = 32
 ROWS = 4
 SMALL_BUCKET = 16
-FIRST_CENTRES, MORE_CENTRES = 4, 4  # of a large bucket in the first round after the stars, and the growth from round to round
-LOTS = 1 << 30
+PAIRS_AT_A_TIME = 64  # of two whole texts each, in a Python worker's memory
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
-CACHED_WORDS = 500_000
+CACHED_WORDS = 50_000
 
 
 class WordHashes(dict):
@@ -129,52 +129,82 @@ def _pair(x: str, y: str) -> list:
     return [F.least(x, y).alias("a"), F.greatest(x, y).alias("b")]
 
 
+@contextmanager
+def _batches_of(spark: SparkSession, rows: int):
+    """Arrow batches of at most so many rows, for what is run within."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def _confirmed(edges: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The (stored) edges whose full sets are near. Only texts that some edge asks for go into its joins."""
     asked = stored(edges.select(F.explode(F.array("a", "b")).alias("row")).distinct(), "asked")
     texts = stored(texts.join(few(asked), "row", "left_semi"), "texts")
     own = texts.select(F.col("row").alias("a"), F.col("text").alias("text_a"))
     other = texts.select(F.col("row").alias("b"), F.col("text").alias("text_b"))
-    return other.join(few(edges), "b").join(own, "a").mapInArrow(verifier(percent), "a long, b long")
-
-
-def _between_classes(members: DataFrame, labels: DataFrame, turn: int) -> DataFrame:
-    """Edges between different classes of a bucket: all of them in small buckets, two new stars in large ones."""
-    state = members.select("bucket", "node", "m").join(labels, "node", "left")
-    state = state.withColumn("label", F.coalesce("label", "node"))
-    lot = F.xxhash64(F.lit(turn), "bucket", "node")
-    ends = state.groupBy("bucket").agg(
-        F.min("label").alias("from"), F.max("label").alias("to"),
-        F.min_by("node", lot).alias("c1"), F.min_by("label", lot).alias("l1"),
-        F.max_by("node", lot).alias("c2"), F.max_by("label", lot).alias("l2"),
-    )
-    open_ = stored(state.join(ends.filter(F.col("from") < F.col("to")), "bucket"), "open")
-    small = open_.filter(F.col("m") <= SMALL_BUCKET).select("bucket", "node", "label")
-    other = small.select("bucket", F.col("node").alias("x"), F.col("label").alias("of"))
-    within = small.join(other, "bucket").filter(F.col("label") < F.col("of")).select(*_pair("node", "x"))
-    centres = F.explode(F.array(F.struct(F.col("c1").alias("x"), F.col("l1").alias("of")), F.struct(F.col("c2").alias("x"), F.col("l2").alias("of"))))
-    large = open_.filter(F.col("m") > SMALL_BUCKET).select("node", "label", centres.alias("c"))
-    return within.union(large.filter(F.col("label") != F.col("c.of")).select(*_pair("node", "c.x"))).distinct()
+    pairs = other.join(few(edges), "b").join(own, "a")
+    with _batches_of(edges.sparkSession, PAIRS_AT_A_TIME):
+        return stored(pairs.mapInArrow(verifier(percent), "a long, b long"), "confirmed")
+
+
+def _merged(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes after joining those that the links connect: (node, label), label the smallest node."""
+    of_a = labels.select(F.col("node").alias("a"), F.col("label").alias("la"))
+    of_b = labels.select(F.col("node").alias("b"), F.col("label").alias("lb"))
+    between = links.join(of_a, "a").join(of_b, "b").filter("la <> lb").select(F.col("la").alias("a"), F.col("lb").alias("b"))
+    joined = components(between).select(F.col("node").alias("label"), F.col("label").alias("new"))
+    return stored(labels.join(joined, "label", "left").select("node", F.coalesce("new", "label").alias("label")), "labels")
 
 
 def _open(members: DataFrame, labels: DataFrame) -> DataFrame:
-    """Members of buckets that hold several classes, with their class, the bucket's largest, and how many are of others."""
-    state = members.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    sizes = state.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("size"))
-    rest = sizes.groupBy("bucket").agg(
-        F.max_by("label", F.struct("size", "label")).alias("largest"), (F.sum("size") - F.max("size")).alias("rest")
-    )
-    return stored(state.join(rest.filter("rest > 0"), "bucket"), "open")
+    """Members of buckets that hold several classes, with their class."""
+    state = members.join(labels, "node")
+    ends = state.groupBy("bucket").agg(F.min("label").alias("from"), F.max("label").alias("to"))
+    return stored(state.join(ends.filter(F.col("from") < F.col("to")).select("bucket"), "bucket"), "open")
+
 
+def shingler(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each shingle of each set."""
+    cache = WordHashes()
+    with np.errstate(over="ignore"):
+        for batch in batches:
+            for node, text in zip(batch.column("node").to_pylist(), batch.column("text").to_pylist()):
+                found = shingle_set(text, cache).view(np.int64)
+                yield pa.record_batch([pa.array(np.full(len(found), node)), pa.array(found)], names=["node", "x"])
+
+
+def _prefix_pairs(nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
+    """Candidates among (stored) nodes (node, label, n), without loss: pairs of different classes that share a shingle among
+    the rarest of both, at places that leave enough shingles after it.
 
-def _from_centres(open_: DataFrame, centres: int, percent: int) -> DataFrame:
-    """Edges from about ``centres`` members outside the largest class of each bucket (all, if there are no more) to all
-    members of other classes whose sets are not too small or large to be near."""
-    lot = F.pmod(F.xxhash64("bucket", "node"), F.lit(LOTS))
-    chosen = open_.filter((F.col("label") != F.col("largest")) & (lot * F.col("rest") < centres * LOTS))
-    chosen = chosen.select("bucket", F.col("node").alias("x"), F.col("label").alias("of"), F.col("n").alias("size"))
-    near = 100 * F.least("n", "size") >= percent * F.greatest("n", "size")
-    return open_.join(chosen, "bucket").filter((F.col("label") != F.col("of")) & near).select(*_pair("node", "x")).distinct()
+    Shingles are ordered by how many of the nodes hold them. Two sets that are near share one of the first
+    n - percent * n / 100 + 1 of either; the first one that they share leaves at most the rest of the smaller one to share.
+    """
+    own = texts.withColumnRenamed("row", "node").join(few(nodes.select("node")), "node", "left_semi")
+    shingles = stored(own.mapInArrow(shingler, "node long, x long"), "shingles")
+    held = shingles.groupBy("x").agg(F.count(F.lit(1)).alias("f"))
+    in_order = (
+        shingles.join(held, "x").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "x"))).alias("all")).join(nodes, "node")
+    )
+    length = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
+    first = in_order.select("node", "label", "n", F.posexplode(F.slice("all", F.lit(1), length)).alias("at", "s"))
+    first = stored(first.filter("s.f > 1").select(F.col("s.x").alias("x"), "node", "label", "n", "at"), "prefixes")
+    sizes = first.groupBy("x", "label").agg(F.count(F.lit(1)).alias("size"))
+    classes = sizes.groupBy("x").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.count(F.lit(1)).alias("k"))
+    first = stored(first.join(classes.filter("k > 1").select("x", "largest"), "x"), "mixed")
+    # A pair of different classes has an end outside the largest class of those that hold its shingle.
+    outside = first.filter(F.col("label") != F.col("largest")).select(
+        "x", F.col("node").alias("other"), F.col("label").alias("of"), F.col("n").alias("size"), F.col("at").alias("place")
+    )
+    left = F.least(F.col("n") - F.col("at"), F.col("size") - F.col("place"))
+    near = (100 + percent) * left >= percent * (F.col("n") + F.col("size"))
+    pairs = first.join(outside, "x").filter((F.col("label") != F.col("of")) & near)
+    return pairs.select(*_pair("node", "other")).distinct()
 
 
 def near_duplicates(
@@ -193,12 +223,10 @@ def near_duplicates(
 
     Documents of equal sets are one from the start. Signatures have bands * rows bins. Buckets are formed by each band and
     by two and three neighbouring bands, which only closer documents share, so that a large bucket comes with smaller
-    ones. In every bucket, the member of smallest number is the centre of a star; the distinct edges, at most one for each
-    member and bucket, are confirmed on the full sets. As long as new links turn up, buckets
-    that still hold several classes go on: in those of up to 16 members all classes are compared, larger ones get two
-    new stars with centres by lot. Larger ones that hold several classes even then go on in rounds of more and more
-    centres outside their largest class, until each of those has been one: every pair of different classes has such an
-    end, so all are decided that the sizes of the sets leave open.
+    ones. In every bucket, the member of smallest number is the centre of a star. Edges are confirmed on the full sets: at
+    first a single one of each member, to the centre that it shares most buckets with; then, in buckets that still hold
+    several classes, one between each of them and the centre's. What is open after that is decided whole: all pairs of classes
+    in buckets of up to 16 members, and in larger ones all that an exact prefix filter on their sets leaves.
 
     Two documents at the limit share no bucket about once in 200,000 cases. The tests measure this against all pairs.
 
@@ -227,31 +255,27 @@ def near_duplicates(
     members = groups.select(F.explode("bands").alias("bucket"), "node", "n")
     ends = members.groupBy("bucket").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("m"))
     members = stored(members.join(ends.filter("m > 1"), "bucket"), "members")
-    tested = stored(members.filter("node <> centre").select(*_pair("node", "centre")).distinct(), "edges")
     texts = source.select("row", "text")
-    links = stored(_confirmed(tested, texts, percent), "confirmed")
-    labels = components(links)
-    turn = 0
-    while True:
-        edges = _between_classes(members, labels, turn).join(tested.select("a", "b"), ["a", "b"], "left_anti")
-        edges = stored(edges, "edges")
-        new = stored(_confirmed(edges, texts, percent), "confirmed")
-        if not new.limit(1).count():
-            break
-        tested, links, turn = tested.union(edges), links.union(new), turn + 1
-        labels = components(links)
-    members, centres = members.filter(F.col("m") > SMALL_BUCKET), FIRST_CENTRES
-    while True:
-        open_ = _open(members.select("bucket", "node", "n"), labels)
-        if not open_.limit(1).count():
-            break
-        edges = stored(_from_centres(open_, centres, percent).join(tested.select("a", "b"), ["a", "b"], "left_anti"), "edges")
-        new = stored(_confirmed(edges, texts, percent), "confirmed")
-        tested = tested.union(edges)
-        if new.limit(1).count():
-            links = links.union(new)
-            labels = components(links)
-        members, centres = open_.filter(F.col("rest") > centres), centres * MORE_CENTRES
+    labels = stored(members.select("node", F.col("node").alias("label")).distinct(), "labels")
+
+    stars = members.filter("node <> centre").groupBy("node", "centre").agg(F.count(F.lit(1)).alias("shared"))
+    closest = stars.groupBy("node").agg(F.max_by("centre", F.struct("shared", -F.col("centre"))).alias("centre"))
+    labels = _merged(labels, _confirmed(stored(closest.select(*_pair("node", "centre")).distinct(), "edges"), texts, percent))
+
+    open_ = _open(members, labels)
+    own = open_.filter("node = centre").select("bucket", F.col("label").alias("of"))
+    foreign = open_.join(own, "bucket").filter(F.col("label") != F.col("of"))
+    edges = foreign.groupBy("bucket", "label").agg(F.min("node").alias("node"), F.first("centre").alias("centre"))
+    labels = _merged(labels, _confirmed(stored(edges.select(*_pair("node", "centre")).distinct(), "edges"), texts, percent))
+
+    open_ = _open(open_.drop("label"), labels)
+    small = open_.filter(F.col("m") <= SMALL_BUCKET).select("bucket", "node", "label", "n")
+    other = small.select("bucket", F.col("node").alias("x"), F.col("label").alias("of"), F.col("n").alias("size"))
+    sized = 100 * F.least("n", "size") >= percent * F.greatest("n", "size")
+    within = small.join(other, "bucket").filter((F.col("label") < F.col("of")) & sized).select(*_pair("node", "x"))
+    large = stored(open_.filter(F.col("m") > SMALL_BUCKET).select("node", "label", "n").distinct(), "large")
+    edges = stored(within.union(_prefix_pairs(large, texts, percent)).distinct(), "edges")
+    labels = _merged(labels, _confirmed(edges, texts, percent))
 
     named = groups.join(labels, "node", "left").select(
         "set1", "set2", "least", F.coalesce("label", "node").alias("label")
