@@ -42,10 +42,6 @@ def is_spatial_type(type_name: Column) -> Column:
     return type_name.rlike(SPATIAL_TYPE_PATTERN)
 
 
-def chunk_count(rows: Column, per_chunk: int) -> Column:
-    return F.ceil(rows / F.lit(per_chunk)).cast("long")
-
-
 def plain_text(col: Column, data_type: T.DataType) -> Column:
     """Value as text in plain notation, the same on every engine. NULL for nested and binary types."""
     if isinstance(data_type, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)):

@@ -114,12 +114,22 @@ def table_changes(
 
     All states are read once and meet in a single aggregation on the whole row, however many there are.
     """
-    base_version, base = states[0]
-    steps = [v for v, _ in states[1:]]
-    frames = [df.withColumn("__state", F.lit(i)) for i, (_, df) in enumerate(states) if df is not None]
-    columns = [c for c in frames[0].columns if c != "__state"]
-    everything = reduce(DataFrame.unionByName, frames)
-    held = [F.count_if(F.col("__state") == i).alias(f"__n{i}") for i in range(len(states))]
+    frames = [(df, [i]) for i, (_, df) in enumerate(states) if df is not None]
+    return changes_of(frames, [v for v, _ in states[1:]], key, copies)
+
+
+def changes_of(
+    frames: Sequence[tuple[DataFrame, Sequence[int]]], steps: Sequence[int], key: Sequence[str] | None = None, copies: str | None = None
+) -> DataFrame:
+    """Changes as in :func:`table_changes`, from rows that several states may hold: ``[(rows, numbers of states), ...]``.
+
+    State 0 is the base, and ``steps`` are the versions of states 1, 2 and so on. Rows that all states hold may be left out:
+    they are no change.
+    """
+    columns = frames[0][0].columns
+    tagged = [df.withColumn("__states", F.array(*[F.lit(i) for i in members])) for df, members in frames]
+    everything = reduce(DataFrame.unionByName, tagged)
+    held = [F.count_if(F.array_contains("__states", i)).alias(f"__n{i}") for i in range(len(steps) + 1)]
     counted = everything.groupBy(*columns).agg(*held)
     deltas = F.array(
         *[

@@ -2,20 +2,20 @@
 
 from __future__ import annotations
 
-import json
 import math
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from datashelf.sources.files import LISTING, child_names, children, files_below, path_exists, remove_path
-from datashelf.sources.shelf import LOG_FOLDER, Shelf, read_folders
+from datashelf.sources.shelf import LOG_FOLDER, Shelf, is_inside, read_folders, schema_of
 
 # Retention and target file size.
 RETENTION = timedelta(days=90)
 TARGET_FILE_BYTES = 512 * 1024 * 1024
+DATASETS_AT_A_TIME = 4
 
 
 def expired_versions(shelf: Shelf, older_than: datetime | None = None, versions: list[int] | None = None, name: str | None = None) -> DataFrame:
@@ -57,10 +57,11 @@ def compact(shelf: Shelf, name: str, target_bytes: int = TARGET_FILE_BYTES, now:
     small = {r["folder"]: r for r in sizes.collect() if r["bytes"] < r["n"] * target_bytes / 4}  # a row for each folder
     n, size = sum(r["n"] for r in small.values()), sum(r["bytes"] for r in small.values())
     wanted = max(1, math.ceil(size / target_bytes))
-    schema = T.StructType.fromJson(json.loads(last["schema_json"]))
     if n <= wanted:
         return None
-    rows = read_folders(shelf.spark, schema, [f for f in folders if f in small], keys)
+    without = list(last["without"] or ())
+    with_ids = last["next_row_id"] is not None
+    rows = read_folders(shelf.spark, schema_of(last, with_ids), [f for f in folders if f in small], keys, without=without)
     if keys:
         # as many files as partition values at least: no gain if there are no more
         if n <= max(wanted, rows.select(*keys).distinct().count()):
@@ -70,6 +71,7 @@ def compact(shelf: Shelf, name: str, target_bytes: int = TARGET_FILE_BYTES, now:
     return shelf.replace_rows(
         rows, name, kind="compact", changes="compacted", rows_per_file=None, now=now,
         beside=[f for f in folders if f not in small],
+        without=[f for f in without if not any(is_inside(f, folder) for folder in small)], beside_stats=last["stats"],
     )
 
 
@@ -116,7 +118,8 @@ def maintain(shelf: Shelf, *, older_than: datetime | None = None, target_bytes:
     merged = 0
     if not dry_run:
         names = [r["name"] for r in shelf.list_datasets().collect()]
-        merged = sum(compact(shelf, n, target_bytes) is not None for n in names)
+        with ThreadPoolExecutor(DATASETS_AT_A_TIME) as pool:
+            merged = sum(v is not None for v in pool.map(lambda n: compact(shelf, n, target_bytes), names))
     done.append(("compact", "datasets", merged))
     limit = older_than or datetime.now(timezone.utc) - RETENTION
     done.append(("clean up", "folders", remove_orphans(shelf, limit, dry_run) if path_exists(shelf.spark, shelf.root) else 0))

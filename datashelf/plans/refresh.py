@@ -61,11 +61,13 @@ def publish_spatial(shelf: Shelf, df: DataFrame, name: str, spatial: Spatial, **
     Every geometry must be of the declared type (``GEOMETRY``: any). The bytes are kept, so Z, M and SRID stay.
     """
     shaped = normalise_wkb(df, spatial.column, spatial.rule, spatial.ids)
-    kind = wkb_type(F.col(spatial.column))
-    if spatial.geometry_type.upper() != "GEOMETRY":
-        others = shaped.filter(kind != spatial.geometry_type.upper()).select(kind.alias("kind")).limit(1).collect()
-        if others:
-            raise WrongGeometryType(f"{name}: declared {spatial.geometry_type}, holds {others[0]['kind']}")
+    declared = spatial.geometry_type.upper()
+    other = F.when(wkb_type(F.col(spatial.column)) != declared, wkb_type(F.col(spatial.column)))
+
+    def verify(found: dict) -> None:
+        if declared != "GEOMETRY" and found["other_type"] is not None:
+            raise WrongGeometryType(f"{name}: declared {spatial.geometry_type}, holds {found['other_type']}")
+
     stored = set_crs(shaped, spatial.column, spatial.crs)
     user = {
         **publish_args.pop("user", {}),
@@ -74,7 +76,8 @@ def publish_spatial(shelf: Shelf, df: DataFrame, name: str, spatial: Spatial, **
         "geometry_type": spatial.geometry_type,
         "crs": spatial.crs,
     }
-    return shelf.publish(stored, name, user=user, **publish_args)
+    # types are looked at while the rows are written; a wrong one keeps the version from becoming visible
+    return shelf.publish(stored, name, user=user, observe={"other_type": F.min(other)}, verify=verify, **publish_args)
 
 
 def read_geo(shelf, name: str, version: int | None = None) -> DataFrame:

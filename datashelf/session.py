@@ -41,6 +41,17 @@ def shared_folder(spark: SparkSession) -> str:
     return folder.rstrip("/")
 
 
+def work_folder(spark: SparkSession) -> str:
+    """The folder of this application below the shared one, in which all intermediates are."""
+    return f"{shared_folder(spark)}/datashelf-{spark.sparkContext.applicationId}"
+
+
 def fresh_folder(spark: SparkSession, label: str = "work") -> str:
-    """A path below the shared folder that no other run uses."""
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    """A path below the work folder that no other run uses."""
+    return f"{work_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def remove_work(spark: SparkSession) -> bool:
+    """Delete the intermediates of this application. Frames that were built on them can not be read any more."""
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(work_folder(spark))
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)

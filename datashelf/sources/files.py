@@ -62,8 +62,8 @@ def read_files(spark: SparkSession, paths: Sequence[str]) -> DataFrame:
 
 
 def file_paths(df: DataFrame) -> DataFrame:
-    """One row per file of a file-based DataFrame, from its listing: no row is read."""
-    return df.sparkSession.createDataFrame([(f,) for f in df.inputFiles()], "data_file string")
+    """One row per file that a file-based DataFrame reads rows from. The tasks tell; no column is read."""
+    return df.select(F.col("_metadata.file_path").alias("data_file")).distinct()
 
 
 LISTING = T.StructType(

@@ -5,8 +5,10 @@ Layout below one root::
     <root>/<name>/v00000001-<UTC time>-<hash>/part-*.parquet
     <root>/shelf-log/name=<name>/v00000001.json   one log entry per version
 
-A version is a list of folders: an append adds one that holds the new rows and refers to those before it. Partition
-columns belong to the dataset and stay with it until a publish names others.
+A version is a list of folders and of files in them that do not count any more: an append adds a folder that holds the new
+rows and refers to those before it; a merge, update or delete adds one that holds the rows of the files it touched. Partition
+columns belong to the dataset and stay with it until a publish names others; its folders are then read in one scan, as
+partitions of the dataset's folder. A dataset with row ids keeps the id of a row for as long as the row lives.
 
 A version is visible once its log entry exists. Entries are only ever added, so a failed publish leaves an
 unreferenced folder (see ``plans.maintain``) and never a half-visible version. Of two writers that publish the same
@@ -17,11 +19,13 @@ from __future__ import annotations
 
 import json
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
+from decimal import Decimal
 from functools import reduce
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -40,7 +44,10 @@ LOG_SCHEMA = (
     .add("published_at", "timestamp")
     .add("path", "string")  # the folder written for this version
     .add("folders", T.ArrayType(T.StringType()))  # all of its folders
+    .add("without", T.ArrayType(T.StringType()))  # files of these folders that are not part of it
     .add("partition_by", T.ArrayType(T.StringType()))
+    .add("next_row_id", "long")  # set if the rows carry ids
+    .add("stats", "string")  # of each column: see Shelf.column_bounds
     .add("target_version", "long")  # of rollback and expire entries
     .add("title", "string")
     .add("description", "string")
@@ -58,6 +65,11 @@ LOG_SCHEMA = (
 
 # Files hold at most this many rows.
 ROWS_PER_FILE = 3_000_000
+ROW_ID = "_row_id"
+FILE = "__file"
+# Names version folders of partitioned datasets, so that all of them are partitions of the dataset's folder.
+VERSION_KEY = "shelf_version"
+BOUNDED = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
 class RowCountMismatch(ValueError):
@@ -139,21 +151,32 @@ class ShelfReader:
 
     # -- reading data --
 
-    def read(self, name: str, version: int | None = None, ts: datetime | None = None) -> DataFrame:
-        """A dataset as a lazy DataFrame: latest, one version, or as of a time."""
-        return self._load(self._entry(name, version, ts))
+    def read(self, name: str, version: int | None = None, ts: datetime | None = None, row_ids: bool = False) -> DataFrame:
+        """A dataset as a lazy DataFrame: latest, one version, or as of a time; with ``row_ids``, also its column of ids."""
+        return self._load(self._entry(name, version, ts), row_ids)
 
-    def _load(self, entry) -> DataFrame:
-        # The log holds the schema, so no footer is opened to plan the read.
-        schema = T.StructType.fromJson(json.loads(entry["schema_json"]))
-        return read_folders(self.spark, schema, entry["folders"], entry["partition_by"])
+    def _load(self, entry, row_ids: bool = False) -> DataFrame:
+        if row_ids and entry["next_row_id"] is None:
+            raise ValueError(f"{entry['name']} has no row ids")
+        return read_folders(self.spark, schema_of(entry, row_ids), entry["folders"], entry["partition_by"], without=entry["without"] or ())
 
     def files(self, name: str, version: int | None = None, ts: datetime | None = None) -> DataFrame:
         """Data files of a version with their sizes."""
-        folders = self._entry(name, version, ts)["folders"]
-        return list_files(self.spark, list(folders), "*.parquet").select(
-            F.col("path").alias("data_file"), F.col("length").alias("data_file_size_bytes")
-        )
+        return self._files(self._entry(name, version, ts))
+
+    def _files(self, entry) -> DataFrame:
+        listed = listed_files(self.spark, entry["folders"], entry["without"] or ())
+        return listed.select(F.col("path").alias("data_file"), F.col("length").alias("data_file_size_bytes"))
+
+    def column_bounds(self, name: str, version: int | None = None) -> DataFrame:
+        """(column_name, n_nulls, low, high) of every column, from the log: gathered as rows were written, merged by appends.
+
+        Bounds are text, and null for types without an order. After a merge, update or delete, the bounds may be wider than
+        the rows, and ``n_nulls`` is null.
+        """
+        stats = json.loads(self._entry(name, version)["stats"] or "{}")
+        rows = [(c, *found) for c, found in stats.items()]  # a row for each column
+        return self.spark.createDataFrame(rows, "column_name string, n_nulls long, low string, high string")
 
     def meta(self, name: str, version: int | None = None) -> DataFrame:
         """Title, description, sizes and the free metadata map of one version."""
@@ -176,7 +199,9 @@ class ShelfReader:
     def table_changes(self, name: str, lo, hi, key: Sequence[str] | None = None, copies: str | None = None) -> DataFrame:
         """Row changes made by versions ``lo`` to ``hi``, both included; bounds are numbers or times.
 
-        Every version is read under the schema of the end version. ``copies`` as in ``operators.changes.table_changes``.
+        Folders and files that all versions share are not read; others are read once, under the schema of the end version.
+        Without a key, the ids of a dataset with row ids are the key, and the feed shows them. ``copies`` as in
+        ``operators.changes.table_changes``.
         """
         known = self.versions(name)
         if isinstance(lo, datetime):
@@ -192,12 +217,49 @@ class ShelfReader:
         rows = sorted(before.unionByName(known.filter("in_range")).collect(), key=lambda r: r["version"])
         if not any(r["in_range"] for r in rows):
             raise NotPublished(f"{name} has no version between {lo} and {hi}")
-        end = T.StructType.fromJson(json.loads(rows[-1]["schema_json"]))
-        states = [(r["version"], align(self._load(r), end)) for r in rows]
-        first_is_new = rows[0]["in_range"]
-        if first_is_new:
-            states.insert(0, (None, None))
-        return change_ops.table_changes(states, key, copies)
+        end, steps = rows[-1], [r["version"] for r in rows if r["in_range"]]
+        first = 1 if rows[0]["in_range"] else 0  # state 0 is the one before the range, if only as nothing at all
+        by_id = key is None and all(r["next_row_id"] is not None for r in rows)
+        frames = [
+            (align(df, schema_of(end, by_id)), members)
+            for df, members in self._differing(rows, first, by_id)
+        ]
+        if not frames:
+            nothing = self.spark.createDataFrame([], schema_of(end, by_id))
+            frames = [(nothing, [0])]
+        return change_ops.changes_of(frames, steps, [ROW_ID] if by_id else key, copies)
+
+    def _differing(self, rows: Sequence, first: int, row_ids: bool) -> list[tuple[DataFrame, list[int]]]:
+        """What the versions do not all share: (rows, the states that hold them), each folder or file of a folder once.
+
+        Nothing is read to find out: the log says which folders and files are part of a version.
+        """
+        every = set(range(first, first + len(rows)))
+        # Folders mean the same rows only under the same schema.
+        shapes = {r["schema_json"] for r in rows}
+        parts: dict[tuple, list] = {}
+        for shape in sorted(shapes):
+            states = {first + i: r for i, r in enumerate(rows) if r["schema_json"] == shape}
+            entry = next(iter(states.values()))
+            gone = {i: set(r["without"] or ()) for i, r in states.items()}
+            loose = sorted(set().union(*gone.values()))
+            for folder in sorted({f for r in states.values() for f in r["folders"]}):
+                holders = {i for i, r in states.items() if folder in r["folders"]}
+                inside = [f for f in loose if is_inside(f, folder)]
+                # the folder but for files that some version leaves out; then each of those files
+                groups = [(frozenset(holders), None)]
+                groups += [(frozenset(i for i in holders if f not in gone[i]), f) for f in inside]
+                for members, file in groups:
+                    if members and (members != every or first):
+                        parts.setdefault((shape, members, file is not None), []).append((folder, file, inside, entry))
+        found = []
+        for (_, members, of_files), held in parts.items():
+            entry, folders = held[0][3], list(dict.fromkeys(h[0] for h in held))
+            left = {} if of_files else {"without": sorted({f for h in held for f in h[2]})}
+            chosen = {"only": [h[1] for h in held]} if of_files else left
+            df = read_folders(self.spark, schema_of(entry, row_ids), folders, entry["partition_by"], **chosen)
+            found.append((df, sorted(members)))
+        return found
 
     def at(self, version: int | None = None, ts: datetime | None = None) -> "ShelfReader":
         """A read-only view of the whole shelf as of one bound."""
@@ -252,45 +314,81 @@ class Shelf(ShelfReader):
         now: datetime | None = None,
         kind: str = "publish",
         expected_rows: int | None = None,
+        without: Sequence[str] = (),
+        beside_rows: int | None = None,
+        beside_stats: str | None = None,
+        row_ids: bool = False,
+        observe: dict[str, Column] | None = None,
+        verify: Callable[[dict], None] | None = None,
     ) -> int:
         """Write a new version and make it visible. Returns the version number.
 
         ``date_parts=("ts", ["year", "month"])`` adds calendar columns and partitions by them. ``beside`` names folders
-        of the same schema and partition columns that are part of the version as they are. With ``expected_rows``, a
-        version of another number of rows is not made visible.
+        of the same schema and partition columns that are part of the version as they are, but for the files ``without``;
+        ``beside_rows`` and ``beside_stats`` say what they hold. With ``expected_rows``, a version of another number of rows
+        is not made visible.
+
+        Rows are counted, required columns checked and bounds gathered while they are written, in the same job. ``observe``
+        adds aggregates to that, which ``verify`` sees before the version becomes visible; it may raise. With ``row_ids``,
+        rows get ids that no other row of the dataset ever had; rows that have one keep it.
         """
         if self.require_message and not (message or "").strip():
             raise ValueError("this shelf requires a message with every publish")
         now = now or datetime.now(timezone.utc)
         version = self._next_version(name)
+        keys = [*partition_by, *(date_parts[1] if date_parts else ())]
         label = f"v{version:08d}-{now:%Y%m%dT%H%M%SZ}-{uuid.uuid4().hex[:5]}"
-        path = qualified(self.spark, f"{self.root}/{name}/{label}")
+        path = qualified(self.spark, f"{self.root}/{name}/{f'{VERSION_KEY}=' if keys else ''}{label}")
 
         df = with_comments(df, comments)
-        keys = list(partition_by)
         if date_parts:
             source, parts = date_parts
             df = df.withColumns({p: calendar_part(F.col(source), p) for p in parts})
-            keys += list(parts)
         if keys:
             # Rows of a partition meet in few files; adaptive execution splits a partition that is too large.
             df = df.hint("rebalance", *keys)
-        writer = df.write.option("compression", compression).options(**(options or {}))
+        if row_ids:
+            first_id = self.log(name).agg(F.max("next_row_id")).first()[0] or 0
+            new_id = F.lit(first_id) + F.monotonically_increasing_id()
+            df = df.withColumn(ROW_ID, F.coalesce(F.col(ROW_ID), new_id) if ROW_ID in df.columns else new_id)
+        elif ROW_ID in df.columns:
+            df = df.drop(ROW_ID)
+
+        # The schema in Parquet column order; partition columns come last, as on reading.
+        names = [f for f in df.columns if f not in keys and f != ROW_ID] + keys
+        schema = T.StructType([T.StructField(n, df.schema[n].dataType, True, df.schema[n].metadata) for n in names])
+        observed, gathered = Observation(), {"rows": F.count(F.lit(1)), **(observe or {})}
+        for i, f in enumerate(schema.fields):
+            column = F.col(f"`{f.name}`")
+            gathered[f"nulls_{i}"] = F.count_if(column.isNull())
+            if isinstance(f.dataType, BOUNDED):
+                gathered[f"low_{i}"], gathered[f"high_{i}"] = F.min(column).cast("string"), F.max(column).cast("string")
+        if row_ids:
+            gathered["last_id"] = F.max(ROW_ID)
+        writer = df.observe(observed, *[c.alias(n) for n, c in gathered.items()]).write
+        writer = writer.option("compression", compression).options(**(options or {}))
         if rows_per_file:
             writer = writer.option("maxRecordsPerFile", rows_per_file)
         if keys:
             writer = writer.partitionBy(*keys)
         writer.parquet(path)
 
-        # The schema in Parquet column order; partition columns come last, as on reading.
-        names = [f for f in df.columns if f not in keys] + keys
-        schema = T.StructType([T.StructField(n, df.schema[n].dataType, True, df.schema[n].metadata) for n in names])
-        staged = self.spark.read.schema(schema).parquet(path)
+        got = observed.get
+        required = {*not_null, *required_columns(schema)}
+        bad = {f.name: got[f"nulls_{i}"] for i, f in enumerate(schema.fields) if f.name in required and got[f"nulls_{i}"]}
+        if bad:
+            raise ValueError(f"NULL in required columns: {bad}")
+        if verify is not None:
+            verify(got)
         folders = [*beside, path]
-        row_count = read_folders(self.spark, schema, folders, keys).count()  # answered from footers
+        if beside and beside_rows is None:
+            beside_rows = read_folders(self.spark, schema, beside, keys, without=without).count()  # from footers
+        row_count = got["rows"] + (beside_rows or 0)
         if expected_rows is not None and row_count != expected_rows:
             raise RowCountMismatch(f"row counts differ: {expected_rows} vs {row_count}")
-        check_not_null(staged, sorted({*not_null, *required_columns(schema)}))
+        stats = {f.name: [got[f"nulls_{i}"], got.get(f"low_{i}"), got.get(f"high_{i}")] for i, f in enumerate(schema.fields)}
+        if beside:
+            stats = _merged_stats(json.loads(beside_stats or "{}"), stats, schema, bool(without))
         if changes is None:
             changes = "created" if version == 1 else "inserted"
         self._append_log(
@@ -302,7 +400,10 @@ class Shelf(ShelfReader):
                     published_at=now,
                     path=path,
                     folders=folders,
+                    without=list(without) or None,
                     partition_by=keys,
+                    next_row_id=max(first_id, (got["last_id"] if got["last_id"] is not None else -1) + 1) if row_ids else None,
+                    stats=json.dumps(stats),
                     title=(title or "").strip() or name,
                     description=description,
                     columns={f.name: f.metadata.get("comment", "") for f in schema.fields},
@@ -323,23 +424,73 @@ class Shelf(ShelfReader):
     def append(self, df: DataFrame, name: str, **kw) -> int:
         """New version holding the old rows and the new ones. Only the new rows are written, unless types widen."""
         last = self._entry(name)
-        old = self._load(last)
-        keys = list(last["partition_by"])
+        old, keys, with_ids = self._load(last), list(last["partition_by"]), last["next_row_id"] is not None
         both = old.unionByName(df)
-        args = {"changes": "inserted", "partition_by": keys, **kw}
+        args = {"changes": "inserted", "partition_by": keys, "row_ids": with_ids, **kw}
         if both.schema.simpleString() != old.schema.simpleString() or list(args["partition_by"]) != keys:
+            if with_ids:
+                both = self._load(last, True).unionByName(df, allowMissingColumns=True)
             return self.publish(both, name, **args)
         # columns carry the old marks, so that a required column stays one
         new = df.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in old.schema.fields])
-        return self.publish(new, name, beside=last["folders"], **args)
+        return self.publish(new, name, **_beside(last), **args)
 
     def replace_rows(self, df: DataFrame, name: str, **kw) -> int:
-        """New version with other rows (result of a merge, delete or update), keeping documentation and partitioning."""
+        """New version with other rows, keeping documentation and partitioning. Rows with a column of ids keep them."""
         last = self._entry(name)
         kept = dict(title=last["title"], description=last["description"], user=last["user"])
         comments = {k: v for k, v in (last["columns"] or {}).items() if v and k in df.columns}
         keys = [k for k in last["partition_by"] if k in df.columns]
-        return self.publish(df, name, **{**kept, "comments": comments, "changes": "altered", "partition_by": keys, **kw})
+        args = {**kept, "comments": comments, "changes": "altered", "partition_by": keys, "row_ids": last["next_row_id"] is not None}
+        return self.publish(df, name, **{**args, **kw})
+
+    # -- changes to some rows: files without such rows stay as they are --
+
+    def merge(
+        self,
+        name: str,
+        source: DataFrame,
+        on: Sequence[str],
+        matched: str | dict[str, str] | None = "update",
+        matched_if: str | None = None,
+        not_matched: str | None = "insert",
+        **kw,
+    ) -> int:
+        """Merge ``source`` into a dataset on equal keys, as ``operators.changes.merge`` does.
+
+        Files that hold a key of the source are written anew, as far as their rows remain; the version refers to all others.
+        """
+        source = source.drop(ROW_ID)
+        keys = source.select(*on).dropna().distinct()
+
+        def holding(rows: DataFrame) -> DataFrame:
+            return rows.join(keys, list(on), "left_semi")
+
+        return self._rewrite(name, holding, lambda rows: change_ops.merge(rows, source, on, matched, matched_if, not_matched), **kw)
+
+    def delete_where(self, name: str, condition: Column, **kw) -> int:
+        """Delete the rows where the condition holds. Files without such rows stay as they are."""
+        return self._rewrite(name, lambda rows: rows.filter(condition), lambda rows: change_ops.delete_where(rows, condition), **kw)
+
+    def update_where(self, name: str, values: dict[str, Column], condition: Column, **kw) -> int:
+        """Set columns where the condition holds. Files without such rows stay as they are."""
+        return self._rewrite(name, lambda rows: rows.filter(condition), lambda rows: change_ops.update_where(rows, values, condition), **kw)
+
+    def _rewrite(self, name: str, holding: Callable, changed: Callable, **kw) -> int:
+        """A version in which the rows of some files, those that ``holding`` finds, are replaced by their ``changed`` rows."""
+        last = self._entry(name)
+        schema, keys = schema_of(last, last["next_row_id"] is not None), list(last["partition_by"])
+        before, without = list(last["folders"]), list(last["without"] or ())
+        rows = read_folders(self.spark, schema, before, keys, without=without, file=FILE)
+        # names of the files that are written anew: the log keeps them
+        touched = [r[FILE] for r in holding(rows).select(FILE).distinct().collect()]
+        chosen = read_folders(self.spark, schema, before, keys, only=touched) if touched else self.spark.createDataFrame([], schema)
+        left = last["row_count"] - (chosen.count() if touched else 0)  # from footers
+        gone = [*without, *touched]
+        kept = _still_used(self.spark, before, gone) if touched else before
+        gone = [f for f in gone if any(is_inside(f, folder) for folder in kept)]
+        beside = dict(beside=kept, without=gone, beside_rows=left, beside_stats=last["stats"]) if kept else {}
+        return self.replace_rows(changed(chosen), name, **{**beside, **kw})
 
     def rollback(self, name: str, version: int, now: datetime | None = None) -> int:
         """Make an older version the current one again. No data is copied."""
@@ -397,11 +548,101 @@ def check_not_null(df: DataFrame, columns: Sequence[str]) -> None:
         raise ValueError(f"NULL in required columns: {bad}")
 
 
-def read_folders(spark: SparkSession, schema: T.StructType, folders: Sequence[str], keys: Sequence[str]) -> DataFrame:
-    """The rows of all folders. Folders with partition columns are read one by one: each has a layout of its own."""
+def schema_of(entry, row_ids: bool = False) -> T.StructType:
+    """The schema that the log holds, so that no footer is opened to plan a read."""
+    schema = T.StructType.fromJson(json.loads(entry["schema_json"]))
+    return T.StructType([*schema.fields, T.StructField(ROW_ID, T.LongType())]) if row_ids else schema
+
+
+def _beside(entry) -> dict:
+    """What a version that refers to all rows of another one says about them."""
+    return dict(
+        beside=list(entry["folders"]), without=list(entry["without"] or ()), beside_rows=entry["row_count"], beside_stats=entry["stats"]
+    )
+
+
+def _merged_stats(old: dict, new: dict, schema: T.StructType, fewer: bool) -> dict:
+    """Statistics of old and new rows together; where old rows may have gone (``fewer``), null counts are not known."""
+    out = {}
+    for f in schema.fields:
+        if f.name not in old:
+            out[f.name] = [None, None, None]
+            continue
+        (n, low, high), (m, lower, higher) = old[f.name], new[f.name]
+        if isinstance(f.dataType, (T.IntegralType, T.FractionalType)):
+            order = Decimal
+        else:
+            order = str  # dates and times of four-digit years
+        lows, highs = [x for x in (low, lower) if x is not None], [x for x in (high, higher) if x is not None]
+        out[f.name] = [
+            None if fewer or n is None else n + m,
+            min(lows, key=order) if lows else None, max(highs, key=lambda x: _nan_last(x, order)) if highs else None,
+        ]
+    return out
+
+
+def _nan_last(text: str, order: Callable):
+    return (text == "NaN", order("0") if text == "NaN" else order(text))
+
+
+def is_inside(file: str, folder: str) -> bool:
+    """Whether a file, as ``_metadata.file_path`` spells it, is below a folder."""
+    return unquote(file).startswith(f"{folder}/")
+
+
+def listed_files(spark: SparkSession, folders: Sequence[str], without: Sequence[str] = ()) -> DataFrame:
+    """Data files of folders, but for those ``without``: path, length."""
+    listed = spark.read.format("binaryFile").options(recursiveFileLookup=True, pathGlobFilter="*.parquet").load(list(folders))
+    if without:
+        listed = listed.filter(~F.col("_metadata.file_path").isin(list(without)))
+    return listed.select("path", "length")
+
+
+def _still_used(spark: SparkSession, folders: Sequence[str], gone: Sequence[str]) -> list[str]:
+    """Folders that still hold a file besides those gone. One row for each folder reaches the driver."""
+    listed = listed_files(spark, folders, gone)
+    inside = F.coalesce(*[F.when(F.col("path").startswith(f"{f}/"), F.lit(f)) for f in folders])
+    used = {r["folder"] for r in listed.select(inside.alias("folder")).distinct().collect()}
+    return [f for f in folders if f in used]
+
+
+def read_folders(
+    spark: SparkSession,
+    schema: T.StructType,
+    folders: Sequence[str],
+    keys: Sequence[str],
+    *,
+    without: Sequence[str] = (),
+    only: Sequence[str] | None = None,
+    file: str | None = None,
+) -> DataFrame:
+    """The rows of all folders, but for the files ``without``, or of the files ``only``; with ``file``, a column of names.
+
+    Files are left out when they are listed, so nothing of them is read. Folders with partition columns are one scan, in
+    which a version's folder is a partition like others; a dataset that took over folders of another name has one for each.
+    """
+    chosen = [F.col(f"`{n}`") for n in schema.names] + ([F.col("_metadata.file_path").alias(file)] if file else [])
+
+    def scan(reader, paths: Sequence[str]) -> DataFrame:
+        df = reader.parquet(*paths)
+        if only is not None:
+            df = df.filter(F.col("_metadata.file_path").isin(list(only)))
+        elif without:
+            df = df.filter(~F.col("_metadata.file_path").isin(list(without)))
+        return df.select(*chosen)
+
     if not keys:
-        return spark.read.schema(schema).parquet(*folders)
-    return reduce(DataFrame.unionByName, [spark.read.schema(schema).parquet(f) for f in folders])
+        return scan(spark.read.schema(schema), folders)
+    bases: dict[str, list[str]] = {}
+    for folder in folders:
+        base, _, last = folder.rpartition("/")
+        bases.setdefault(base if last.startswith(f"{VERSION_KEY}=") else folder, []).append(folder)
+    scans = []
+    for base, paths in bases.items():
+        versioned = T.StructType([*schema.fields, T.StructField(VERSION_KEY, T.StringType())])
+        reader = spark.read.schema(schema) if paths == [base] else spark.read.schema(versioned).option("basePath", base)
+        scans.append(scan(reader, paths))
+    return reduce(DataFrame.unionByName, scans)
 
 
 def export_chunks(df: DataFrame, path: str, rows_per_file: int = ROWS_PER_FILE) -> int:

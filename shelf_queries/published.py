@@ -202,6 +202,100 @@ def update_where(spark, sf):
     return ch.update_where(table(spark, sf, "customer"), {"c_acctbal": F.col("c_acctbal") + 1}, F.col("c_mktsegment") == "BUILDING")
 
 
+def _filed(spark, sf, **kw):
+    """Version 1 of ``customer`` on a shelf, in four files of neighbouring numbers."""
+    shelf = new_shelf(spark)
+    shelf.publish(I.v1(spark, sf).repartitionByRange(4, "c_custkey"), "customer", **kw)
+    return shelf
+
+
+def _files_of(shelf, version):
+    return {r["data_file"] for r in shelf.files("customer", version).collect()}
+
+
+LAST = "(SELECT max(c_custkey) FROM customer)"
+FEW = f"SELECT c_custkey, c_name || ' new' AS c_name, c_nationkey, c_acctbal * 2 AS c_acctbal, c_mktsegment FROM customer WHERE c_custkey * 20 > {LAST} * 19"
+
+
+@query(
+    "shelf_merge",
+    f"SELECT *, true AS others_stay FROM (SELECT * FROM ({I.V1}) WHERE c_custkey NOT IN (SELECT c_custkey FROM ({FEW})) UNION ALL {FEW})",
+)
+def shelf_merge(spark, sf):
+    """A merge into a published dataset rewrites the files that hold its keys, and refers to the others as they are."""
+    shelf, customer = _filed(spark, sf), table(spark, sf, "customer")
+    last = customer.agg(F.max("c_custkey")).first()[0]
+    few = customer.filter(F.col("c_custkey") * 20 > last * 19)
+    shelf.merge("customer", few.withColumns({"c_name": F.concat("c_name", F.lit(" new")), "c_acctbal": F.col("c_acctbal") * 2}), ["c_custkey"])
+    stay = len(_files_of(shelf, 1) & _files_of(shelf, 2)) == 3
+    return shelf.read("customer").withColumn("others_stay", F.lit(stay))
+
+
+@query(
+    "shelf_update_delete",
+    f"""SELECT c_custkey, c_name, c_nationkey, CASE WHEN c_custkey * 20 > {LAST} * 19 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal,
+    c_mktsegment, 3::BIGINT AS n_shared, 3::BIGINT AS n_kept FROM ({I.V1}) WHERE c_custkey * 20 >= {LAST}""",
+)
+def shelf_update_delete(spark, sf):
+    """An update touches the last file, then a delete the first: the others are referred to each time."""
+    shelf = _filed(spark, sf)
+    last = table(spark, sf, "customer").agg(F.max("c_custkey")).first()[0]
+    shelf.update_where("customer", {"c_acctbal": F.col("c_acctbal") + 1}, F.col("c_custkey") * 20 > last * 19)
+    shelf.delete_where("customer", F.col("c_custkey") * 20 < last)
+    one, two, three = (_files_of(shelf, v) for v in (1, 2, 3))
+    return shelf.read("customer").withColumns(
+        {"n_shared": F.lit(len(one & two)).cast("long"), "n_kept": F.lit(len(two & three)).cast("long")}
+    )
+
+
+@query(
+    "lasting_row_ids",
+    f"""SELECT c_custkey, c_custkey % 5 = 0 AS changed, true AS same_id, (SELECT count(*) FROM ({I.V1})) AS distinct_ids FROM ({I.V1})""",
+)
+def lasting_row_ids(spark, sf):
+    """Every row keeps its id through an update and a compaction."""
+    shelf = _filed(spark, sf, row_ids=True)
+    first = shelf.read("customer", row_ids=True).select("c_custkey", F.col("_row_id").alias("first_id"))
+    shelf.update_where("customer", {"c_acctbal": F.col("c_acctbal") + 1}, F.col("c_custkey") % 5 == 0)
+    mt.compact(shelf, "customer")
+    last = shelf.read("customer", row_ids=True)
+    ids = last.agg(F.count_distinct("_row_id").alias("distinct_ids"))
+    same = last.join(first, "c_custkey").select(
+        "c_custkey", (F.col("c_custkey") % 5 == 0).alias("changed"), (F.col("_row_id") == F.col("first_id")).alias("same_id")
+    )
+    return same.withColumn("distinct_ids", F.lit(ids.first()[0]))
+
+
+@query(
+    "row_id_changes",
+    f"""SELECT 2::BIGINT AS snapshot_id, k AS change_type, c_custkey, CASE k WHEN 'update_postimage' THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal
+    FROM ({I.V1}), (VALUES ('update_preimage'), ('update_postimage')) t(k) WHERE c_mktsegment = 'BUILDING'
+    UNION ALL SELECT 3, 'insert', c_custkey, c_acctbal FROM customer WHERE c_custkey % 11 = 0""",
+)
+def row_id_changes(spark, sf):
+    """With row ids, a change feed tells updates without a key."""
+    shelf = _filed(spark, sf, row_ids=True)
+    shelf.update_where("customer", {"c_acctbal": F.col("c_acctbal") + 1}, F.col("c_mktsegment") == "BUILDING")
+    shelf.append(table(spark, sf, "customer").filter("c_custkey % 11 = 0"), "customer")
+    return shelf.table_changes("customer", 2, 3).select("snapshot_id", "change_type", "c_custkey", "c_acctbal")
+
+
+@query(
+    "published_bounds",
+    """SELECT 'o_orderkey' AS column_name, 0::BIGINT AS n_nulls, min(o_orderkey)::VARCHAR AS low, max(o_orderkey)::VARCHAR AS high, count(*) AS row_count FROM orders
+    UNION ALL SELECT 'half_key', count(*) FILTER (o_orderkey % 2 = 1), (min(o_orderkey) FILTER (o_orderkey % 2 = 0))::VARCHAR,
+    (max(o_orderkey) FILTER (o_orderkey % 2 = 0))::VARCHAR, count(*) FROM orders
+    UNION ALL SELECT 'o_orderstatus', 0, NULL, NULL, count(*) FROM orders""",
+)
+def published_bounds(spark, sf):
+    """Null counts and bounds of a dataset in two parts, gathered while its rows were written."""
+    orders = table(spark, sf, "orders").select("o_orderkey", F.when(F.col("o_orderkey") % 2 == 0, F.col("o_orderkey")).alias("half_key"), "o_orderstatus")
+    shelf = new_shelf(spark)
+    shelf.publish(orders.filter("o_orderstatus = 'F'"), "orders")
+    shelf.append(orders.filter("o_orderstatus <> 'F'"), "orders")
+    return shelf.column_bounds("orders").withColumn("row_count", F.lit(shelf._entry("orders")["row_count"]))
+
+
 # ---- change feed ----
 
 STATE = {
