@@ -10,6 +10,7 @@ from zlib import crc32
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -17,8 +18,11 @@ from pyspark.sql.window import Window
 from datashelf.llm.common import stored
 
 PIECE_END = re.compile(rb"[.,;:!?\x0A-\x0D]")
-TRIGGER_EVERY = 8  # a window of words in so many, on average, ends a chunk
+TRIGGER_EVERY = 16  # a word in so many, on average, ends a chunk
 BLOCK_BYTES = 4 << 20  # of the dictionary, counted at a time in a task
+ROWS_OUT = 50_000
+CACHED_WORDS = 200_000
+FILTER_BITS = 1 << 27  # 16 MB, whatever the number of phrases: more phrases than bits only mean that fewer are ruled out early
 UNKNOWN = "und"
 TOTAL = ""  # stands for all words of a language among its phrases
 EXACT = "decimal(15,0)"
@@ -39,87 +43,219 @@ def chunks(words: list[bytes], overlap: int, every: int) -> Iterator[tuple[bytes
     yield b" ".join(words[start:]), True
 
 
-def parser(overlap: int, every: int):
+def pieces(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
+    """(language, words) of each piece of each text."""
+    for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
+        for piece in PIECE_END.split(text.encode("utf-8", "surrogatepass").lower()) if text else ():
+            words = piece.split()  # at spaces and tabs: other white space has ended the piece
+            if words:
+                yield lang, words
+
+
+def _rows(counted: Counter, names: list[str]) -> pa.RecordBatch:
+    columns = zip(*counted) if counted else ([] for _ in names)
+    return pa.record_batch([*map(pa.array, map(list, columns), [pa.string()] * len(names)), pa.array(list(counted.values()), pa.int64())], names=[*names, "f"])
+
+
+def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(lang, phrase, f) of single words, and of all of a language's words together."""
+    for batch in batches:
+        counted: Counter = Counter()
+        for lang, words in pieces(batch):
+            counted[lang, TOTAL.encode()] += len(words)
+            counted.update((lang, w) for w in words)
+            if len(counted) >= ROWS_OUT:
+                yield _rows(counted, ["lang", "phrase"])
+                counted.clear()
+        yield _rows(counted, ["lang", "phrase"])
+
+
+def word_code(word: bytes) -> int:
+    return xxhash.xxh3_64_intdigest(word)
+
+
+def phrase_codes(langs: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
+    """64-bit hashes of phrases from those of their language and of their words, in order."""
+    codes = langs
+    with np.errstate(over="ignore"):
+        for w in words:
+            codes = (codes ^ (codes >> np.uint64(29))) * np.uint64(0x9E3779B97F4A7C15) + w
+        codes = (codes ^ (codes >> np.uint64(32))) * np.uint64(0xBF58476D1CE4E5B9)
+    return codes ^ (codes >> np.uint64(29))
+
+
+def word_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        codes = [
+            np.array([word_code(x.encode("utf-8", "surrogatepass")) for x in batch.column(c).to_pylist()], np.uint64)
+            for c in ("lang", "phrase")
+        ]
+        yield pa.record_batch([pa.array(phrase_codes(codes[0], codes[1:]).view(np.int64))], names=["code"])
+
+
+class Filter:
+    """A bit for each of a fixed number of classes of hashes: set if one of some phrases is in it."""
+
+    def __init__(self, codes: DataFrame, bits: int):
+        at = F.pmod("code", F.lit(bits)) + 1  # Spark's bitmaps count from 1
+        rows = codes.groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bitmap"))
+        size = 4096  # bytes of one of Spark's bitmaps
+        held = np.zeros(max(bits // 8, size), np.uint8)
+        for r in rows.collect():  # as many bytes as the filter has
+            held[(r["bucket"] - 1) * size : r["bucket"] * size] = np.frombuffer(r["bitmap"], np.uint8)
+        self.bits, self.held = bits, codes.sparkSession.sparkContext.broadcast(held)
+
+    def holds(self, codes: np.ndarray) -> np.ndarray:
+        """For each hash whether a phrase may have it."""
+        at = codes.view(np.int64) % self.bits
+        return (self.held.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1 > 0
+
+
+def parser(frequent: Filter, overlap: int, every: int):
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Chunks of runs of frequent words. The key says language and kind of chunk as well: one string to be shuffled."""
+        known: dict[tuple[str, bytes], bool] = {}
         for batch in batches:
             parsed: Counter = Counter()
-            for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-                for piece in PIECE_END.split(text.encode("utf-8", "surrogatepass").lower()) if text else ():
-                    words = piece.split()  # at spaces and tabs: other white space has ended the piece
-                    if words:
-                        parsed.update((lang, chunk, last) for chunk, last in chunks(words, overlap, every))
-            langs, texts, lasts = zip(*parsed) if parsed else ((), (), ())
-            yield pa.record_batch(
-                [pa.array(langs, pa.string()), pa.array(texts, pa.string()), pa.array(lasts, pa.bool_()),
-                 pa.array(list(parsed.values()), pa.int64())],
-                names=["lang", "chunk", "last", "n"],
-            )
+            for lang, words in pieces(batch):
+                new = [w for w in words if (lang, w) not in known]
+                if new:
+                    if len(known) > CACHED_WORDS:
+                        known, new = {}, words
+                    of = np.full(len(new), word_code(lang.encode("utf-8", "surrogatepass")), np.uint64)
+                    held = frequent.holds(phrase_codes(of, [np.array([word_code(w) for w in new], np.uint64)]))
+                    known.update(((lang, w), bool(h)) for w, h in zip(new, held))
+                start = 0
+                for end in [i for i, w in enumerate(words) if not known[lang, w]] + [len(words)]:
+                    if end - start > 1:
+                        for chunk, last in chunks(words[start:end], overlap, every):
+                            parsed[b"%d%s\t%s" % (last, chunk, lang.encode("utf-8", "surrogatepass")),] += 1
+                    start = end + 1
+                if len(parsed) >= ROWS_OUT:
+                    yield _rows(parsed, ["key"])
+                    parsed.clear()
+            yield _rows(parsed, ["key"])
 
     return parse
 
 
-def block_counts(block: pa.Table, longest: int) -> Iterator[pa.RecordBatch]:
-    """Phrases of up to ``longest`` words in the block's distinct chunks and their counts over the whole parse.
+class Block:
+    """Chunks of the dictionary, a row for each position of a word in them."""
 
-    What begins in the words that a chunk shares with the next one is the next one's.
-    """
-    langs = block.column("lang").combine_chunks().dictionary_encode()
-    split = pc.split_pattern(block.column("chunk").combine_chunks(), " ")
-    coded = split.flatten().dictionary_encode()
-    ids, words = coded.indices.to_numpy().astype(np.int64), coded.dictionary
-    sizes = np.diff(split.offsets.to_numpy())
-    weights = np.repeat(block.column("n").to_numpy(), sizes)
-    lang = np.repeat(langs.indices.to_numpy().astype(np.int64), sizes)
-    after = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(ids))
-    owned = np.repeat(block.column("last").to_numpy(), sizes) | (after > longest - 1)
-    number = lang  # of the run that begins at each position, one word shorter than the phrases to be counted
-    for size in range(0, longest + 1):
-        at = np.flatnonzero(owned & (after >= size))
-        if not len(at):
-            break
-        keys = number[at] * len(words) + ids[at + size - 1] if size else number[at]
-        order = np.argsort(keys, kind="stable")
-        fresh = np.concatenate([[True], np.diff(keys[order]) != 0])
-        starts = np.flatnonzero(fresh)
-        number = np.zeros(len(ids), np.int64)
-        number[at[order]] = np.cumsum(fresh) - 1
-        first = at[order[starts]]
-        runs = [words.take(pa.array(ids[first + i])) for i in range(size)]
-        phrases = pc.binary_join_element_wise(*runs, " ") if size else pa.array([TOTAL] * len(first))
-        yield pa.record_batch(
-            [langs.dictionary.take(pa.array(lang[first])), phrases, pa.array(np.add.reduceat(weights[at[order]], starts))],
-            names=["lang", "phrase", "f"],
-        )
-
-
-def counter(longest: int):
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def __init__(self, block: pa.Table, overlap: int):
+        langs = block.column("lang").combine_chunks().dictionary_encode()
+        split = pc.split_pattern(block.column("chunk").combine_chunks(), " ")
+        coded = split.flatten().dictionary_encode()
+        self.ids, self.words, self.langs = coded.indices.to_numpy().astype(np.int64), coded.dictionary, langs.dictionary
+        sizes = np.diff(split.offsets.to_numpy())
+        self.weights = np.repeat(block.column("f").to_numpy(), sizes)
+        self.lang = np.repeat(langs.indices.to_numpy().astype(np.int64), sizes)
+        self.after = np.repeat(np.cumsum(sizes), sizes) - np.arange(len(self.ids))
+        # What begins in the words that a chunk shares with the next one is the next one's.
+        self.owned = np.repeat(block.column("last").to_numpy(), sizes) | (self.after > overlap)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray]:
+        """Positions at which two words begin, and the hashes of these."""
+        codes = [np.array([word_code(x.encode("utf-8", "surrogatepass")) for x in of.to_pylist()], np.uint64) for of in (self.langs, self.words)]
+        at = np.flatnonzero(self.after >= 2)
+        return at, phrase_codes(codes[0][self.lang[at]], [codes[1][self.ids[at + i]] for i in (0, 1)])
+
+
+def _sums(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Order of the keys, where each distinct one starts in it, the sums of their weights, and every key's number."""
+    order = np.argsort(keys, kind="stable")
+    fresh = np.concatenate([[True], np.diff(keys[order]) != 0])
+    starts = np.flatnonzero(fresh)
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.cumsum(fresh) - 1
+    return order, starts, np.add.reduceat(weights[order], starts), number
+
+
+def count_pairs(block: Block) -> Iterator[pa.RecordBatch]:
+    """(code, f): hashes of two words in a row and their counts over the whole parse."""
+    at, codes = block.pairs()
+    own = block.owned[at]
+    if own.any():
+        order, starts, sums, _ = _sums(codes[own], block.weights[at[own]])
+        yield pa.record_batch([pa.array(codes[own][order[starts]].view(np.int64)), pa.array(sums)], names=["code", "f"])
+
+
+def phrase_counter(frequent: Filter, longest: int):
+    def count(block: Block) -> Iterator[pa.RecordBatch]:
+        """(lang, phrase, f): phrases whose pairs of neighbouring words may all be frequent, counted over the whole parse."""
+        at, codes = block.pairs()
+        good = np.zeros(len(block.ids) + longest, bool)
+        good[at] = frequent.holds(codes)
+        number, whole = block.lang * len(block.words) + block.ids, np.ones(len(block.ids), bool)
+        for size in range(2, longest + 1):
+            whole &= good[size - 2 : size - 2 + len(whole)]
+            at = np.flatnonzero(whole & block.owned & (block.after >= size))
+            if not len(at):
+                return
+            order, starts, sums, found = _sums(number[at] * len(block.words) + block.ids[at + size - 1], block.weights[at])
+            number = np.zeros(len(block.ids), np.int64)  # of the run that begins at each position
+            number[at] = found
+            first = at[order[starts]]
+            runs = [block.words.take(pa.array(block.ids[first + i])) for i in range(size)]
+            yield pa.record_batch(
+                [block.langs.take(pa.array(block.lang[first])), pc.binary_join_element_wise(*runs, " "), pa.array(sums)],
+                names=["lang", "phrase", "f"],
+            )
+
+    return count
+
+
+def in_blocks(count, overlap: int):
+    """``count`` over the dictionary, some megabytes at a time."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
         for batch in batches:
-            held.append(batch)
-            size += batch.nbytes
-            if size >= BLOCK_BYTES:
-                yield from block_counts(pa.Table.from_batches(held), longest)
-                held, size = [], 0
-        if held:
-            yield from block_counts(pa.Table.from_batches(held), longest)
+            for start in range(0, batch.num_rows, ROWS_OUT):
+                held.append(batch.slice(start, ROWS_OUT))
+                size += held[-1].nbytes
+                if size >= BLOCK_BYTES:
+                    yield from count(Block(pa.Table.from_batches(held), overlap))
+                    held, size = [], 0
+        if size:
+            yield from count(Block(pa.Table.from_batches(held), overlap))
 
-    return count
+    return counted
 
 
-def phrase_counts(docs: DataFrame, *, lang_col: str, text_col: str, longest: int, every: int = TRIGGER_EVERY) -> DataFrame:
-    """(lang, phrase, f): how often each run of up to ``longest`` words occurs within pieces; the empty phrase: all words.
+def phrase_counts(
+    docs: DataFrame, *, lang_col: str, text_col: str, longest: int, min_count: int, every: int = TRIGGER_EVERY, bits: int = FILTER_BITS
+) -> DataFrame:
+    """(lang, phrase, f): runs of up to ``longest`` words within pieces that occur ``min_count`` times, and how often they do;
+    the empty phrase stands for all words.
 
-    Texts are parsed into overlapping chunks; equal chunks become one of the dictionary, with its frequency, in an aggregate
-    with partial results; phrases are counted once in each distinct chunk, times its frequency.
+    Words are counted first; no phrase with a rare word is frequent, so texts are parsed into overlapping chunks between
+    rare words. Equal chunks become one of the dictionary, with its frequency, in an aggregate with partial results. Phrases
+    are counted once in each distinct chunk, times its frequency: first pairs of words by their hash, then, as phrases, those
+    all of whose pairs may be frequent. Hashes only rule out early: what is counted as a phrase decides.
     """
     source = docs.select(
         F.coalesce(F.col(f"`{lang_col}`"), F.lit(UNKNOWN)).alias("lang"), F.col(f"`{text_col}`").alias("text")
     )
-    parse = source.mapInArrow(parser(longest - 1, every), "lang string, chunk string, last boolean, n long")
-    dictionary = parse.groupBy("lang", "chunk", "last").agg(F.sum("n").alias("n"))
-    counts = dictionary.mapInArrow(counter(longest), "lang string, phrase string, f long")
-    return counts.groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    overlap, schema = longest - 1, "lang string, phrase string, f long"
+    words = source.mapInArrow(count_words, schema).groupBy("lang", "phrase").agg(F.sum("f").alias("f"))
+    words = stored(words.filter((F.col("phrase") == TOTAL) | (F.col("f") >= min_count)), "words")
+    frequent = Filter(words.filter(F.col("phrase") != TOTAL).mapInArrow(word_bits, "code long"), bits)
+
+    keys = source.mapInArrow(parser(frequent, overlap, every), "key string, f long").groupBy("key").agg(F.sum("f").alias("f"))
+    tab = F.instr("key", "\t")
+    dictionary = stored(
+        keys.select(
+            F.substring("key", F.lit(2), tab - 2).alias("chunk"), F.substring("key", tab + 1, F.length("key")).alias("lang"),
+            F.startswith("key", F.lit("1")).alias("last"), "f",
+        ),
+        "dictionary",
+    )
+    pairs = dictionary.mapInArrow(in_blocks(count_pairs, overlap), "code long, f long").groupBy("code").agg(F.sum("f").alias("f"))
+    frequent = Filter(pairs.filter(F.col("f") >= min_count).select("code"), bits)
+    phrases = dictionary.mapInArrow(in_blocks(phrase_counter(frequent, longest), overlap), schema)
+    phrases = phrases.groupBy("lang", "phrase").agg(F.sum("f").alias("f")).filter(F.col("f") >= min_count)
+    return stored(words.union(phrases), "phrases")
 
 
 def _words_of(phrase: Column) -> Column:
@@ -145,8 +281,7 @@ def collocations(
     Integers are exact up to counts of 10**15. A null language is ``und``; null and empty texts have no words, repeated rows
     count as often as they stand. An empty table gives no rows. Other columns are not looked at.
     """
-    counts = phrase_counts(docs, lang_col=lang_col, text_col=text_col, longest=longest)
-    counts = stored(counts.filter((F.col("phrase") == TOTAL) | (F.col("f") >= min_count)), "phrases")
+    counts = phrase_counts(docs, lang_col=lang_col, text_col=text_col, longest=longest, min_count=min_count)
     held = counts.filter(F.col("phrase") != TOTAL).withColumn("size", _words_of(F.col("phrase")))
     found = held.filter("size > 1").select("lang", "phrase", F.col("f").alias("a"), "size")
 

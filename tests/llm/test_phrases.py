@@ -52,7 +52,7 @@ def checked(spark, rows, **kw):
 def test_against_plain_counting(spark):
     rng = random.Random(3)
     words = [f"w{i}" for i in range(12)] + ["Ab", "aB", "é", "É", "x-y"]
-    rows = [(rng.choice(["en", "de", None, "und"]), "".join(rng.choice(words) + rng.choice([" ", " ", "  ", "\t", ", ", ".\n"]) for _ in range(rng.randint(0, 60)))) for _ in range(400)]
+    rows = [(rng.choice(["en", "a\tb", None, "und"]), "".join(rng.choice(words) + rng.choice([" ", " ", "  ", "\t", ", ", ".\n"]) for _ in range(rng.randint(0, 60)))) for _ in range(400)]
     assert len(checked(spark, rows)) > 100
     assert checked(spark, rows, top=7) and checked(spark, rows, longest=4, top=None, contained_percent=80, min_count=5)
 
@@ -87,7 +87,7 @@ def test_equal_runs_are_parsed_alike():
 def test_copies_are_counted_by_their_number(spark):
     rows = [("en", prose(9, 500))] * 2_000 + [("en", prose(8, 40))]
     df = as_files(spark.createDataFrame(rows, "lang string, text string").repartition(5))
-    got = {(r["lang"], r["phrase"]): r["f"] for r in phrase_counts(df, lang_col="lang", text_col="text", longest=3).collect()}
+    got = {(r["lang"], r["phrase"]): r["f"] for r in phrase_counts(df, lang_col="lang", text_col="text", longest=3, min_count=1, bits=1 << 15).collect()}
     assert got == dict(counted(rows))
 
 
@@ -97,6 +97,29 @@ def test_one_long_text_and_a_frequent_phrase(spark):
     checked(spark, rows, top=50)
 
 
+def test_a_filter_has_the_bits_of_its_hashes(spark):
+    import numpy as np
+
+    from datashelf.llm.phrases import Filter
+
+    rng = random.Random(6)
+    codes = np.array([rng.getrandbits(64) for _ in range(3_000)] + [0, 1, 32767, 32768, 65535, 2**64 - 1], np.uint64)
+    inside, outside = codes[::2], codes[1::2]
+    held = Filter(spark.createDataFrame([(int(c),) for c in inside.view(np.int64)], "code long"), 1 << 17)
+    bits = {int(c) % (1 << 17) for c in inside}
+    assert held.holds(inside).all()
+    assert held.holds(outside).tolist() == [int(c) % (1 << 17) in bits for c in outside]
+
+
+def test_a_full_filter_only_costs_time(documents):
+    from datashelf.llm.phrases import phrase_counts as counts
+
+    few, many = (
+        {tuple(r) for r in counts(documents, lang_col="lang", text_col="text", longest=3, min_count=10, bits=b).collect()} for b in (1 << 15, 1 << 22)
+    )
+    assert few == many
+
+
 def test_large_counts_stay_exact(spark):
     import datashelf.llm.phrases as phrases
 
