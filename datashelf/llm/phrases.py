@@ -21,7 +21,9 @@ PIECE_END = re.compile(rb"[.,;:!?\x0A-\x0D]")
 TRIGGER_EVERY = 16  # a word in so many, on average, ends a chunk
 BLOCK_BYTES = 4 << 20  # of the dictionary, counted at a time in a task
 ROWS_OUT = 50_000
-CACHED_WORDS = 200_000
+CACHED_WORDS = 300_000
+WORDS_AT_A_TIME = 1_000_000
+TEXTS_AT_A_TIME = 250
 FILTER_BITS = 1 << 27  # 16 MB, whatever the number of phrases: more phrases than bits only mean that fewer are ruled out early
 UNKNOWN = "und"
 TOTAL = ""  # stands for all words of a language among its phrases
@@ -52,22 +54,28 @@ def pieces(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
                 yield lang, words
 
 
-def _rows(counted: Counter, names: list[str]) -> pa.RecordBatch:
-    columns = zip(*counted) if counted else ([] for _ in names)
-    return pa.record_batch([*map(pa.array, map(list, columns), [pa.string()] * len(names)), pa.array(list(counted.values()), pa.int64())], names=[*names, "f"])
-
-
 def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(lang, phrase, f) of single words, and of all of a language's words together."""
+
+    def told() -> pa.RecordBatch:
+        langs = [lang for lang, of in counted.items() for _ in of]
+        phrases, sums = ([x for of in counted.values() for x in each(of)] for each in (dict.keys, dict.values))
+        return pa.record_batch(
+            [pa.array(langs, pa.string()), pa.array(phrases, pa.string()), pa.array(sums, pa.int64())], names=["lang", "phrase", "f"]
+        )
+
     for batch in batches:
-        counted: Counter = Counter()
+        counted: dict[str, Counter] = {}
+        size = 0
         for lang, words in pieces(batch):
-            counted[lang, TOTAL.encode()] += len(words)
-            counted.update((lang, w) for w in words)
-            if len(counted) >= ROWS_OUT:
-                yield _rows(counted, ["lang", "phrase"])
-                counted.clear()
-        yield _rows(counted, ["lang", "phrase"])
+            of = counted.setdefault(lang, Counter())
+            of.update(words)
+            of[TOTAL.encode()] += len(words)
+            size += len(words)
+            if size >= WORDS_AT_A_TIME:
+                yield told()
+                counted, size = {}, 0
+        yield told()
 
 
 def word_code(word: bytes) -> int:
@@ -114,27 +122,39 @@ class Filter:
 def parser(frequent: Filter, overlap: int, every: int):
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Chunks of runs of frequent words. The key says language and kind of chunk as well: one string to be shuffled."""
-        known: dict[tuple[str, bytes], bool] = {}
+        known: dict[str, dict[bytes, bool]] = {}
+        parsed: Counter = Counter()
+
+        def learn(held: list[tuple[str, list[bytes]]]) -> None:
+            """Ask for all words that are new, at once."""
+            if sum(map(len, known.values())) > CACHED_WORDS:
+                known.clear()
+            for lang in {lang for lang, _ in held}:
+                of = known.setdefault(lang, {})
+                new = list(set().union(*[words for x, words in held if x == lang]).difference(of))
+                code = np.full(len(new), word_code(lang.encode("utf-8", "surrogatepass")), np.uint64)
+                codes = phrase_codes(code, [np.fromiter(map(word_code, new), np.uint64, len(new))])
+                of.update(zip(new, frequent.holds(codes).tolist()))
+
+        def told() -> pa.RecordBatch:
+            out = [pa.array(list(parsed.keys()), pa.string()), pa.array(list(parsed.values()), pa.int64())]
+            parsed.clear()
+            return pa.record_batch(out, names=["key", "f"])
+
         for batch in batches:
-            parsed: Counter = Counter()
-            for lang, words in pieces(batch):
-                new = [w for w in words if (lang, w) not in known]
-                if new:
-                    if len(known) > CACHED_WORDS:
-                        known, new = {}, words
-                    of = np.full(len(new), word_code(lang.encode("utf-8", "surrogatepass")), np.uint64)
-                    held = frequent.holds(phrase_codes(of, [np.array([word_code(w) for w in new], np.uint64)]))
-                    known.update(((lang, w), bool(h)) for w, h in zip(new, held))
-                start = 0
-                for end in [i for i, w in enumerate(words) if not known[lang, w]] + [len(words)]:
-                    if end - start > 1:
-                        for chunk, last in chunks(words[start:end], overlap, every):
-                            parsed[b"%d%s\t%s" % (last, chunk, lang.encode("utf-8", "surrogatepass")),] += 1
-                    start = end + 1
-                if len(parsed) >= ROWS_OUT:
-                    yield _rows(parsed, ["key"])
-                    parsed.clear()
-            yield _rows(parsed, ["key"])
+            for begin in range(0, batch.num_rows, TEXTS_AT_A_TIME):
+                held = list(pieces(batch.slice(begin, TEXTS_AT_A_TIME)))
+                learn(held)
+                for lang, words in held:
+                    of, tail, start = known[lang], b"\t" + lang.encode("utf-8", "surrogatepass"), 0
+                    for end in [*[i for i, w in enumerate(words) if not of[w]], len(words)]:
+                        if end - start > 1:
+                            for chunk, last in chunks(words[start:end], overlap, every):
+                                parsed[(b"1" if last else b"0") + chunk + tail] += 1
+                        start = end + 1
+                    if len(parsed) >= ROWS_OUT:
+                        yield told()
+        yield told()
 
     return parse
 
