@@ -103,7 +103,8 @@ def drop_repeated_spans(docs: DataFrame, *, words: int = SPAN_WORDS, id_col: str
     id_type = source.schema["id"].dataType.simpleString()
     runs = source.mapInArrow(hasher(words), f"row long, doc_id {id_type}, at int, size int, k1 long, k2 long")
     twice = stored(runs.groupBy("k1").agg(F.count(F.lit(1)).alias("m")).filter("m > 1").select("k1"), "twice")
-    runs = stored(runs.join(few(twice), "k1"), "repeated")
+    # merged at every size: a broadcast of the smaller inputs would only hide what the larger ones shuffle
+    runs = stored(runs.join(twice.hint("merge"), "k1"), "repeated")
     place = F.struct("doc_id", "row", "at")
     first = runs.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("m"), F.min(place).alias("first")).filter("m > 1")
     # Stored, so that the join shuffles both sides anew and adaptive execution can split a hot run.
