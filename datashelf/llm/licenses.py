@@ -119,18 +119,15 @@ def _words(text: Column) -> Column:
     return F.regexp_count(text, F.lit(f"{WORD}+"))
 
 
-def _before(parts: Column, hits: Column, measure) -> Column:
-    """For each hit in a text split at the hits, the sum of ``measure`` over all that stands before it."""
-    start = F.array().cast("array<long>")
-    seen = F.aggregate(
-        F.sequence(F.lit(0), F.size(hits) - 1),
-        F.struct(F.lit(0).cast("long").alias("sum"), start.alias("all")),
-        lambda acc, i: F.struct(
-            (acc["sum"] + measure(parts[i]) + measure(hits[i])).alias("sum"),
-            F.array_append(acc["all"], acc["sum"] + measure(parts[i])).alias("all"),
-        ),
-    )
-    return F.when(F.size(hits) > 0, seen["all"]).otherwise(start)
+def _starts(tried: DataFrame, group: list[str]) -> DataFrame:
+    """Where each hit begins in a text split at its hits: (the group's columns, first, length), from ``parts`` and ``hits``.
+
+    Parts and hits become rows and meet in a running sum, so the work is linear in them.
+    """
+    at = tried.select(*group, F.posexplode(F.arrays_zip("parts", "hits")).alias("place", "at")).filter("at.hits is not null")
+    sizes = at.select(*group, "place", F.length("at.parts").cast("long").alias("gap"), F.length("at.hits").cast("long").alias("length"))
+    until = Window.partitionBy(*group).orderBy("place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return sizes.select(*group, (F.sum(F.col("gap") + F.col("length")).over(until) - F.col("length")).alias("first"), "length")
 
 
 def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -149,8 +146,11 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
     none = F.array().cast("array<string>")
     scanned = source.select("row", "id", "text", _words(F.col("text")).cast("long").alias("n_words"), has.alias("has"))
     scanned = scanned.withColumn("hits", F.when(F.col("has"), F.regexp_extract_all("text", phrase, F.lit(0))).otherwise(none))
-    parts = F.when(F.size("hits") > 0, F.split("text", phrase)).otherwise(none)
-    scanned = scanned.withColumn("starts", _before(parts, F.col("hits"), lambda t: _words(t).cast("long")))
+    # No word is cut by a hit, so the words before the first and after the last one say where these begin.
+    some = F.size("hits") > 0
+    before = _words(F.element_at(F.split("text", phrase, 2), 1)).cast("long")
+    rest = _words(F.element_at(F.split("text", phrase), -1)) + _words(F.element_at("hits", -1))
+    scanned = scanned.withColumn("first_word", F.when(some, before)).withColumn("last_word", F.when(some, F.col("n_words") - rest))
     of = F.create_map(*[F.lit(v) for p, name in BASE.items() for v in (p.split()[0], name)])
     base = F.array_sort(F.array_distinct(F.transform("hits", lambda x: of[F.lower(F.regexp_extract(x, "^[A-Za-z]+", 0))])))
     found = (
@@ -158,13 +158,13 @@ def license_scan(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "te
         .groupBy("row")
         .agg(F.collect_set("label").alias("more"), F.max("confidence").alias("sure"))
     )
-    out = scanned.select("row", "id", "n_words", F.size("hits").cast("long").alias("n_base"), "starts", base.alias("base"))
+    out = scanned.select("row", "id", "n_words", F.size("hits").cast("long").alias("n_base"), "first_word", "last_word", base.alias("base"))
     return out.join(found, "row", "left").select(
         F.col("id").alias("doc_id"),
         "n_words",
         "n_base",
-        F.try_element_at("starts", F.lit(1)).alias("first_word"),
-        F.try_element_at("starts", F.lit(-1)).alias("last_word"),
+        "first_word",
+        "last_word",
         F.array_join("base", ",").alias("base_labels"),
         F.array_join(F.array_sort(F.array_union("base", F.coalesce("more", none))), ",").alias("labels"),
         F.when(F.col("n_base") > 0, 1.0).otherwise(F.coalesce("sure", F.lit(0.0))).alias("score"),
@@ -195,14 +195,11 @@ def detections(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text
         .join(F.broadcast(table), "key")
         .withColumn("hits", F.regexp_extract_all("text", F.col("rule"), F.lit(0)))
         .filter(F.size("hits") > 0)
-        .withColumn("starts", _before(F.split("text", F.col("rule")), F.col("hits"), lambda t: F.length(t).cast("long")))
+        .withColumn("parts", F.split("text", F.col("rule")))
     )
     spans = (
-        tried.select("row", "id", "label", "priority", "confidence", F.explode(F.arrays_zip("starts", "hits")).alias("at"))
-        .select(
-            "row", "id", "label", "priority", "confidence",
-            F.col("at.starts").alias("first"), (F.col("at.starts") + F.length("at.hits")).alias("last"),
-        )
+        _starts(tried, ["row", "id", "label", "priority", "confidence", "rule"])
+        .withColumn("last", F.col("first") + F.col("length"))
         .groupBy("row", "id", "label", "priority", "first", "last")
         .agg(F.max("confidence").alias("confidence"))
     )

@@ -1,4 +1,5 @@
 import re
+import time
 
 from conftest import as_files
 
@@ -91,3 +92,14 @@ def test_white_space_of_any_kind_between_words(spark):
     for r in detections(df).collect():
         got.setdefault(r["doc_id"], set()).add(r["label"])
     assert [rows[d] for d, label in want.items() if label not in got.get(d, ())] == []
+
+
+def test_many_mentions_in_one_text(spark):
+    rows = [(1, "MIT License. " * 20_000), (2, "x " + "Apache License, mit license; " * 10_000 + "y z")]
+    df = as_files(spark.createDataFrame(rows, "doc_id long, text string"))
+    started = time.monotonic()
+    got = {r["doc_id"]: r for r in license_scan(df).collect()}
+    assert time.monotonic() - started < 30
+    assert [got[1][n] for n in NAMES] == [1, 40_000, 20_000, 0, 39_998, "mit"]
+    assert [got[2][n] for n in NAMES] == [2, 40_003, 20_000, 1, 39_999, "apache,mit"]
+    assert detections(df).filter("doc_id = 1").count() == 20_000
