@@ -25,6 +25,14 @@ SLICE_ROWS = 250  # texts whose words are held at a time
 UNKNOWN = "und"
 
 
+def words_of(text: str) -> list[str]:
+    """Runs of letters, in lower case. Signs of numbers such as a half or a circled one are no letters."""
+    found = LETTERS.findall(text.lower())
+    if found and not "".join(found).isalpha():
+        found = [w for f in found for w in "".join([c if c.isalpha() else " " for c in f]).split()]
+    return found
+
+
 @dataclass
 class Crf:
     """Weights of hashed n-grams and lexicon membership for each label, and transitions."""
@@ -83,7 +91,7 @@ def train(texts: list[tuple[str, str]], *, length: int = 64, passes: int = 40, s
     number = {label: i for i, label in enumerate(model.labels)}
     runs, counts = [], Counter()
     for text, label in texts:
-        words = LETTERS.findall(text.lower())
+        words = words_of(text)
         at = 0
         while at < len(words):
             size = int(rng.integers(8, length + 1))
@@ -213,7 +221,7 @@ def labeller(model: Crf):
         known: dict[str, int] = {}
         scores = np.empty((0, len(model.labels)))
         for batch in (b.slice(at, SLICE_ROWS) for b in batches for at in range(0, b.num_rows, SLICE_ROWS)):
-            texts = [LETTERS.findall(t.lower()) if t else [] for t in batch.column("text").to_pylist()]
+            texts = [words_of(t) if t else [] for t in batch.column("text").to_pylist()]
             names, sure = [UNKNOWN] * len(texts), [0.0] * len(texts)
             at = 0
             while at < len(texts) and model.labels:

@@ -103,3 +103,7 @@ def test_prediction_sees_only_the_text(odd_docs):
     other = as_files(odd_docs.withColumns({"lang": F.lit("zz"), "source": F.lit("s9")}))
     a, b = (sorted(((r["doc_id"], r["lang_pred"], r["score"]) for r in L.predict_language(d, fitted).collect()), key=str) for d in (odd_docs, other))
     assert a == b
+
+
+def test_signs_of_numbers_are_no_letters(spark):
+    assert L.words_of("² ½ ① Ⅷ 12 _") == [] and L.words_of("A²b été x_1") == ["a", "b", "été", "x"]
