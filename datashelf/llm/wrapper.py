@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -14,8 +15,12 @@ from pyspark.sql import functions as F
 
 from datashelf.llm.common import BROADCAST_ROWS, keyed, stored
 
-MARKUP = re.compile(r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*(?:\"|\Z)|'[^']*(?:'|\Z))*)>|[!?][^>]*>)", re.S)
-ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+# A quote opens a value only after an equals sign; what the text's end leaves open takes the rest of it. Nothing goes back.
+MARKUP = re.compile(
+    r"<(?:!--.*?(?:-->|\Z)|(/?)([a-zA-Z][^\s/>]*+)((?:[^>=]|=\s*+(?:\"[^\"]*+(?:\"|\Z)|'[^']*+(?:'|\Z)|[^\s>]++)?+)*+)(?:>|\Z)|[!?][^>]*+(?:>|\Z))",
+    re.S,
+)
+ATTRIBUTE = re.compile(r"([^\s=>/\"']+)(?:\s*+=\s*+(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?+")
 # Text inside these is no markup and no text.
 RAW = {"script", "style", "template", "textarea", "noscript", "svg", "iframe", "title", "math", "xmp"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "source", "track", "wbr"}
@@ -69,6 +74,7 @@ def parse(source: str) -> tuple[Node, list[tuple[Node, str, float]]]:
     """The tree of block elements, and the text blocks in page order: (element, text, share of it within links)."""
     root = Node("html", "html", CLEAR, "")
     stack, blocks, parts, links = [root], [], [], 0
+    opened = Counter()  # how many elements of each tag are on the stack
     linked = 0
 
     def flush():
@@ -101,7 +107,7 @@ def parse(source: str) -> tuple[Node, list[tuple[Node, str, float]]]:
             continue
         if tag in RAW:
             if not closing:
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>", re.I).search(source, at)
+                end = re.compile(rf"</{re.escape(tag)}\b[^>]*+(?:>|\Z)", re.I).search(source, at)
                 at = end.end() if end else len(source)
             continue
         if tag in BREAKS:
@@ -114,15 +120,16 @@ def parse(source: str) -> tuple[Node, list[tuple[Node, str, float]]]:
         elif closing:
             flush()
             links = 0
-            for i in range(len(stack) - 1, 0, -1):
-                if stack[i].tag == tag:
-                    del stack[i:]
+            while opened[tag]:
+                last = stack.pop().tag
+                opened[last] -= 1
+                if last == tag:
                     break
         else:
             flush()
             links = 0
             while len(stack) > 1 and tag in CLOSED_BY.get(stack[-1].tag, ()):
-                stack.pop()
+                opened[stack.pop().tag] -= 1
             if tag in ("html", "body"):
                 continue
             above = stack[-1]
@@ -147,6 +154,7 @@ def parse(source: str) -> tuple[Node, list[tuple[Node, str, float]]]:
             above.children.append(node)
             if not found[3].endswith("/"):
                 stack.append(node)
+                opened[tag] += 1
     flush()
     return root, blocks
 
@@ -157,32 +165,40 @@ def shape(root: Node) -> tuple[str, dict[Node, int]]:
     Children of folded siblings are folded together, so lists of any length have the same shape.
     """
     number: dict[Node, int] = {}
+    out: list[str] = []
     count = 0
-
-    def walk(nodes: list[Node]) -> str:
-        nonlocal count
-        own = count
-        count += 1
-        for node in nodes:
-            number[node] = own
-        groups: list[list[Node]] = []
-        last: dict[str, list[Node]] = {}
+    waiting: list[list[Node] | None] = [[root]]  # None: the end of an element
+    while waiting:
+        nodes = waiting.pop()
+        if nodes is None:
+            out.append(")")
+            continue
         for node in nodes:
-            previous = None
-            for child in node.children:
-                if previous is not None and previous[0].label == child.label:
-                    previous.append(child)
-                elif child.label in last and len(nodes) > 1:
-                    previous = last[child.label]
-                    previous.append(child)
-                else:
-                    previous = [child]
-                    last[child.label] = previous
-                    groups.append(previous)
-        label = re.sub(r"[()]", "", nodes[0].label)
-        return f"{label}({''.join(walk(g) for g in groups)})"
-
-    return walk([root]), number
+            number[node] = count
+        count += 1
+        out.append(re.sub(r"[()]", "", nodes[0].label) + "(")
+        waiting.append(None)
+        waiting.extend(reversed(folded(nodes)))
+    return "".join(out), number
+
+
+def folded(nodes: list[Node]) -> list[list[Node]]:
+    """The children of like siblings, in groups of like ones."""
+    groups: list[list[Node]] = []
+    last: dict[str, list[Node]] = {}
+    for node in nodes:
+        previous = None
+        for child in node.children:
+            if previous is not None and previous[0].label == child.label:
+                previous.append(child)
+            elif child.label in last and len(nodes) > 1:
+                previous = last[child.label]
+                previous.append(child)
+            else:
+                previous = [child]
+                last[child.label] = previous
+                groups.append(previous)
+    return groups
 
 
 def tree_of(text: str) -> tuple[str, int, list]:
@@ -203,33 +219,26 @@ def tree_of(text: str) -> tuple[str, int, list]:
 def simple_tree_matching(a: tuple, b: tuple) -> dict[int, int]:
     """The largest mapping of two ordered trees in which mapped nodes have mapped parents and equal labels."""
 
-    def size(x, y) -> int:
-        return score(x[1], y[1])
-
-    nodes_a, nodes_b = {}, {}
-
-    def index(node, into):
-        into[node[1]] = node
-        for child in node[2]:
-            index(child, into)
-
-    index(a, nodes_a)
-    index(b, nodes_b)
+    # Pairs with equal labels under pairs with equal labels, parents first; scored the other way round.
+    pairs = [(a, b)] if a[0] == b[0] else []
+    for x, y in pairs:
+        like: dict[str, list] = {}
+        for q in y[2]:
+            like.setdefault(q[0], []).append(q)
+        pairs.extend((p, q) for p in x[2] for q in like.get(p[0], ()))
+    score: dict[tuple[int, int], int] = {}
 
     def table(x, y) -> list[list[int]]:
         m = [[0] * (len(y[2]) + 1) for _ in range(len(x[2]) + 1)]
         for i, p in enumerate(x[2], 1):
             for j, q in enumerate(y[2], 1):
-                m[i][j] = max(m[i - 1][j], m[i][j - 1], m[i - 1][j - 1] + size(p, q))
+                m[i][j] = max(m[i - 1][j], m[i][j - 1], m[i - 1][j - 1] + score.get((p[1], q[1]), 0))
         return m
 
-    @lru_cache(None)
-    def score(i: int, j: int) -> int:
-        x, y = nodes_a[i], nodes_b[j]
-        return 0 if x[0] != y[0] else 1 + table(x, y)[-1][-1]
-
+    for x, y in reversed(pairs):
+        score[x[1], y[1]] = 1 + table(x, y)[-1][-1]
     mapped: dict[int, int] = {}
-    waiting = [(a, b)] if score(a[1], b[1]) else []
+    waiting = pairs[:1]
     while waiting:
         x, y = waiting.pop()
         mapped[x[1]] = y[1]
@@ -262,7 +271,7 @@ def hashed(text: str) -> int:
 
 
 def page_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Shape and digest of each page, and of its blocks the place and a hash of the text."""
+    """Shape of each page, of its blocks the place and a hash of the text, and a digest of these texts."""
     kind = pa.list_(pa.struct([("said", pa.int64()), ("node", pa.int32())]))
     for batch in batches:
         shapes, digests, kept = [], [], []
@@ -270,8 +279,9 @@ def page_reader(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             root, blocks = parse(source or "")
             text, number = shape(root)
             shapes.append(text)
-            digests.append(hashed(source or ""))
-            kept.append([{"said": hashed(b[1]), "node": number[b[0]]} for b in content(blocks)])
+            inner = content(blocks)
+            digests.append(hashed("\n".join([b[1] for b in inner])))
+            kept.append([{"said": hashed(b[1]), "node": number[b[0]]} for b in inner])
         yield pa.record_batch(
             [batch.column("row"), batch.column("url"), pa.array(shapes, pa.string()), pa.array(digests, pa.int64()), pa.array(kept, kind)],
             names=["row", "url", "shape", "digest", "blocks"],
@@ -313,13 +323,13 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
     Each page is parsed to a tree of block elements, in which runs of like siblings are folded. A host's most frequent
     shape is its reference; every page's tree is aligned with it by simple tree matching. A text that stands at one
     place of the reference in at least 5 pages and 60 % of the host's is template and goes; varying texts stay.
-    Copies of a page count once. Places that name themselves as something else than the article (navigation, footers,
+    Pages whose content is the same count once, whatever stands around it. Places that name themselves as something else than the article (navigation, footers,
     forms, adverts, notices, comments ...; see ``ASIDE_TAGS`` and ``ASIDE_WORDS``) are no slots; a class or id counts if
     all of its words are such, not on headings and paragraphs, and not against a main element within. Of the rest, slots
     within <article> are content, without one those within <main>, without either all that are not mostly links.
 
     A null or empty html gives an empty text, a page without markup its whole text. Pages without a host are not
-    compared with others. Null ids and repeated rows are pages of their own. An empty table gives no rows.
+    compared with others. A tag or comment that the page's end leaves open takes the rest of it. Null ids and repeated rows are pages of their own. An empty table gives no rows.
 
     Hosts meet in counts and in joins that adaptive execution can split, so one host may hold most pages. Only hashes of
     texts are kept between the two passes over the pages, which are parsed again for the result.
@@ -331,7 +341,7 @@ def extract_main_text(pages: DataFrame, *, id_col: str = "page_id", url_col: str
     )
     host = F.lower(F.regexp_extract("url", r"^(?:[a-zA-Z][a-zA-Z0-9+.-]*:)?//([^/?#]+)", 1))
     hosted = stored(read.withColumn("host", host).drop("url").filter("host <> ''"), "pages")
-    distinct = hosted.groupBy("host", "digest").agg(F.first("shape").alias("shape"))
+    distinct = hosted.groupBy("host", "digest").agg(F.min("shape").alias("shape"))
     shapes = stored(distinct.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("m")), "shapes")
     hosts = shapes.groupBy("host").agg(
         F.max_by("shape", F.struct("m", "shape")).alias("reference"), F.sum("m").alias("pages")

@@ -1,5 +1,6 @@
 import html
 import re
+import time
 
 from conftest import as_files
 
@@ -97,3 +98,35 @@ def test_simple_tree_matching():
 def test_lists_of_any_length_have_one_shape():
     one, many = (shape(parse("<ul>" + "<li><p>x</p></li>" * n + "</ul><p>y")[0])[0] for n in (1, 9))
     assert one == many
+
+
+def test_copies_with_other_surroundings_are_no_template(spark):
+    page = "<div id=c><h1>Head</h1><p>One line<p>Another</div><!-- ad {0} --><script>track({0})</script><div class=ad>Buy {0}</div>"
+    pages = [(i, f"http://d.example/{i}", page.format(i)) for i in range(8)]
+    assert {r["text"] for r in run(spark, pages).values()} == {"Head One line Another"}
+
+
+def test_alignment_decides_where_names_do_not(spark):
+    page = "<div><p>Our shop</p><b>Call us</b></div><div><h1>Head {0}</h1><p>Text {0}<p>More {0}</div><section><p>All rights</section>"
+    pages = [(i, f"http://e.example/{i}", page.format(i)) for i in range(9)]
+    got = run(spark, pages)
+    assert all(got[i]["text"] == f"Head {i} Text {i} More {i}" for i in range(9))
+
+
+def test_quotes(spark):
+    pages = [(1, "x", "<p data-x=it's>Hello world</p><p>don't worry</p><p>end</p>"), (2, "x", "<p title = 'a>b' id=\"c>d\">t</p>"),
+             (3, "x", "<p class=a=\"b>t</p><p 'x\">u</p>"), (4, "x", "<div data-1='class=ad'>t</div>")]
+    assert {k: r["text"] for k, r in run(spark, pages).items()} == {1: "Hello world don't worry end", 2: "t", 3: "t u", 4: "t"}
+
+
+def test_deep_and_unclosed(spark):
+    deep = 20_000
+    pages = [(i, f"http://f.example/{i}", "<div>" * deep + f"<p>Text {i}</p><p>Same" + "</div>" * deep) for i in range(6)]
+    pages += [
+        (10, "x", "<p>a</p>" + "<a " * 400_000), (11, "x", "<p>a</p>" + "<!x" * 400_000), (12, "x", "<p>a</p>" + "<a x='\"" * 200_000),
+        (13, "x", "<p>a</p>" + "<script></script " * 60_000), (14, "x", "<p>a" + "<div>" * 100_000 + "</section>" * 100_000),
+    ]
+    started = time.monotonic()
+    got = run(spark, pages)
+    assert time.monotonic() - started < 60
+    assert all(got[i]["text"] == f"Text {i}" for i in range(6)) and all(got[i]["text"] == "a" for i in range(10, 15))
