@@ -9,7 +9,7 @@ from datetime import datetime, timedelta, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from datashelf.sources.files import LISTING, child_names, children, files_below, path_exists, remove_path
+from datashelf.sources.files import LISTING, child_names, children, files_below, path_exists, qualified, remove_path
 from datashelf.sources.shelf import LOG_FOLDER, Shelf, is_inside, read_folders, schema_of
 
 # Retention and target file size.
@@ -37,8 +37,11 @@ def expire(shelf: Shelf, older_than: datetime | None = None, versions: list[int]
     chosen = sorted((r["name"], r["version"]) for r in rows)
     if not dry_run and rows:
         shelf.mark_expired(chosen)
-        # Folders of expired versions that no other version refers to; as many as there were publishes, not files.
-        gone = shelf.spark.createDataFrame([(f,) for r in rows for f in r["folders"]], "folder string").distinct()
+        # Folders of expired versions that no other version refers to; as many as there were publishes, not files. Folders
+        # outside the shelf, whose files were added to a dataset, are not the shelf's to delete.
+        root = qualified(shelf.spark, shelf.root)
+        own = [(f,) for r in rows for f in r["folders"] if is_inside(f, root)]
+        gone = shelf.spark.createDataFrame(own, "folder string").distinct()
         remove_folders(shelf.spark, [r["folder"] for r in gone.join(tracked_folders(shelf), "folder", "left_anti").collect()])
     return chosen
 

@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from datashelf.functions.scalars import calendar_part
 from datashelf.operators import changes as change_ops
-from datashelf.operators.evolve import align, required_columns
+from datashelf.operators.evolve import align, read_conformed, required_columns
 from datashelf.sources.files import child_names, list_files, path_exists, put_text, qualified
 
 LOG_FOLDER = "shelf-log"
@@ -357,12 +357,7 @@ class Shelf(ShelfReader):
         # The schema in Parquet column order; partition columns come last, as on reading.
         names = [f for f in df.columns if f not in keys and f != ROW_ID] + keys
         schema = T.StructType([T.StructField(n, df.schema[n].dataType, True, df.schema[n].metadata) for n in names])
-        observed, gathered = Observation(), {"rows": F.count(F.lit(1)), **(observe or {})}
-        for i, f in enumerate(schema.fields):
-            column = F.col(f"`{f.name}`")
-            gathered[f"nulls_{i}"] = F.count_if(column.isNull())
-            if isinstance(f.dataType, BOUNDED):
-                gathered[f"low_{i}"], gathered[f"high_{i}"] = F.min(column).cast("string"), F.max(column).cast("string")
+        observed, gathered = Observation(), {**_measures(schema), **(observe or {})}
         if row_ids:
             gathered["last_id"] = F.max(ROW_ID)
         writer = df.observe(observed, *[c.alias(n) for n, c in gathered.items()]).write
@@ -374,10 +369,7 @@ class Shelf(ShelfReader):
         writer.parquet(path)
 
         got = observed.get
-        required = {*not_null, *required_columns(schema)}
-        bad = {f.name: got[f"nulls_{i}"] for i, f in enumerate(schema.fields) if f.name in required and got[f"nulls_{i}"]}
-        if bad:
-            raise ValueError(f"NULL in required columns: {bad}")
+        _check_required(got, schema, not_null)
         if verify is not None:
             verify(got)
         folders = [*beside, path]
@@ -386,7 +378,7 @@ class Shelf(ShelfReader):
         row_count = got["rows"] + (beside_rows or 0)
         if expected_rows is not None and row_count != expected_rows:
             raise RowCountMismatch(f"row counts differ: {expected_rows} vs {row_count}")
-        stats = {f.name: [got[f"nulls_{i}"], got.get(f"low_{i}"), got.get(f"high_{i}")] for i, f in enumerate(schema.fields)}
+        stats = _stats_of(got, schema)
         if beside:
             stats = _merged_stats(json.loads(beside_stats or "{}"), stats, schema, bool(without))
         if changes is None:
@@ -435,6 +427,45 @@ class Shelf(ShelfReader):
         new = df.select(*[F.col(f"`{f.name}`").alias(f.name, metadata=f.metadata) for f in old.schema.fields])
         return self.publish(new, name, **_beside(last), **args)
 
+    def add_files(
+        self, name: str, folders: Sequence[str], *, allow_missing: bool = False, ignore_extra: bool = False, now: datetime | None = None,
+        author: str | None = None, message: str | None = None, extra_info: str | None = None,
+    ) -> int:
+        """New version that also holds the Parquet files of other folders, where they lie. No data is copied.
+
+        Columns go by name. Every footer is compared with the dataset's schema: types must be the same or narrower; columns
+        that files lack are null there if ``allow_missing``, others that they have are not read if ``ignore_extra``. One scan
+        gathers counts and bounds and checks required columns.
+
+        The files belong to whoever wrote them: expiry and clean-up never delete them. Merge, update and delete write the
+        rows of touched files anew on the shelf, and compaction those of folders of small files.
+        """
+        if self.require_message and not (message or "").strip():
+            raise ValueError("this shelf requires a message with every publish")
+        last = self._entry(name)
+        if last["partition_by"] or last["next_row_id"] is not None:
+            raise ValueError(f"{name} has partition columns or row ids, which files from elsewhere do not have")
+        schema, paths = schema_of(last), [qualified(self.spark, f.rstrip("/")) for f in dict.fromkeys(folders)]
+        twice = sorted(set(paths) & set(last["folders"]))
+        if twice:
+            raise ValueError(f"already part of {name}: {twice}")
+        deep = listed_files(self.spark, paths).filter(~F.regexp_replace("path", "/[^/]*$", "").isin(paths)).select("path").first()
+        if deep:
+            raise ValueError(f"not directly in one of the folders: {deep['path']}")
+        read_conformed(self.spark, paths, schema, allow_missing, ignore_extra)
+        rows = read_folders(self.spark, schema, paths, [])
+        got = rows.agg(*[c.alias(n) for n, c in _measures(schema).items()]).first().asDict()
+        _check_required(got, schema)
+        entry = last.asDict()
+        entry.update(
+            version=self._next_version(name), kind="publish", published_at=now or datetime.now(timezone.utc), path=None,
+            folders=[*last["folders"], *paths], target_version=None, row_count=last["row_count"] + got["rows"],
+            stats=json.dumps(_merged_stats(json.loads(last["stats"] or "{}"), _stats_of(got, schema), schema, False)),
+            changes="files added", author=author, message=message, extra_info=extra_info,
+        )
+        self._append_log(name, [entry])
+        return entry["version"]
+
     def replace_rows(self, df: DataFrame, name: str, **kw) -> int:
         """New version with other rows, keeping documentation and partitioning. Rows with a column of ids keep them."""
         last = self._entry(name)
@@ -561,6 +592,28 @@ def _beside(entry) -> dict:
     )
 
 
+def _measures(schema: T.StructType) -> dict[str, Column]:
+    """Aggregates that say how many rows there are, and of each column the nulls and, if it has an order, the bounds."""
+    out = {"rows": F.count(F.lit(1))}
+    for i, f in enumerate(schema.fields):
+        column = F.col(f"`{f.name}`")
+        out[f"nulls_{i}"] = F.count_if(column.isNull())
+        if isinstance(f.dataType, BOUNDED):
+            out[f"low_{i}"], out[f"high_{i}"] = F.min(column).cast("string"), F.max(column).cast("string")
+    return out
+
+
+def _stats_of(got: dict, schema: T.StructType) -> dict[str, list]:
+    return {f.name: [got[f"nulls_{i}"], got.get(f"low_{i}"), got.get(f"high_{i}")] for i, f in enumerate(schema.fields)}
+
+
+def _check_required(got: dict, schema: T.StructType, not_null: Sequence[str] = ()) -> None:
+    required = {*not_null, *required_columns(schema)}
+    bad = {f.name: got[f"nulls_{i}"] for i, f in enumerate(schema.fields) if f.name in required and got[f"nulls_{i}"]}
+    if bad:
+        raise ValueError(f"NULL in required columns: {bad}")
+
+
 def _merged_stats(old: dict, new: dict, schema: T.StructType, fewer: bool) -> dict:
     """Statistics of old and new rows together; where old rows may have gone (``fewer``), null counts are not known."""
     out = {}

@@ -479,6 +479,24 @@ def partition_write(spark, sf):
     return shelf.read("events").filter("month = 1").select("event_id", "year", "month", "event_type")
 
 
+@query(
+    "add_files",
+    """SELECT c_custkey, c_name, CASE WHEN c_custkey % 2 = 0 THEN c_acctbal END AS c_acctbal, true AS refers_to_them
+    FROM customer WHERE c_custkey % 10 <> 4""",
+)
+def add_files(spark, sf):
+    """Files written elsewhere, with a column less and one more, become part of a dataset without a copy."""
+    shelf, customer = new_shelf(spark), table(spark, sf, "customer").select("c_custkey", "c_name", "c_acctbal")
+    shelf.publish(customer.filter("c_custkey % 2 = 0"), "customer")
+    outside = fresh_folder(spark, "outside")
+    odd = customer.filter("c_custkey % 2 <> 0").withColumn("loaded", F.lit("today")).drop("c_acctbal")
+    odd.write.parquet(outside)
+    shelf.add_files("customer", [outside], allow_missing=True, ignore_extra=True)
+    shelf.delete_where("customer", F.col("c_custkey") % 10 == 4)
+    held = shelf.files("customer").filter(F.col("data_file").contains("/outside")).count()
+    return shelf.read("customer").withColumn("refers_to_them", F.lit(held > 0))
+
+
 @query("list_files", "SELECT true AS has_files, true AS all_parquet, true AS all_sized, (SELECT count(*) FROM lineitem) AS rows_held")
 def list_files(spark, sf):
     folder = _lineitem_files(spark, sf)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from datashelf.operators import changes as ch
+from datashelf.operators.evolve import SchemaMismatch, set_not_null
 from datashelf.operators.rows import TOP_ROWS, Pages
 from datashelf.plans import maintain as mt
 from datashelf.plans.refresh import Spatial, WrongGeometryType, publish_spatial
@@ -205,3 +206,49 @@ def test_work_folders_are_below_one_folder():
     Spark.sparkContext._jvm = type("jvm", (), {"org": org})
     assert work_folder(Spark) == "/shared/datashelf-app-1" and fresh_folder(Spark, "x").startswith("/shared/datashelf-app-1/x-")
     assert remove_work(Spark) and Spark.removed == ["/shared/datashelf-app-1", True]
+
+
+def test_added_files_stay_where_they_are(spark, shelf):
+    schema = "id long, kind long, state string"
+    shelf.publish(spark.createDataFrame([(1, 1, "a"), (2, 2, "b")], schema), "added")
+    outside = fresh_folder(spark, "outside")
+    spark.range(10, 50).select(F.col("id"), F.col("id").cast("int").alias("kind"), F.lit(0).alias("more")).repartition(2).write.parquet(outside)
+    with pytest.raises(SchemaMismatch):
+        shelf.add_files("added", [outside], allow_missing=True)
+    with pytest.raises(SchemaMismatch):
+        shelf.add_files("added", [outside], ignore_extra=True)
+    assert shelf.add_files("added", [outside], allow_missing=True, ignore_extra=True, message="more") == 2
+    want = Counter([(1, 1, "a"), (2, 2, "b"), *[(i, i, None) for i in range(10, 50)]])
+    assert counted(shelf.read("added")) == want and shelf._entry("added")["row_count"] == 42
+    assert shelf.read("added", 1).count() == 2
+    bounds = {r["column_name"]: tuple(r)[1:] for r in shelf.column_bounds("added").collect()}
+    assert bounds == {"id": (0, "1", "49"), "kind": (0, "1", "49"), "state": (40, None, None)}
+    held = {f for f in files(shelf, "added", 2) if "outside" in f}
+    assert len(held) == 2
+    feed = shelf.table_changes("added", 2, 2)
+    assert feed.count() == 40 and all("outside" in f for f in feed.inputFiles())
+    with pytest.raises(ValueError, match="already part"):
+        shelf.add_files("added", [outside])
+    shelf.delete_where("added", F.col("id") == 10)
+    assert counted(shelf.read("added")) == want - Counter([(10, 10, None)])
+    assert mt.compact(shelf, "added") is not None  # copies them in
+    assert not [f for f in files(shelf, "added") if "outside" in f]
+    mt.expire(shelf, versions=[1, 2, 3], name="added", dry_run=False)
+    assert spark.read.parquet(outside).count() == 40  # not the shelf's to delete
+    assert counted(shelf.read("added")) == want - Counter([(10, 10, None)])
+
+
+def test_files_that_do_not_fit_are_refused(spark, shelf):
+    df = spark.createDataFrame([(1, "a")], "id long, state string")
+    shelf.publish(set_not_null(df, "state"), "strict")
+    wrong, empty, nested = (fresh_folder(spark, x) for x in ("wrong", "empty", "nested"))
+    spark.createDataFrame([("x", "a")], "id string, state string").write.parquet(wrong)
+    spark.createDataFrame([(2, None)], "id long, state string").write.parquet(empty)
+    df.write.parquet(f"{nested}/below")
+    for folder, error in ((wrong, SchemaMismatch), (empty, ValueError), (nested, ValueError)):
+        with pytest.raises(error):
+            shelf.add_files("strict", [folder])
+    assert shelf.current_version("strict") == 1
+    shelf.publish(df, "by_state", partition_by=["state"])
+    with pytest.raises(ValueError, match="partition columns"):
+        shelf.add_files("by_state", [empty])
