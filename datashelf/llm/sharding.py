@@ -6,17 +6,27 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 from pyspark.sql.window import Window
 
 from datashelf.llm.common import PLACE_BITS, keyed, ranked, stored
 
-TEXT_POSITION_BYTES = 6  # 48 bits: exact as a double
+BROADCAST_BYTES = 16 << 20
 
 
-def text_position(column: str | Column) -> Column:
-    """A number that orders texts as their first bytes do (null: -1)."""
-    head = F.hex(F.substring(F.encode(column, "UTF-8"), 1, TEXT_POSITION_BYTES))
-    return F.coalesce(F.conv(F.rpad(head, 2 * TEXT_POSITION_BYTES, "0"), 16, 10).cast("double"), F.lit(-1.0))
+def text_positions(rows: DataFrame, column: str) -> DataFrame:
+    """Put the place of each text among the column's distinct texts (null: -1) for the text itself.
+
+    Whole texts count, however long they begin alike. The distinct ones are sorted over range partitions; they are
+    broadcast only if they and their places take at most ``BROADCAST_BYTES``.
+    """
+    texts = rows.filter(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("rows_")).select(column)
+    places = ranked(texts, [], [column], "place_of_text")
+    places = stored(places.select(column, F.col("place_of_text").cast("double")), "texts")
+    if (places.agg(F.sum(F.octet_length(column) + 32)).first()[0] or 0) <= BROADCAST_BYTES:
+        places = F.broadcast(places)
+    position = F.coalesce("place_of_text", F.lit(-1.0)).alias(column)
+    return rows.join(places, column, "left").select(*[position if c == column else F.col(c) for c in rows.columns])
 
 
 def number_position(column: str | Column) -> Column:
@@ -41,7 +51,8 @@ def kd_shards(
     the dimension in which its rows spread widest (as a share of that dimension's spread over all rows; ties: the first
     named), at the weighted median of the sizes, or at the share of leaves to the left where their number is odd.
     Rows of equal value are told apart by id, then by place in the input, so any number of equal rows is divided and
-    sizes differ by little more than one row.
+    sizes differ by little more than one row. Dimensions are numbers, or texts, which count by their places in the
+    order of the distinct ones.
 
     An empty table gives no rows; rows with null ids or values are placed like any other (nulls first); repeated rows
     are rows of their own; other columns are not looked at.
@@ -60,6 +71,11 @@ def kd_shards(
         ),
         "kd",
     )
+    texts = [f"d{i}" for i in range(len(names)) if isinstance(rows.schema[f"d{i}"].dataType, StringType)]
+    if texts:
+        for column in texts:
+            rows = text_positions(rows, column)
+        rows = stored(rows, "kd-places")
     spans = [F.max(f"d{i}") - F.min(f"d{i}") for i in range(len(names))]
     whole = rows.agg(F.sum("size").alias("total"), *[s.alias(f"w{i}") for i, s in enumerate(spans)]).first()
     if shards is None:
@@ -118,7 +134,7 @@ def shard_documents(docs: DataFrame, shards: int = 8) -> DataFrame:
     text = F.encode(F.coalesce(F.col("text"), F.lit("")), "UTF-8")
     placed = kd_shards(
         docs,
-        {"lang": text_position("lang"), "source": text_position("source"), "n_chars": number_position("n_chars")},
+        {"lang": F.col("lang"), "source": F.col("source"), "n_chars": number_position("n_chars")},
         F.octet_length(text) + 1,
         shards=shards,
         carry={"text_crc32": F.crc32(text)},
