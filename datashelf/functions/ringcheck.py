@@ -1,4 +1,5 @@
-"""Row-local geometry checks on Arrow batches: finite, closed, long enough, nested well, no clash between few segments."""
+"""Row-local geometry checks on Arrow batches: finite, closed, long enough, nested well, no clash between few segments,
+interiors in one piece."""
 
 from __future__ import annotations
 
@@ -39,6 +40,49 @@ def clashing_pairs(a, b, ring, k, n, p, q) -> np.ndarray:
     return result
 
 
+def touching(a, b, p, q) -> tuple[np.ndarray, np.ndarray]:
+    """Ends of one segment of a pair that lie on the other: (index into the pairs, points)."""
+    low, high = np.minimum(a, b), np.maximum(a, b)
+    which, points = [], []
+    for end, one, other in ((a, p, q), (b, p, q), (a, q, p), (b, q, p)):
+        c = end[one]
+        held = ((c >= low[other]) & (c <= high[other])).all(axis=1) & (_turn(*a[other].T, *b[other].T, *c.T) == 0)
+        which.append(np.flatnonzero(held))
+        points.append(c[held])
+    return np.concatenate(which), np.concatenate(points)
+
+
+def cut_apart(touches) -> set:
+    """Owners whose interior falls apart, from (owner, part, ring, x, y), one for each ring at each point of contact.
+
+    Rings of a part that neither cross nor share a stretch leave its interior in one piece as long as rings and points
+    of contact make no circle; a touch between a ring and a point that hang together already closes one.
+    """
+    parent, cut = {}, set()
+
+    def root(node):
+        while parent.setdefault(node, node) != node:
+            parent[node] = parent[parent[node]]
+            node = parent[node]
+        return node
+
+    for owner, part, ring, x, y in set(touches):
+        one, other = root((owner, part, ring)), root((owner, part, x, y))
+        if one == other:
+            cut.add(owner)
+        parent[one] = other
+    return cut
+
+
+def cut_apart_rows(touches: pa.Array) -> pa.Array:
+    """Whether the touches (list of part, ring, x, y) of each row cut an interior apart."""
+    rows = np.repeat(np.arange(len(touches)), np.diff(touches.offsets.to_numpy()))
+    first, last = touches.offsets[0].as_py(), touches.offsets[-1].as_py()
+    part, ring, x, y = (c.to_numpy(zero_copy_only=False) for c in touches.values[first:last].flatten())
+    cut = cut_apart(zip(rows.tolist(), part.tolist(), ring.tolist(), x.tolist(), y.tolist()))
+    return pa.array([i in cut for i in range(len(touches))], pa.bool_())
+
+
 def _ray(xy, start, n_edges, points) -> np.ndarray:
     """1 inside, 0 on, -1 outside, per point and ring, by counting crossings of a ray to the right."""
     out = np.empty(len(points), "int8")
@@ -185,6 +229,9 @@ def row_status(shapes: pa.Array, in_row: int) -> pa.Array:
     k = np.arange(len(ring)) - first_of_ring
     place = np.arange(len(ring)) - np.searchsorted(geometry, geometry)
     partners = np.where(large[geometry], 0, total[geometry] - 1 - place)
+    ring_part = np.repeat(np.arange(len(ring_of_part)), ring_of_part)
+    part = ring_part[ring]
+    touches = []
     edges = np.concatenate([[0], np.cumsum(partners)])
     start = 0
     while start < len(ring):
@@ -193,12 +240,19 @@ def row_status(shapes: pa.Array, in_row: int) -> pa.Array:
         p = np.repeat(np.arange(start, stop), here)
         q = p + 1 + np.arange(len(p)) - np.repeat(edges[start:stop] - edges[start], here)
         bad[geometry[p[clashing_pairs(a, b, ring, k, size, p, q)]]] = True
+        several = (part[p] == part[q]) & (ring[p] != ring[q])
+        p, q = p[several], q[several]
+        which, points_of = touching(a, b, p, q)
+        x, y = points_of.T
+        for end in (p, q):
+            s = end[which]
+            touches += zip(geometry[s].tolist(), part[s].tolist(), ring[s].tolist(), x.tolist(), y.tolist())
         start = stop
+    bad[list(cut_apart(touches))] = True
     rings_of = np.bincount(ring_owner, minlength=count)
     ring_end = np.cumsum(rings_of)
     several = np.flatnonzero(polygonal & ~bad & (rings_of > 1))
     if len(several):
-        ring_part = np.repeat(np.arange(len(ring_of_part)), ring_of_part)
         ring_place = np.arange(len(length)) - np.searchsorted(ring_part, ring_part)
         spans = [(ring_end[g] - rings_of[g], ring_end[g]) for g in several]
         # Empty rings cannot occur here, but other geometries of the batch may have them.

@@ -2,7 +2,7 @@
 
 Valid means: finite coordinates; lines with two distinct vertices; rings closed, with at least four vertices and no
 self-contact; no two rings of a geometry crossing or sharing a stretch; holes inside their shell and not inside each
-other; parts not inside each other. (Not checked: whether holes that touch in several points cut the interior apart.)
+other; parts not inside each other; every part's interior in one piece (rings that touch make no circle).
 
 Geometries with few segments are tested inside their row, whole batches at a time. Larger ones are cut into segments, which meet only within
 cells of a grid laid over their own geometry, so that no task sees a whole large geometry and no pair list is kept.
@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from datashelf.functions.geometry import to_multi
-from datashelf.functions.ringcheck import INVALID, LARGE, row_status
+from datashelf.functions.ringcheck import INVALID, LARGE, cut_apart_rows, row_status
 from datashelf.functions.wkb import decode_wkb, multi_wkb
 
 IN_ROW_SEGMENTS = 128
@@ -38,9 +38,10 @@ def _overlap(axis: str) -> str:
     )
 
 
-# Segments s and t (struct<a,b,ring,k,n>: end points, ring number, position in the ring, ring size) of one polygonal
+# Segments s and t (struct<a,b,part,ring,k,n>: end points, part, ring number, position in the ring, ring size) of one polygonal
 # geometry may not stand together. The same rule as ``ringcheck.clashing_pairs``, for the join. The one-element array
 # names the turns, so that each is computed once.
+NEAR = f"""{_overlap("x")} >= 0 AND {_overlap("y")} >= 0"""
 CLASH = f"""{_overlap("x")} >= 0 AND {_overlap("y")} >= 0 AND exists(
   array(named_struct('t1', {_turn("s.a", "s.b", "t.a")}, 't2', {_turn("s.a", "s.b", "t.b")},
     't3', {_turn("t.a", "t.b", "s.a")}, 't4', {_turn("t.a", "t.b", "s.b")})),
@@ -51,12 +52,25 @@ CLASH = f"""{_overlap("x")} >= 0 AND {_overlap("y")} >= 0 AND exists(
     ELSE (v.t1 * v.t2 < 0 AND v.t3 * v.t4 < 0)
       OR (v.t1 = 0 AND v.t2 = 0 AND ({_overlap("x")} > 0 OR {_overlap("y")} > 0)) END)"""
 
+
+def _ends_on(s: str, t: str) -> str:
+    """Ends of segment t that lie on segment s."""
+    within = " AND ".join(f"c.{v} BETWEEN least({s}.a.{v}, {s}.b.{v}) AND greatest({s}.a.{v}, {s}.b.{v})" for v in "xy")
+    return f"filter(array({t}.a, {t}.b), c -> {_turn(f'{s}.a', f'{s}.b', 'c')} = 0 AND {within})"
+
+
+# Where rings of one part touch: (part, ring, x, y) for either ring.
+TOUCHES = f"""IF(s.part = t.part AND s.ring <> t.ring, flatten(transform(concat({_ends_on("s", "t")}, {_ends_on("t", "s")}), c -> array(
+  named_struct('part', s.part, 'ring', s.ring, 'x', c.x, 'y', c.y),
+  named_struct('part', t.part, 'ring', t.ring, 'x', c.x, 'y', c.y)))), array())"""
+
 # All segments of all rings of the column ``parts``, repeated vertices skipped.
 SEGMENTS = """flatten(transform(
-  transform(flatten(parts), ring -> filter(ring, (v, i) -> i = 0 OR v.x <> ring[i - 1].x OR v.y <> ring[i - 1].y)),
+  flatten(transform(parts, (rings, p) -> transform(rings, ring -> named_struct(
+    'part', p, 'line', filter(ring, (v, i) -> i = 0 OR v.x <> ring[i - 1].x OR v.y <> ring[i - 1].y))))),
   (ring, r) -> transform(
-    zip_with(slice(ring, 1, size(ring) - 1), slice(ring, 2, size(ring) - 1), (a, b) -> named_struct('a', a, 'b', b)),
-    (e, k) -> named_struct('a', e.a, 'b', e.b, 'ring', r, 'k', k, 'n', size(ring) - 1))))"""
+    zip_with(slice(ring.line, 1, size(ring.line) - 1), slice(ring.line, 2, size(ring.line) - 1), (a, b) -> named_struct('a', a, 'b', b)),
+    (e, k) -> named_struct('a', e.a, 'b', e.b, 'part', ring.part, 'ring', r, 'k', k, 'n', size(ring.line) - 1))))"""
 
 
 def _row_status(in_row: int):
@@ -67,8 +81,16 @@ def _row_status(in_row: int):
     return status
 
 
+@F.arrow_udf(T.BooleanType())
+def _cut_apart(touches: pa.Array) -> pa.Array:
+    return cut_apart_rows(touches)
+
+
 def _large_clashes(large: DataFrame, ids: Sequence[str]) -> DataFrame:
-    """Ids of large geometries with clashing segments, found by a join on grid cells."""
+    """Ids of large geometries with clashing segments or an interior cut apart, found by a join on grid cells.
+
+    The points at which rings touch are gathered by geometry, all of whose vertices one row holds.
+    """
     # posexplode_outer: a large geometry always has segments, so no filter on their number need be inferred.
     renamed = {c: f"__id{n}" for n, c in enumerate(ids)}  # apart from the working columns below
     back, large = {v: k for k, v in renamed.items()}, large.withColumnsRenamed(renamed)
@@ -103,8 +125,15 @@ def _large_clashes(large: DataFrame, ids: Sequence[str]) -> DataFrame:
     p = cells.alias("p")
     q = cells.withColumnsRenamed({"s": "t", "i": "j"}).alias("q")
     meet = [F.col(f"p.{c}") == F.col(f"q.{c}") for c in (*ids, "cx", "cy")]
-    pairs = p.join(q, [*meet, F.col("i") < F.col("j"), F.expr(CLASH)], "inner")
-    return pairs.select(*[F.col(f"p.{c}").alias(back[c]) for c in ids]).distinct()
+    pairs = p.join(q, [*meet, F.col("i") < F.col("j"), F.expr(f"({CLASH}) OR ({NEAR} AND size({TOUCHES}) > 0)")], "inner")
+    found = pairs.select(
+        *[F.col(f"p.{c}").alias(back[c]) for c in ids], F.expr(CLASH).alias("clash"), F.explode_outer(F.expr(TOUCHES)).alias("touch")
+    )
+    names = [back[c] for c in ids]
+    by_geometry = found.groupBy(*names).agg(
+        F.max("clash").alias("clash"), F.collect_set(F.when(~F.col("clash"), F.col("touch"))).alias("touches")
+    )
+    return by_geometry.filter(F.col("clash") | _cut_apart("touches")).select(*names)
 
 
 def may_be_large(wkb: Column, in_row: int = IN_ROW_SEGMENTS) -> Column:

@@ -148,6 +148,28 @@ def geo_is_valid(spark, sf):
     return flag_valid(decoded, "shape", ["area_id"], large_hint=F.col("long")).select("area_id", "geom_valid")
 
 
+@query("geo_interior", "SELECT c_custkey AS area_id, c_custkey % 4 AS touches, c_custkey % 4 < 3 AS valid_in_row, c_custkey % 4 < 3 AS valid_joined FROM customer")
+def geo_interior(spark, sf):
+    """Areas with two holes that touch nothing, each other, the left side too, or both sides, which cuts them apart;
+    checked within rows and by the join of segments."""
+    placed = I.table(spark, sf, "customer").selectExpr(
+        "c_custkey AS area_id", "c_custkey % 4 AS touches", "300000 + (c_custkey * 37) % 30000 AS x",
+        "150000 + (c_custkey * 91) % 30000 AS y", "100 + c_custkey % 50 * 10 AS w", "50 + c_custkey % 50 * 5 AS h",
+    )
+    corner = "named_struct('x', CAST({} AS DOUBLE), 'y', CAST({} AS DOUBLE))"
+    hole = "array({})".format(
+        ", ".join(corner.format(*c) for c in [("{0}", "y + h / 2"), ("({0} + {1}) / 2", "y + h / 4"), ("{1}", "y + h / 2"),
+                                              ("({0} + {1}) / 2", "y + h * 3 / 4"), ("{0}", "y + h / 2")])
+    )
+    shell = "array({})".format(", ".join(corner.format(*c) for c in [("x", "y"), ("x + w", "y"), ("x + w", "y + h"), ("x", "y + h"), ("x", "y")]))
+    left = hole.format("IF(touches >= 2, x, x + 1)", "(x + w / 2)")
+    right = hole.format("IF(touches >= 1, x + w / 2, x + w / 2 + 1)", "IF(touches = 3, x + w, x + w - 1)")
+    shaped = placed.selectExpr("area_id", "touches", f"named_struct('type', 'POLYGON', 'parts', array(array({shell}, {left}, {right}))) AS shape")
+    here = flag_valid(shaped, "shape", ["area_id"], flag="valid_in_row")
+    both = flag_valid(here, "shape", ["area_id"], flag="valid_joined", in_row=8)
+    return both.select("area_id", "touches", "valid_in_row", "valid_joined")
+
+
 @query("geo_type_count", f"SELECT CASE WHEN twice THEN 'MULTIPOLYGON' ELSE 'POLYGON' END AS geometry_type, count(*) AS n FROM ({I.AREAS}) GROUP BY 1")
 def geo_type_count(spark, sf):
     """From the WKB header alone; nothing is decoded."""

@@ -33,6 +33,11 @@ def circle(n, r=10.0):
     return points + points[:1]
 
 
+def diamond(x, y, r):
+    return [(x, y - r), (x + r, y), (x, y + r), (x - r, y), (x, y - r)]
+
+
+DIAMONDS = [diamond(2, 2, 1), diamond(4, 2, 1), diamond(4, 4, 1), diamond(2, 4, 1)]
 TWISTED = circle(300)
 TWISTED[10], TWISTED[150] = TWISTED[150], TWISTED[10]
 SPIKY = [(p[0] * (1 if i % 2 else 0.05), p[1] * (1 if i % 2 else 0.05)) for i, p in enumerate(circle(1000)[:-1])]
@@ -56,6 +61,13 @@ CASES = [
     ("spike", polygon([(0, 0), (4, 0), (4, 4), (4, 0), (0, 4), (0, 0)]), False, None),
     ("repeated vertex", polygon([(0, 0), (1, 0), (1, 0), (1, 1), (0, 1), (0, 0)]), True, 1.0),
     ("not finite", polygon([(0, 0), (float("nan"), 0), (1, 1), (0, 0)]), False, None),
+    ("holes in a ring", polygon(box(0, 0, 9, 9), *DIAMONDS), False, None),
+    ("holes in a chain", polygon(box(0, 0, 9, 9), *DIAMONDS[:3]), True, None),
+    ("two holes from side to side", polygon(box(0, 0, 8, 8), diamond(2, 4, 2), diamond(6, 4, 2)), False, None),
+    ("two holes, one at the side", polygon(box(0, 0, 9, 8), diamond(2, 4, 2), diamond(6, 4, 2)), True, None),
+    ("hole at the shell in three points", polygon(box(0, 0, 4, 4), diamond(2, 2, 2)[:3] + [(1, 2), (2, 0)]), False, None),
+    ("holes that meet in one point of the shell", polygon(box(0, 0, 8, 8), [(0, 4), (3, 3), (3, 2), (0, 4)], [(0, 4), (3, 6), (3, 5), (0, 4)]), True, None),
+    ("parts that touch twice", multi(polygon([(0, 0), (4, 0), (2, 2), (4, 4), (0, 4), (0, 0)]), polygon([(4, 0), (5, 2), (4, 4), (4.5, 2), (4, 0)])), True, None),
     ("circle", polygon(circle(300)), True, None),
     ("twisted circle", polygon(TWISTED), False, None),
     ("spiky", polygon(SPIKY), True, None),
