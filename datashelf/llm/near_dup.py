@@ -8,7 +8,7 @@ from contextlib import contextmanager
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from datashelf.llm.common import components, few, keyed, stored
@@ -17,6 +17,7 @@ WORDS = 5
 BANDS = 32
 ROWS = 4
 SMALL_BUCKET = 16
+SKETCH_WORDS = 16  # of 64 bits
 PAIRS_AT_A_TIME = 64  # of two whole texts each, in a Python worker's memory
 MULTIPLIER = np.uint64(0x9E3779B97F4A7C15)
 CACHED_WORDS = 50_000
@@ -178,32 +179,48 @@ def shingler(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield pa.record_batch([pa.array(np.full(len(found), node)), pa.array(found)], names=["node", "x"])
 
 
+def _sketch() -> Column:
+    """1024 bits of a set of hashes: for each class of hashes whether the set holds an odd number of it."""
+    bit = F.expr("shiftleft(1L, cast(shiftright(x, 4) & 63 as int))")
+    word = F.pmod("x", F.lit(SKETCH_WORDS))
+    return F.array(*[F.coalesce(F.bit_xor(F.when(word == i, bit)), F.lit(0).cast("long")) for i in range(SKETCH_WORDS)])
+
+
+def _apart(x: str, y: str) -> Column:
+    """The bits in which two sketches differ: each of them takes a hash that only one of the sets holds."""
+    return sum((F.bit_count(F.col(x)[i].bitwiseXOR(F.col(y)[i])) for i in range(SKETCH_WORDS)), F.lit(0))
+
+
 def _prefix_pairs(nodes: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Candidates among (stored) nodes (node, label, n), without loss: pairs of different classes that share a shingle among
     the rarest of both, at places that leave enough shingles after it.
 
     Shingles are ordered by how many of the nodes hold them. Two sets that are near share one of the first
     n - percent * n / 100 + 1 of either; the first one that they share leaves at most the rest of the smaller one to share.
+    In a group of copies that differ in a few words each, nearly all pairs meet so. There the sketches decide: sets that differ
+    in too many bits have too many shingles apart.
     """
     own = texts.withColumnRenamed("row", "node").join(few(nodes.select("node")), "node", "left_semi")
     shingles = stored(own.mapInArrow(shingler, "node long, x long"), "shingles")
     held = shingles.groupBy("x").agg(F.count(F.lit(1)).alias("f"))
-    in_order = (
-        shingles.join(held, "x").groupBy("node").agg(F.sort_array(F.collect_list(F.struct("f", "x"))).alias("all")).join(nodes, "node")
-    )
+    sorted_ = F.sort_array(F.collect_list(F.struct("f", "x")))
+    in_order = shingles.join(held, "x").groupBy("node").agg(sorted_.alias("all"), _sketch().alias("sketch")).join(nodes, "node")
     length = (F.col("n") - F.ceil(F.col("n") * percent / 100) + 1).cast("int")
-    first = in_order.select("node", "label", "n", F.posexplode(F.slice("all", F.lit(1), length)).alias("at", "s"))
-    first = stored(first.filter("s.f > 1").select(F.col("s.x").alias("x"), "node", "label", "n", "at"), "prefixes")
+    first = in_order.select("node", "label", "n", "sketch", F.posexplode(F.slice("all", F.lit(1), length)).alias("at", "s"))
+    first = stored(first.filter("s.f > 1").select(F.col("s.x").alias("x"), "node", "label", "n", "at", "sketch"), "prefixes")
     sizes = first.groupBy("x", "label").agg(F.count(F.lit(1)).alias("size"))
     classes = sizes.groupBy("x").agg(F.max_by("label", F.struct("size", "label")).alias("largest"), F.count(F.lit(1)).alias("k"))
     first = stored(first.join(classes.filter("k > 1").select("x", "largest"), "x"), "mixed")
     # A pair of different classes has an end outside the largest class of those that hold its shingle.
     outside = first.filter(F.col("label") != F.col("largest")).select(
-        "x", F.col("node").alias("other"), F.col("label").alias("of"), F.col("n").alias("size"), F.col("at").alias("place")
-    )
+        "x", F.col("node").alias("other"), F.col("label").alias("of"), F.col("n").alias("size"), F.col("at").alias("place"),
+        F.col("sketch").alias("bits"),
+    )
     left = F.least(F.col("n") - F.col("at"), F.col("size") - F.col("place"))
-    near = (100 + percent) * left >= percent * (F.col("n") + F.col("size"))
-    pairs = first.join(outside, "x").filter((F.col("label") != F.col("of")) & near)
+    both = F.col("n") + F.col("size")
+    near = (100 + percent) * left >= percent * both
+    close = (100 + percent) * (both - _apart("sketch", "bits")) >= 2 * percent * both
+    pairs = first.join(outside, "x").filter((F.col("label") != F.col("of")) & near & close)
     return pairs.select(*_pair("node", "other")).distinct()
 
 

@@ -6,7 +6,7 @@ import numpy as np
 from conftest import as_files, prose
 
 from datashelf.llm.common import components
-from datashelf.llm.near_dup import WordHashes, near_duplicates, shingle_set
+from datashelf.llm.near_dup import WordHashes, _prefix_pairs, near_duplicates, shingle_set
 
 
 def shingles(text):
@@ -78,6 +78,22 @@ def test_link_within_large_buckets_of_other_classes(spark):
     check(as_files(spark.createDataFrame(rows, "doc_id long, text string")), rows)
 
 
+def test_copies_that_are_not_near_each_other_are_no_candidates(spark):
+    """200 copies of a text with four words changed in each, of which few pairs are near: 19,900 pairs share rare shingles."""
+    rng, rows, base = random.Random(6), [], prose(11, 150).split()
+    for i in range(200):
+        changed = list(base)
+        for at in rng.sample(range(30), 4) if i < 20 else rng.sample(range(150), 4):
+            changed[at] = f"other{i}-{at}"
+        rows.append((i, " ".join(changed)))
+    sets = [shingles(t) for _, t in rows]
+    links = {(i, j) for j in range(200) for i in range(j) if 100 * len(sets[i] & sets[j]) >= 75 * len(sets[i] | sets[j])}
+    nodes = as_files(spark.createDataFrame([(i, i, len(s)) for i, s in enumerate(sets)], "node long, label long, n long"))
+    texts = as_files(spark.createDataFrame(rows, "row long, text string"))
+    found = {tuple(r) for r in _prefix_pairs(nodes, texts, 75).collect()}
+    assert links and links <= found and len(found) < len(links) + 200
+
+
 def test_shingles_are_exact():
     with np.errstate(over="ignore"):
         assert len(shingle_set("A b c d e f A B C D E F", WordHashes())) == 6
