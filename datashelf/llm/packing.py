@@ -27,6 +27,7 @@ LONE_SPACE = re.compile(r"(?<=\S) (?=\S)")
 # How they write bytes: printable ones as themselves, the others as the characters from 256 on.
 PRINTABLE = {*range(33, 127), *range(161, 173), *range(174, 256)}
 BYTE_SIGNS = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in PRINTABLE)}
+SPACE_SIGN = BYTE_SIGNS[32]
 
 
 class Encoder:
@@ -49,7 +50,10 @@ class Encoder:
 
     def token(self, text: str) -> bytes:
         """A pre-token."""
-        mapped = text.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_SIGNS)
+        if text.isascii() and text.isprintable():  # of these bytes, only the space is not written as itself
+            mapped = text.replace(" ", SPACE_SIGN)
+        else:
+            mapped = text.encode("utf-8", "surrogatepass").decode("latin-1").translate(BYTE_SIGNS)
         return pack_ids([t.id for t in self.tokenizer.model.tokenize(mapped)])
 
     def apart(self, text: str) -> bytes:
