@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-import re
+import string
 from collections import Counter
 from collections.abc import Iterator
 from zlib import crc32
@@ -17,12 +17,14 @@ from pyspark.sql.window import Window
 
 from datashelf.llm.common import stored
 
-PIECE_END = re.compile(rb"[.,;:!?\x0A-\x0D]")
+ENDS = b".,;:!?\x0A\x0B\x0C\x0D"
+LOWERED = bytes.maketrans(string.ascii_uppercase.encode() + ENDS, string.ascii_lowercase.encode() + b"\n" * len(ENDS))
 TRIGGER_EVERY = 16  # a word in so many, on average, ends a chunk
 BLOCK_BYTES = 4 << 20  # of the dictionary, counted at a time in a task
 ROWS_OUT = 50_000
 CACHED_WORDS = 300_000
 WORDS_AT_A_TIME = 1_000_000
+WORDS_AT_ONCE = 20_000  # of a language, put into its counts in one step
 TEXTS_AT_A_TIME = 250
 FILTER_BITS = 1 << 27  # 16 MB, whatever the number of phrases: more phrases than bits only mean that fewer are ruled out early
 UNKNOWN = "und"
@@ -48,7 +50,7 @@ def chunks(words: list[bytes], overlap: int, every: int) -> Iterator[tuple[bytes
 def pieces(batch: pa.RecordBatch) -> Iterator[tuple[str, list[bytes]]]:
     """(language, words) of each piece of each text."""
     for lang, text in zip(batch.column("lang").to_pylist(), batch.column("text").to_pylist()):
-        for piece in PIECE_END.split(text.encode("utf-8", "surrogatepass").lower()) if text else ():
+        for piece in text.encode("utf-8", "surrogatepass").translate(LOWERED).split(b"\n") if text else ():
             words = piece.split()  # at spaces and tabs: other white space has ended the piece
             if words:
                 yield lang, words
@@ -66,15 +68,26 @@ def count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         counted: dict[str, Counter] = {}
+        held: dict[str, list[bytes]] = {}
         size = 0
-        for lang, words in pieces(batch):
-            of = counted.setdefault(lang, Counter())
+
+        def put(lang: str) -> None:
+            words, of = held.pop(lang), counted.setdefault(lang, Counter())
             of.update(words)
             of[TOTAL.encode()] += len(words)
+
+        for lang, words in pieces(batch):
+            held.setdefault(lang, []).extend(words)
             size += len(words)
+            if len(held[lang]) >= WORDS_AT_ONCE:
+                put(lang)
             if size >= WORDS_AT_A_TIME:
+                for x in list(held):
+                    put(x)
                 yield told()
                 counted, size = {}, 0
+        for x in list(held):
+            put(x)
         yield told()
 
 
@@ -145,15 +158,26 @@ def parser(frequent: Filter, overlap: int, every: int):
             for begin in range(0, batch.num_rows, TEXTS_AT_A_TIME):
                 held = list(pieces(batch.slice(begin, TEXTS_AT_A_TIME)))
                 learn(held)
+                tails = {lang: b"\t" + lang.encode("utf-8", "surrogatepass") for lang in known}
+                found: list[bytes] = []
                 for lang, words in held:
-                    of, tail, start = known[lang], b"\t" + lang.encode("utf-8", "surrogatepass"), 0
-                    for end in [*[i for i, w in enumerate(words) if not of[w]], len(words)]:
-                        if end - start > 1:
+                    tail, good, start = tails[lang], list(map(known[lang].__getitem__, words)), 0
+                    ends = [i for i, x in enumerate(good) if not x] if False in good else []
+                    for end in [*ends, len(words)]:
+                        if 1 < end - start <= overlap + 1:  # too short to be cut
+                            found.append(b"1" + b" ".join(words[start:end]) + tail)
+                        elif end - start > 1:
                             for chunk, last in chunks(words[start:end], overlap, every):
-                                parsed[(b"1" if last else b"0") + chunk + tail] += 1
+                                found.append((b"1" if last else b"0") + chunk + tail)
                         start = end + 1
-                    if len(parsed) >= ROWS_OUT:
-                        yield told()
+                    if len(found) >= ROWS_OUT:
+                        parsed.update(found)
+                        found = []
+                        if len(parsed) >= ROWS_OUT:
+                            yield told()
+                parsed.update(found)
+                if len(parsed) >= ROWS_OUT:
+                    yield told()
         yield told()
 
     return parse
