@@ -8,6 +8,7 @@ import pyarrow as pa
 
 INVALID, VALID, LARGE = 0, 1, 2  # LARGE: fine so far, too many segments to compare within the row
 PAIRS_PER_STEP = 250_000
+FEW_RINGS = 32  # of a geometry: their boxes are compared each with each
 
 
 def _turn(ax, ay, bx, by, cx, cy):
@@ -52,12 +53,20 @@ def touching(a, b, p, q) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(which), np.concatenate(points)
 
 
-def cut_apart(touches) -> set:
-    """Owners whose interior falls apart, from (owner, part, ring, x, y), one for each ring at each point of contact.
+def cut_apart(owner, part, ring, x, y) -> set:
+    """Owners whose interior falls apart, from arrays of one entry for each ring at each point of contact.
 
     Rings of a part that neither cross nor share a stretch leave its interior in one piece as long as rings and points
     of contact make no circle; a touch between a ring and a point that hang together already closes one.
     """
+    columns = (owner, part, ring, x, y)
+    order = np.lexsort(columns[::-1])
+    columns = [c[order] for c in columns]
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = np.any([c[1:] != c[:-1] for c in columns], axis=0)
+    columns = [c[fresh] for c in columns]
+    # A circle takes two rings at two points, which are four touches.
+    _, which, count = np.unique(columns[0], return_inverse=True, return_counts=True)
     parent, cut = {}, set()
 
     def root(node):
@@ -66,7 +75,7 @@ def cut_apart(touches) -> set:
             node = parent[node]
         return node
 
-    for owner, part, ring, x, y in set(touches):
+    for owner, part, ring, x, y in zip(*(c[count[which] >= 4].tolist() for c in columns)):
         one, other = root((owner, part, ring)), root((owner, part, x, y))
         if one == other:
             cut.add(owner)
@@ -79,7 +88,7 @@ def cut_apart_rows(touches: pa.Array) -> pa.Array:
     rows = np.repeat(np.arange(len(touches)), np.diff(touches.offsets.to_numpy()))
     first, last = touches.offsets[0].as_py(), touches.offsets[-1].as_py()
     part, ring, x, y = (c.to_numpy(zero_copy_only=False) for c in touches.values[first:last].flatten())
-    cut = cut_apart(zip(rows.tolist(), part.tolist(), ring.tolist(), x.tolist(), y.tolist()))
+    cut = cut_apart(rows, part, ring, x, y)
     return pa.array([i in cut for i in range(len(touches))], pa.bool_())
 
 
@@ -154,27 +163,49 @@ def boxes_within(low, high) -> tuple[np.ndarray, np.ndarray]:
     return np.concatenate(found[0]), np.concatenate(found[1])
 
 
-def badly_nested(xy, first, length, ring_part, ring_place, spans) -> np.ndarray:
+def _held_boxes(low, high, begin, count) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(geometry, inner, outer) for boxes of the rings of one geometry that lie within each other.
+
+    The rings of geometry i are ``count[i]`` from ``begin[i]`` on. Few of them are compared each with each, many
+    geometries at a time.
+    """
+    found = [], [], []
+    few = np.flatnonzero(count <= FEW_RINGS)
+    sums = np.concatenate([[0], np.cumsum(count[few] ** 2)])
+    at = 0
+    while at < len(few):
+        to = max(at + 1, int(np.searchsorted(sums, sums[at] + PAIRS_PER_STEP, "right")) - 1)
+        square = count[few[at:to]] ** 2
+        owner, place = np.repeat(few[at:to], square), _ranges(np.zeros(to - at, int), square)
+        inner, outer = begin[owner] + place // count[owner], begin[owner] + place % count[owner]
+        held = (inner != outer) & (low[inner] >= low[outer]).all(axis=1) & (high[inner] <= high[outer]).all(axis=1)
+        for out, values in zip(found, (owner, inner, outer)):
+            out.append(values[held])
+        at = to
+    for g in np.flatnonzero(count > FEW_RINGS):
+        inner, outer = boxes_within(low[begin[g] : begin[g] + count[g]], high[begin[g] : begin[g] + count[g]])
+        for out, values in zip(found, (np.full(len(inner), g), inner + begin[g], outer + begin[g])):
+            out.append(values)
+    return tuple(np.concatenate(out) if out else np.empty(0, int) for out in found)
+
+
+def badly_nested(xy, first, length, ring_part, ring_place, begin, count) -> np.ndarray:
     """Which geometries have a hole outside its shell, a hole within a hole, or a part within a part.
 
-    ``ring_part`` and ``ring_place`` give a ring's part and its position there (0 is the shell); ``spans`` lists the
-    ring ranges of the geometries to look at. Only rings whose boxes lie within each other are compared.
+    ``ring_part`` and ``ring_place`` give a ring's part and its position there (0 is the shell); geometry i has the
+    ``count[i]`` rings from ``begin[i]`` on. Only rings whose boxes lie within each other are compared.
     """
     low = np.minimum.reduceat(xy, first) if len(first) else xy
     high = np.maximum.reduceat(xy, first) if len(first) else xy
-    pairs = []
-    for g, (begin, end) in enumerate(spans):
-        inner, outer = boxes_within(low[begin:end], high[begin:end])
-        pairs.append(np.column_stack([np.full(len(inner), g), inner + begin, outer + begin]))
-    owner, inner, outer = np.concatenate(pairs).T if pairs else np.empty((3, 0), int)
+    owner, inner, outer = _held_boxes(low, high, begin, count)
     place = _places(xy, first, length, inner, outer)
     hole_in, hole_out = ring_place[inner] > 0, ring_place[outer] > 0
     same_part = ring_part[inner] == ring_part[outer]
-    bad = np.zeros(len(spans), bool)
+    bad = np.zeros(len(begin), bool)
     # A hole belongs in the shell of its part.
-    homed = {r for r in inner[hole_in & ~hole_out & same_part & (place >= 0)].tolist()}
-    for g, (begin, end) in enumerate(spans):
-        bad[g] = any(ring_place[r] > 0 and r not in homed for r in range(begin, end))
+    lost = ring_place > 0
+    lost[inner[hole_in & ~hole_out & same_part & (place >= 0)]] = False
+    bad[np.repeat(np.arange(len(begin)), count)[lost[_ranges(begin, count)]]] = True
     bad[owner[hole_in & hole_out & same_part & (place > 0)]] = True
     # A part may lie within another one only where that has a hole.
     shells = ~hole_in & ~same_part
@@ -231,6 +262,7 @@ def row_status(shapes: pa.Array, in_row: int) -> pa.Array:
     partners = np.where(large[geometry], 0, total[geometry] - 1 - place)
     ring_part = np.repeat(np.arange(len(ring_of_part)), ring_of_part)
     part = ring_part[ring]
+    low, high = np.minimum(a, b), np.maximum(a, b)
     touches = []
     edges = np.concatenate([[0], np.cumsum(partners)])
     start = 0
@@ -242,25 +274,26 @@ def row_status(shapes: pa.Array, in_row: int) -> pa.Array:
         bad[geometry[p[clashing_pairs(a, b, ring, k, size, p, q)]]] = True
         several = (part[p] == part[q]) & (ring[p] != ring[q])
         p, q = p[several], q[several]
+        near = ((high[p] >= low[q]) & (high[q] >= low[p])).all(axis=1)
+        p, q = p[near], q[near]
         which, points_of = touching(a, b, p, q)
-        x, y = points_of.T
         for end in (p, q):
             s = end[which]
-            touches += zip(geometry[s].tolist(), part[s].tolist(), ring[s].tolist(), x.tolist(), y.tolist())
+            touches.append((geometry[s], part[s], ring[s], *points_of.T))
         start = stop
-    bad[list(cut_apart(touches))] = True
+    if touches:
+        bad[list(cut_apart(*map(np.concatenate, zip(*touches))))] = True
     rings_of = np.bincount(ring_owner, minlength=count)
     ring_end = np.cumsum(rings_of)
     several = np.flatnonzero(polygonal & ~bad & (rings_of > 1))
     if len(several):
         ring_place = np.arange(len(length)) - np.searchsorted(ring_part, ring_part)
-        spans = [(ring_end[g] - rings_of[g], ring_end[g]) for g in several]
         # Empty rings cannot occur here, but other geometries of the batch may have them.
-        used = np.concatenate([np.arange(*span) for span in spans])
-        start = np.concatenate([[0], np.cumsum(length[used])])
-        vertices_used = np.concatenate([xy[last[r] - length[r] + 1 : last[r] + 1] for r in used])
-        shift = np.concatenate([[0], np.cumsum([e - b for b, e in spans])])
-        local = list(zip(shift[:-1], shift[1:]))
-        bad[several] = badly_nested(vertices_used, start[:-1], length[used], ring_part[used], ring_place[used], local)
+        of = rings_of[several]
+        used = _ranges(ring_end[several] - of, of)
+        start = np.concatenate([[0], np.cumsum(length[used])])[:-1]
+        vertices_used = xy[_ranges((last - length + 1)[used], length[used])]
+        begin = np.concatenate([[0], np.cumsum(of)])[:-1]
+        bad[several] = badly_nested(vertices_used, start, length[used], ring_part[used], ring_place[used], begin, of)
     status = np.where(bad, INVALID, np.where(large, LARGE, VALID)).astype("int8")
     return pa.array(status, pa.int8(), mask=~np.asarray(shapes.is_valid()))

@@ -107,8 +107,12 @@ def geo_bbox(spark, sf):
 
 def stored_areas(spark, sf):
     """The areas as a table of WKB, the form in which geometry is kept."""
-    folder = fresh_folder(spark, "areas")
-    I.areas(spark, sf).write.parquet(folder)
+    return stored(spark, I.areas(spark, sf), "areas")
+
+
+def stored(spark, df, label):
+    folder = fresh_folder(spark, label)
+    df.write.parquet(folder)
     return spark.read.parquet(folder)
 
 
@@ -152,7 +156,8 @@ def geo_is_valid(spark, sf):
 def geo_interior(spark, sf):
     """Areas with two holes that touch nothing, each other, the left side too, or both sides, which cuts them apart;
     checked within rows and by the join of segments."""
-    placed = I.table(spark, sf, "customer").selectExpr(
+    keys = I.table(spark, sf, "customer").select("c_custkey").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    placed = keys.selectExpr(
         "c_custkey AS area_id", "c_custkey % 4 AS touches", "300000 + (c_custkey * 37) % 30000 AS x",
         "150000 + (c_custkey * 91) % 30000 AS y", "100 + c_custkey % 50 * 10 AS w", "50 + c_custkey % 50 * 5 AS h",
     )
@@ -165,7 +170,8 @@ def geo_interior(spark, sf):
     left = hole.format("IF(touches >= 2, x, x + 1)", "(x + w / 2)")
     right = hole.format("IF(touches >= 1, x + w / 2, x + w / 2 + 1)", "IF(touches = 3, x + w, x + w - 1)")
     shaped = placed.selectExpr("area_id", "touches", f"named_struct('type', 'POLYGON', 'parts', array(array({shell}, {left}, {right}))) AS shape")
-    here = flag_valid(shaped, "shape", ["area_id"], flag="valid_in_row")
+    # A check reads its input several times, so each gets it stored: the plans stay apart and small.
+    here = stored(spark, flag_valid(stored(spark, shaped, "interiors"), "shape", ["area_id"], flag="valid_in_row"), "interiors")
     both = flag_valid(here, "shape", ["area_id"], flag="valid_joined", in_row=8)
     return both.select("area_id", "touches", "valid_in_row", "valid_joined")
 

@@ -244,3 +244,27 @@ def test_many_parts_are_nested_fast():
     started = time.process_time()
     assert row_status(shapes, 10**9 if n < 1 else 0).to_pylist() in ([2], [VALID])
     assert time.process_time() - started < 2
+
+
+def test_two_checks_of_interiors_have_small_plans(spark, tmp_path):
+    """The second check does not carry the plan of the first one for each time that it reads its input."""
+    from shelf_queries.geo import geo_interior
+
+    keys = [*range(12), 5, 2**40 + 3]
+    spark.createDataFrame([(k,) for k in keys], "c_custkey long").write.parquet(f"{tmp_path}/customer.parquet")
+    both = geo_interior(spark, str(tmp_path))
+    assert both._jdf.queryExecution().optimizedPlan().collectLeaves().size() <= 4
+    assert sorted(map(tuple, both.collect())) == sorted((k, k % 4, k % 4 < 3, k % 4 < 3) for k in keys)
+
+
+def test_few_and_many_rings_agree(spark, monkeypatch):
+    """Boxes of few rings are compared each with each, those of many rings by columns."""
+    from datashelf.functions import ringcheck
+
+    rng = random.Random(3)
+    blobs = [polygon(box(0, 0, 20, 20), *(box(rng.randint(0, 18), rng.randint(0, 18), rng.randint(1, 3), 1) for _ in range(rng.randint(1, 4)))) for _ in range(300)]
+    blobs += [blob for _, blob, _, _ in CASES if blob is not None]
+    shapes = spark.createDataFrame([(b,) for b in blobs], "b binary").select(wkb.decode_wkb(F.col("b")).alias("shape")).toArrow()["shape"].combine_chunks()
+    few = ringcheck.row_status(shapes, 10**6).to_pylist()
+    monkeypatch.setattr(ringcheck, "FEW_RINGS", 0)
+    assert ringcheck.row_status(shapes, 10**6).to_pylist() == few and 20 < sum(few) < len(few) - 20
